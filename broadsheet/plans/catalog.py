@@ -46,18 +46,27 @@ def registered(fn: Query) -> Query:
     return fn
 
 
+def _as_text(name: str):
+    """The map as JSON, numbers that may be missing as digits."""
+    if name == "extra":
+        return F.to_json(name).alias(name)
+    if name in ("rank", "comments_count", "score"):
+        return F.col(name).cast("string").alias(name)
+    return F.col(name)
+
+
 def shown(df: DataFrame) -> DataFrame:
-    """Record fields as answered; the map is written as JSON text."""
-    fields = [F.to_json("extra").alias("extra") if c == "extra" else c for c in RECORD_FIELDS]
-    return df.select(*fields)
+    """Record fields as answered."""
+    return df.select(*[_as_text(c) for c in RECORD_FIELDS])
 
 
 def flat(df: DataFrame) -> DataFrame:
-    """Ranked items with their map as JSON text."""
-    return df.select(
+    """Ranked items without their comments."""
+    names = [
         "run_id", "item_pos", "title", "url", "published_at", "author", "score",
-        "comments_count", "rank", "discussion_url", F.to_json("extra").alias("extra"),
-    )
+        "comments_count", "rank", "discussion_url", "extra",
+    ]
+    return df.select(*[_as_text(c) for c in names])
 
 
 def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +110,8 @@ def snapshot_records(spark, sf_dir):
     return rows.select(
         "source_id", "source_name", "kind", "title", "url", "archived_at", "snapshot_date",
         "published_at", "author", "rank", "comments_count", "score",
-        F.to_json("extra").alias("extra"), "item_pos",
+        F.to_json("extra").alias("extra"),
+        F.col("item_pos").cast("bigint").alias("item_pos"),
     )
 
 
@@ -262,7 +272,9 @@ def snapshot_overwrite(spark, sf_dir):
 
 def _index_columns(df: DataFrame) -> DataFrame:
     day = F.date_format("archived_date", "yyyy-MM-dd").alias("archived_date")
-    return df.select("record_id", "source_id", "archived_at", day, "title", "url", "score", "item_pos")
+    return df.select(
+        "record_id", "source_id", "archived_at", day, "title", "url", _as_text("score"), "item_pos"
+    )
 
 
 def _enabled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +299,9 @@ def run_report(spark, sf_dir):
     posts = t.posts(spark, sf_dir).select("source_id", "url", "item_pos")
     fetched = posts.select("source_id").unionByName(t.snapshots(spark, sf_dir).select("source_id"))
     stored = merge.new_items(posts, t.archived(t.store(spark, sf_dir)))
-    return report.run_report(t.dimension(spark, sf_dir).where("enabled"), fetched, stored)
+    run = report.run_report(t.dimension(spark, sf_dir).where("enabled"), fetched, stored)
+    counts = [F.col(c).cast("string").alias(c) for c in ("fetched", "stored")]
+    return run.select("source_id", "status", *counts, "error")
 
 
 # --- ranking and threads ---------------------------------------------------------
