@@ -127,8 +127,15 @@ def index_rows(records: DataFrame) -> DataFrame:
     return last_per_key(keyed, ["record_id"], ["source_pos", "item_pos"])
 
 
-def index_upsert(index: DataFrame, records: DataFrame) -> DataFrame:
-    """Index after inserting ``records``; on equal ids the new row wins."""
+def index_upsert(index: DataFrame, records: DataFrame, replace_days: bool = False) -> DataFrame:
+    """Index after inserting ``records``; on equal ids the new row wins.
+
+    ``replace_days`` also drops what an earlier run of the same day indexed
+    for a ranked source, so that the index agrees with the tables.
+    """
     arriving = index_rows(records)
     kept = index.join(arriving.select("record_id"), "record_id", "left_anti")
+    if replace_days:
+        day = ["source_id", "snapshot_date"]
+        kept = kept.join(records.select(*day).dropna().distinct(), day, "left_anti")
     return kept.unionByName(arriving)
