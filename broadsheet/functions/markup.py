@@ -11,7 +11,7 @@ from html.entities import entitydefs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from broadsheet.functions.text import WHITESPACE, collapse_whitespace, let, strip
+from broadsheet.functions.text import SPACE_RUN, collapse_whitespace, let, strip
 
 # Elements that never belong to an article's text.
 UNWANTED = ["script", "style", "noscript", "header", "footer", "nav", "aside"]
@@ -22,8 +22,8 @@ BLOCK_TAGS = (
 
 TAG = r"</?[a-zA-Z!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 INVISIBLE = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-    r"|<template\b.*?</template\s*>"
+    r"(?s)<(?:!--.*?-->|(?i:script)\b.*?</(?i:script)\s*>|(?i:style)\b.*?</(?i:style)\s*>"
+    r"|(?i:template)\b.*?</(?i:template)\s*>)"
 )
 BLOCK_MARK = "\x01"
 
@@ -88,22 +88,23 @@ def inner(html: Column, tag: str) -> Column:
 
     For elements that do not nest in themselves (h1, main, article, title).
     """
-    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}\s*>|\z)"
-    found = html.rlike(rf"(?is)<{tag}(?:\s[^>]*)?>")
+    start = rf"<(?i:{tag})(?:\s[^>]*)?>"
+    pattern = rf"(?s){start}(.*?)(?:</(?i:{tag})\s*>|\z)"
+    found = html.rlike(start)
     return F.when(found, F.regexp_extract(html, pattern, 1))
 
 
 def without_tags(html: Column, tags: list[str]) -> Column:
     """Drop whole elements, contents included."""
-    pattern = "|".join(rf"<{t}\b[^>]*>.*?</{t}\s*>" for t in tags)
-    return F.regexp_replace(html, f"(?is){pattern}", "")
+    pattern = rf"(?s)<((?i:{'|'.join(tags)}))\b[^>]*>.*?</(?i)\1\s*>"
+    return F.regexp_replace(html, pattern, "")
 
 
 def hrefs(html: Column) -> Column:
     """Trimmed ``href`` of every anchor in order, entities resolved."""
     value = r"(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
     skipped = rf"(?:\s+[^\s\"'>=]++(?:\s*=\s*{value})?)*?"
-    pattern = rf"(?is)<a{skipped}\s+href\s*=\s*({value})"
+    pattern = rf"<[aA]{skipped}\s+(?i:href)\s*=\s*({value})"
     found = F.regexp_extract_all(without_invisible(html), F.lit(pattern), 1)
     return F.transform(
         found, lambda h: strip(decode_entities(F.btrim(h, F.lit("\"'"))))
@@ -130,52 +131,74 @@ def absolute_url(base: Column, href: Column) -> Column:
 def block_texts(html: Column) -> Column:
     """Text of each block-level piece in order; empty pieces are dropped."""
     marked = F.regexp_replace(
-        without_invisible(html), rf"(?i)(</?(?:{BLOCK_TAGS})(?:[\s/>]))", f"{BLOCK_MARK}$1"
+        without_invisible(html), rf"(</?(?i:{BLOCK_TAGS})[\s/>])", f"{BLOCK_MARK}$1"
     )
     return F.filter(
         F.transform(F.split(marked, BLOCK_MARK), visible_text), lambda t: t != ""
     )
 
 
+# What the start and the end of an element turn into.
+_MARKS = {
+    "b": "**", "strong": "**", "/b": "**", "/strong": "**",
+    "i": "*", "em": "*", "/i": "*", "/em": "*",
+    "code": "`", "/code": "`",
+    "pre": "\n\n```\n", "/pre": "\n```\n\n",
+    "br": "  \n", "hr": "\n\n---\n\n",
+    "li": "\n* ", "blockquote": "\n\n> ", "/blockquote": "\n\n",
+    "h1": "\n\n# ", "h2": "\n\n## ", "h3": "\n\n### ",
+    "h4": "\n\n#### ", "h5": "\n\n##### ", "h6": "\n\n###### ",
+}
+_PARAGRAPH = ["p", "div", "section", "article", "ul", "ol", "table", "figure"]
+_ROW = ["tr", "td", "th"]
+_HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
+# These swallow the blanks that follow their start tag.
+_OPENERS = [*_HEADINGS, "li", "blockquote"]
+_START, _STOP = "\x01", "\x02"
+
+
+def _mark(name: Column) -> Column:
+    """Markdown for one tag name (``/name`` for an end tag)."""
+    breaks = [*_PARAGRAPH, *("/" + t for t in (*_PARAGRAPH, *_HEADINGS))]
+    rows = [*_ROW, *("/" + t for t in _ROW)]
+    marks = _MARKS | dict.fromkeys(breaks, "\n\n") | dict.fromkeys(rows, "\n")
+    table = F.create_map(*[F.lit(x) for pair in marks.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, name), F.lit(""))
+
+
 def to_markdown(html: Column) -> Column:
     """Light Markdown: headings, emphasis, links, lists, code, paragraphs.
 
-    Tables lose their grid; their cells stay as lines of text.
+    Tables lose their grid; their cells stay as lines of text. All tags are
+    found in one pass and then rendered piece by piece.
     """
-    ws = f"[{WHITESPACE}]"
-    text = without_invisible(html)
-    text = F.regexp_replace(text, "<!>", "")
-    # Source line breaks are layout only; keep them inside <pre>.
+    text = F.regexp_replace(without_invisible(html), "<!>", "")
+    # Source line breaks are layout only; keep them where there is a <pre>.
     text = let(
         text,
-        lambda t: F.when(t.rlike(r"(?i)<pre\b"), t).otherwise(F.regexp_replace(t, rf"{ws}+", " ")),
-    )
-    rules = [
-        (r"(?i)<(?:b|strong)(?:\s[^>]*)?>|</(?:b|strong)\s*>", "**"),
-        (r"(?i)<(?:i|em)(?:\s[^>]*)?>|</(?:i|em)\s*>", "*"),
-        (r"(?i)<pre(?:\s[^>]*)?>", "\n\n```\n"),
-        (r"(?i)</pre\s*>", "\n```\n\n"),
-        (r"(?i)<code(?:\s[^>]*)?>|</code\s*>", "`"),
-        (
-            r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*[\"']?([^\"'>\s]*)[\"']?[^>]*>(.*?)</a\s*>",
-            "[$2]($1)",
+        lambda t: F.when(t.rlike(r"<(?i:pre)\b"), t).otherwise(
+            F.regexp_replace(t, SPACE_RUN, " ")
         ),
-        (r"(?i)<img\s(?:[^>]*?\s)?src\s*=\s*[\"']?([^\"'>\s]*)[\"']?[^>]*>", "![]($1)"),
-        (r"(?i)<br\s*/?>", "  \n"),
-        (r"(?i)<hr\s*/?>", "\n\n---\n\n"),
-        (r"(?i)</li\s*>\s*", ""),
-        (r"(?i)\s*<li(?:\s[^>]*)?>\s*", "\n* "),
-        (r"(?i)<blockquote(?:\s[^>]*)?> *", "\n\n> "),
-    ]
-    for level in range(1, 7):
-        rules.append((rf"(?i)<h{level}(?:\s[^>]*)?> *", "\n\n" + "#" * level + " "))
-    rules += [
-        (r"(?i)</?(?:p|div|section|article|ul|ol|table|h[1-6]|blockquote|figure)(?:\s[^>]*)?>", "\n\n"),
-        (r"(?i)</?(?:tr|td|th)(?:\s[^>]*)?>", "\n"),
-        (TAG, ""),
-    ]
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
+    )
+    attribute = r"\s*=\s*[\"']?([^\"'>\s]*)[\"']?[^>]*>"
+    text = F.regexp_replace(
+        text, rf"(?s)<[aA]\s(?:[^>]*?\s)?(?i:href){attribute}(.*?)</[aA]\s*>", "[$2]($1)"
+    )
+    text = F.regexp_replace(text, rf"<(?i:img)\s(?:[^>]*?\s)?(?i:src){attribute}", "![]($1)")
+    tag = r"<(/?[a-zA-Z][a-zA-Z0-9]*)(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!?][^>]*>"
+    text = F.regexp_replace(text, tag, f"{_START}$1{_STOP}")
+
+    def rendered(piece: Column) -> Column:
+        def with_name(name: Column) -> Column:
+            rest = F.substr(piece, F.length(name) + 2)
+            rest = F.when(name.isin([*_OPENERS, "/li"]), F.ltrim(rest)).otherwise(rest)
+            return F.concat(_mark(name), rest)
+
+        return F.when(
+            piece.contains(_STOP), let(F.lower(F.substring_index(piece, _STOP, 1)), with_name)
+        ).otherwise(piece)
+
+    text = F.array_join(F.transform(F.split(text, _START), rendered), "")
     text = decode_entities(text)
     text = F.regexp_replace(text, r"\n[ \t]+(?=\n)", "\n")
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))

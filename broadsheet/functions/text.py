@@ -16,6 +16,10 @@ WHITESPACE = (
 )
 LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
+# The same whitespace for patterns; the class needs the (?U) flag.
+SPACE_CLASS = r"\s\x1c\x1d\x1e\x1f"
+SPACE_RUN = rf"(?U)[{SPACE_CLASS}]+"
+
 PREVIEW_CHARS = 800
 SNIPPET_CHARS = 200
 SLUG_CHARS = 80
@@ -41,7 +45,7 @@ def rstrip(col: Column) -> Column:
 
 def collapse_whitespace(col: Column) -> Column:
     """Every run of whitespace becomes one space, none at the ends."""
-    return F.trim(F.regexp_replace(col, rf"[{WHITESPACE}]+", " "))
+    return F.trim(F.regexp_replace(col, SPACE_RUN, " "))
 
 
 def is_blank(col: Column) -> Column:
@@ -99,7 +103,7 @@ def looks_like_placeholder(body: Column) -> Column:
     sign-up box at the start.
     """
     preview = F.substring(body, 1, PREVIEW_CHARS)
-    lone_pipe = rf"(?:\A|[{LINE_BREAKS}])[{WHITESPACE}]*\|[{WHITESPACE}]*(?:\z|[{LINE_BREAKS}])"
+    lone_pipe = rf"(?U)(?:\A|[{LINE_BREAKS}])[{SPACE_CLASS}]*\|[{SPACE_CLASS}]*(?:\z|[{LINE_BREAKS}])"
     return (
         preview.contains("|  |")
         | lstrip(preview).startswith("[Signup]")
