@@ -23,9 +23,8 @@ DELETED = "[deleted]"
 def parse_nodes(raw_items: DataFrame) -> DataFrame:
     """Landed ``(id, payload)`` rows to typed thread nodes."""
     v = F.col("v")
-    return raw_items.select("id", F.try_parse_json("payload").alias("v")).where(
-        F.schema_of_variant(v).startswith("OBJECT")
-    ).select(
+    # A payload that is no object has no type and drops out of every step.
+    return raw_items.select("id", F.try_parse_json("payload").alias("v")).select(
         F.col("id").cast("bigint").alias("node_id"),
         string_at(v, "$.type").alias("type"),
         text_at(v, "$.title").alias("title"),
@@ -97,7 +96,8 @@ def thread_comments(
     """
     spark = stories.sparkSession
     ensure_checkpoint_dir(spark)
-    lookup = nodes.select("node_id", "type", "kids")
+    # Comments only, written once: each level joins this slim table.
+    lookup = nodes.where("type = 'comment'").select("node_id", "kids").checkpoint()
 
     # Waiting nodes of the level with their place and the size of the level.
     frontier = stories.select(
@@ -109,7 +109,7 @@ def thread_comments(
     collected = None
     depth = 1
     while True:
-        comments = frontier.join(lookup, "node_id").where("type = 'comment'")
+        comments = frontier.join(lookup, "node_id")
         room = Window.partitionBy("story_id").orderBy("place")
         read = (
             comments.withColumn("nth", F.row_number().over(room))

@@ -69,20 +69,15 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[_as_text(c) for c in names])
 
 
-def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = t.posts(spark, sf_dir)
-    items = posts.withColumn("id", item_id(F.col("title"), F.col("url"))).withColumn(
-        "content_path", content_path(F.col("source_id"), F.col("id"))
-    )
-    return records.archive_records(items, t.dimension(spark, sf_dir))
-
-
-def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.snapshot_records(t.snapshots(spark, sf_dir), t.dimension(spark, sf_dir))
-
-
 def _all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.records_union(_archive(spark, sf_dir), _ranked(spark, sf_dir))
+    """Records of both kinds over one source dimension."""
+    dimension = t.dimension(spark, sf_dir)
+    posts = t.posts(spark, sf_dir).withColumn("id", item_id(F.col("title"), F.col("url")))
+    path = content_path(F.col("source_id"), F.col("id"))
+    return records.records_union(
+        records.archive_records(posts.withColumn("content_path", path), dimension),
+        records.snapshot_records(t.snapshots(spark, sf_dir), dimension),
+    )
 
 
 # --- records and queries ------------------------------------------------------
@@ -450,24 +445,24 @@ def audit_examples(spark, sf_dir):
 
 @registered
 def page_links(spark, sf_dir):
-    links = pages.page_links(t.table(spark, sf_dir, "pages"), "/", "/the")
+    links = pages.page_links(t.spread(t.table(spark, sf_dir, "pages")), "/", "/the")
     return links.select("page_id", "link_pos", "link")
 
 
 @registered
 def page_articles(spark, sf_dir):
-    found = pages.page_articles(t.table(spark, sf_dir, "pages"))
+    found = pages.page_articles(t.spread(t.table(spark, sf_dir, "pages")))
     return found.select("page_id", "title", "url", "published_at", "content")
 
 
 @registered
 def page_text(spark, sf_dir):
-    return pages.page_text(t.table(spark, sf_dir, "pages")).select("page_id", "text")
+    return pages.page_text(t.spread(t.table(spark, sf_dir, "pages"))).select("page_id", "text")
 
 
 @registered
 def page_blocks(spark, sf_dir):
-    blocks = pages.page_blocks(t.table(spark, sf_dir, "pages"))
+    blocks = pages.page_blocks(t.spread(t.table(spark, sf_dir, "pages")))
     return blocks.select("page_id", "block_pos", "block")
 
 

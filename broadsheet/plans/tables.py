@@ -24,8 +24,31 @@ MANIFEST_PAGE = 400
 SNAPSHOT_PAGE = 200
 
 
+# The given tables as stored. Nothing is inferred, so building a
+# plan reads no file.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "pages": "page_id bigint, url string, html string",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly work per row when a table has few splits.
+
+    A large table has more splits than cores and stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
 
 
 def _text(value) -> Column:

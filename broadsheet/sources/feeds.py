@@ -71,10 +71,10 @@ def feed_entries(raw: DataFrame, limit: int | None = None) -> DataFrame:
     )
     if limit is not None:
         entries = F.slice(entries, 1, limit)
-    return (
-        raw.select("source_id", "run_id", feed.alias("feed"))
-        .where("feed.broken is null")
-        .select("source_id", "run_id", F.posexplode(entries).alias("item_pos", "entry"))
+    # Inside the generator, so that no filter makes Spark parse a body twice.
+    whole = F.when(F.col("feed.broken").isNull(), entries)
+    return raw.select("source_id", "run_id", feed.alias("feed")).select(
+        "source_id", "run_id", F.posexplode(whole).alias("item_pos", "entry")
     )
 
 

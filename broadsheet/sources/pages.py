@@ -139,7 +139,7 @@ def page_articles(
     """
     html = F.col("html")
     box = F.coalesce(*[inner(html, tag) for tag in containers])
-    heading = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
+    heading = r"(?s)<[hH]1(?:\s[^>]*)?>(.*?)</[hH]1\s*>"
     rest = [c for c in pages.columns if c not in ("html", "listed_title")]
     if listed_title is None:
         listed_title = F.lit(None).cast("string")
@@ -152,16 +152,18 @@ def page_articles(
         ),
         jsonld_date(html).alias("published_at"),
     )
-    first_heading = r"(?is)\A(.*?)<h1(?:\s[^>]*)?>.*?</h1\s*>"
+    first_heading = r"(?s)\A(.*?)<[hH]1(?:\s[^>]*)?>.*?</[hH]1\s*>"
     body = without_tags(F.regexp_replace("box", first_heading, "$1"), UNWANTED)
-    return boxed.select(
-        *rest,
+    article = F.struct(
         first_filled(visible_text(F.col("heading")), F.col("listed_title"), F.col("url")).alias(
             "title"
         ),
-        "published_at",
+        F.col("published_at"),
         to_markdown(body).alias("content"),
-    ).where("content != ''")
+    )
+    # Filtered inside the generator: a filter on the result would render twice.
+    kept = F.filter(F.array(article), lambda r: r["content"] != "")
+    return boxed.select(*rest, F.inline(kept))
 
 
 def page_text(pages: DataFrame) -> DataFrame:

@@ -186,7 +186,6 @@ def release_items(raw: DataFrame, limit: int = item_limit("releasebot")) -> Data
     slots = F.slice(F.try_variant_get(listed, "$", "array<variant>"), 1, limit)
     df = (
         raw.select("source_id", "run_id", F.get(holders, F.lit(0)).alias("pool"))
-        .where("pool is not null")
         .select("source_id", "run_id", F.posexplode(F.transform(slots, described)).alias("item_pos", "r"))
     )
     release_name = F.coalesce(
