@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from broadsheet.functions.text import (
     content_path,
     filled,
+    let,
     looks_like_placeholder,
     snippet,
     strip,
 )
 from broadsheet.schemas import ISSUE
-from broadsheet.sources.ranked import string_at
+from broadsheet.sources.ranked import strict_json, string_at
 
 MIN_CHARS = 400
 MAX_ISSUES = 200
@@ -107,14 +108,16 @@ def manifest_lines(files: DataFrame) -> DataFrame:
     rows = files.select(
         "source_id", "path", file_issue.alias("file_issue"), lines.alias("lines")
     ).select("source_id", "path", "file_issue", F.posexplode_outer("lines").alias("pos", "line"))
-    parsed = F.try_parse_json("line")
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    parsed = let(
+        strict_json(F.col("line")),
+        lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v),
+    )
     return rows.select(
         "source_id",
         "path",
         "file_issue",
         (F.col("pos") + 1).cast("bigint").alias("line_no"),
-        F.when(is_object, parsed).alias("v"),
+        parsed.alias("v"),
     ).select(
         "source_id",
         "path",
@@ -193,8 +196,7 @@ def meta_verdicts(metas: DataFrame) -> DataFrame:
     raw = F.col("content")
     if dict(metas.dtypes)["content"] == "binary":
         raw = F.when(F.is_valid_utf8(raw), F.decode(raw, "UTF-8"))
-    parsed = F.try_parse_json(raw)
-    return metas.select("source_id", "item_id", parsed.alias("v")).select(
+    return metas.select("source_id", "item_id", strict_json(raw).alias("v")).select(
         "source_id",
         "item_id",
         F.struct(
@@ -283,7 +285,7 @@ def snapshot_issues(files: DataFrame) -> DataFrame:
     if dict(files.dtypes)["content"] == "binary":
         raw = F.when(F.is_valid_utf8(raw), F.decode(raw, "UTF-8"))
     v, items = F.col("v"), F.col("items")
-    docs = files.select("source_id", "path", F.try_parse_json(raw).alias("v")).select(
+    docs = files.select("source_id", "path", strict_json(raw).alias("v")).select(
         "source_id",
         "path",
         v.isNotNull().alias("json_ok"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.dates import archived_date, archived_ts
 from broadsheet.functions.text import record_id
-from broadsheet.schemas import ORDER_FIELDS, RECORD_FIELDS, SNAPSHOT_DOC
+from broadsheet.schemas import ORDER_FIELDS, RECORD_FIELDS, SNAPSHOT_ITEM
 
 
 def _complete(df: DataFrame) -> DataFrame:
@@ -72,17 +72,25 @@ def snapshot_records(snapshots: DataFrame, sources: DataFrame) -> DataFrame:
 def explode_snapshots(documents: DataFrame) -> DataFrame:
     """Landed snapshot documents ``(source_id, body)`` to one row per entry.
 
-    A document without an ``items`` list gives no rows.
+    A document without an ``items`` list gives no rows, nor does an entry that
+    is no object.
     """
-    doc = F.from_json("body", SNAPSHOT_DOC, {"allowSingleQuotes": "false"})
+    docs = documents.select("source_id", F.try_parse_json("body").alias("doc"))
+    e = F.col("e")
+    fields = [
+        F.try_variant_get(e, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+        for f in SNAPSHOT_ITEM.fields
+    ]
     return (
-        documents.select("source_id", doc.alias("doc"))
-        .select(
+        docs.select(
             "source_id",
-            F.col("doc.archived_at").alias("snapshot_date"),
-            F.posexplode("doc.items").alias("item_pos", "item"),
+            F.try_variant_get("doc", "$.archived_at", "string").alias("snapshot_date"),
+            F.posexplode(F.try_variant_get("doc", "$.items", "array<variant>")).alias(
+                "item_pos", "e"
+            ),
         )
-        .select("source_id", "snapshot_date", "item_pos", "item.*")
+        .where(F.schema_of_variant(e).startswith("OBJECT"))
+        .select("source_id", "snapshot_date", "item_pos", *fields)
     )
 
 

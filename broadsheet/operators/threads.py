@@ -140,9 +140,9 @@ def thread_comments(
             )
         )
         frontier = (
-            level.select("story_id", read_now.cast("bigint").alias("taken"), "c", quota.alias("quota"))
-            .where(F.col("taken") < limit)
-            .select("story_id", "taken", queued.alias("queued"))
+            level.select("story_id", read_now.cast("bigint").alias("total"), "c", quota.alias("quota"))
+            .where(F.col("total") < limit)
+            .select("story_id", F.col("total").alias("taken"), queued.alias("queued"))
             .where(F.size("queued") > 0)
             .select(
                 "story_id",

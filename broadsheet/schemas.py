@@ -70,7 +70,7 @@ MANIFEST_ROW = _fields(
     ("content_path", _STR),
 )
 
-# A snapshot document: one per source and UTC day.
+# An entry of a snapshot document (one document per source and UTC day).
 SNAPSHOT_ITEM = _fields(
     ("title", _STR),
     ("url", _STR),
@@ -83,14 +83,6 @@ SNAPSHOT_ITEM = _fields(
     ("comments", T.ArrayType(COMMENT)),
     ("extra", EXTRA),
 )
-SNAPSHOT_DOC = _fields(
-    ("source_id", _STR),
-    ("source_name", _STR),
-    ("archived_at", _STR),
-    ("generated_at", _STR),
-    ("items", T.ArrayType(SNAPSHOT_ITEM)),
-)
-
 # The fifteen fields of an answer, in output order.
 RECORD_FIELDS = [
     "source_id",

@@ -39,6 +39,22 @@ def string_at(value: Column, path: str) -> Column:
     return F.when(F.schema_of_variant(inside) == "STRING", F.try_variant_get(value, path, "string"))
 
 
+def strict_json(text: Column) -> Column:
+    """The one JSON value a text consists of; NULL if anything follows it.
+
+    The parser stops after the first value, so the text is read as the only
+    element of an array, and an object must also be what the text ends with.
+    """
+
+    def only(values: Column) -> Column:
+        value = F.get(values, F.lit(0))
+        closed = ~is_object(value) | F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
+        return F.when((F.size(values) == 1) & closed, value)
+
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return let(F.try_variant_get(listed, "$", "array<variant>"), only)
+
+
 def is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT")
 
