@@ -130,40 +130,6 @@ def manifest_lines(files: DataFrame) -> DataFrame:
     )
 
 
-def manifest_issues(lines: DataFrame) -> DataFrame:
-    """Rules 3 to 7, from file level down to the fields of a line."""
-    line = F.concat(F.lit("line="), F.col("line_no").cast("string"))
-    readable = F.col("file_issue").isNull()
-    has_id = filled(F.col("id")).isNotNull()
-    df = lines.select(
-        "source_id",
-        F.when(has_id, F.col("id")).alias("item_id"),
-        F.col("path").alias("seq_file"),
-        F.coalesce("line_no", F.lit(0)).cast("bigint").alias("seq_pos"),
-        "file_issue", "line_no", "json_ok", "id", "url",
-    )
-    path = F.col("seq_file")
-    rules = [
-        _rule(F.col("file_issue") == "manifest_bad_utf8", "manifest_bad_utf8", 3, path=path),
-        _rule(F.col("file_issue") == "manifest_empty", "manifest_empty", 4, path=path),
-        _rule(readable & ~F.col("json_ok"), "manifest_bad_json", 5, line, path=path),
-        _rule(readable & F.col("json_ok") & ~has_id, "manifest_missing_id", 6, line, path=path),
-        _rule(
-            readable & F.col("json_ok") & has_id & filled(F.col("url")).isNull(),
-            "manifest_missing_url", 7, line, path=path,
-        ),
-    ]
-    return _raise(df, "blog", rules)
-
-
-def manifest_items(lines: DataFrame) -> DataFrame:
-    """Lines that name an item, as input of the body rules."""
-    return lines.where("json_ok and id != ''").select(
-        "source_id", "id", "url", "content_path",
-        F.col("path").alias("seq_file"), F.col("line_no").alias("seq_pos"),
-    )
-
-
 # --- bodies and side files ------------------------------------------------
 
 
@@ -208,59 +174,55 @@ def meta_verdicts(metas: DataFrame) -> DataFrame:
     )
 
 
-def item_issues(
-    items: DataFrame,
-    bodies: DataFrame,
-    metas: DataFrame | None = None,
-    min_chars: int = MIN_CHARS,
-) -> DataFrame:
-    """Rules 8 to 19 on items joined to the verdicts on bodies and side files.
+def _manifest_rules(has_id: Column) -> list[Column]:
+    """Rules 3 to 7, from file level down to the fields of a line."""
+    line = F.concat(F.lit("line="), F.col("line_no").cast("string"))
+    path = F.col("seq_file")
+    parsed = F.col("file_issue").isNull() & F.col("json_ok")
+    broken = F.col("file_issue").isNull() & ~F.col("json_ok")
+    return [
+        _rule(F.col("file_issue") == "manifest_bad_utf8", "manifest_bad_utf8", 3, path=path),
+        _rule(F.col("file_issue") == "manifest_empty", "manifest_empty", 4, path=path),
+        _rule(broken, "manifest_bad_json", 5, line, path=path),
+        _rule(parsed & ~has_id, "manifest_missing_id", 6, line, path=path),
+        _rule(
+            has_id & filled(F.col("url")).isNull(), "manifest_missing_url", 7, line, path=path
+        ),
+    ]
 
-    A missing body skips all later rules of the item, an unreadable or empty
-    one those on the body; an unreadable side file those on its fields.
-    ``metas=None`` leaves rules 9 to 13 out.
-    """
-    derived = content_path(F.col("source_id"), F.col("id"))
-    df = items.withColumn("body_path", F.coalesce(filled(F.col("content_path")), derived))
-    df = df.join(bodies.withColumnRenamed("content_path", "body_path"), "body_path", "left")
-    if metas is not None:
-        df = df.join(metas.withColumnRenamed("item_id", "id"), ["source_id", "id"], "left")
-    df = df.withColumn("item_id", F.col("id"))
-
-    path = F.col("body_path")
-    stored = F.col("b").isNotNull()
+
+def _meta_rules(stored: Column) -> list[Column]:
+    """Rules 9 to 13 on the side file of a stored item."""
+    path = F.concat(
+        F.lit("sources/"), F.col("source_id"), F.lit("/items/"), F.col("id"), F.lit("/meta.json")
+    )
+    parsed = stored & F.col("m").isNotNull() & F.col("m.json_ok")
+    shown = F.coalesce(F.concat(F.lit("'"), F.col("m.id"), F.lit("'")), F.lit("None"))
+
+    def differs(name: str) -> Column:
+        return F.col(name).isNotNull() & ~F.col(f"m.{name}").eqNullSafe(F.col(name))
+
+    return [
+        _rule(stored & F.col("m").isNull(), "meta_missing", 9, path=path),
+        _rule(stored & ~F.col("m.json_ok"), "meta_bad_json", 10, path=path),
+        _rule(
+            parsed & differs("id"), "meta_id_mismatch", 11,
+            F.concat(F.lit("meta.id="), shown), path=path,
+        ),
+        _rule(parsed & differs("url"), "meta_url_mismatch", 12, path=path),
+        _rule(parsed & differs("content_path"), "meta_content_path_mismatch", 13, path=path),
+    ]
+
+
+def _body_rules(stored: Column, min_chars: int) -> list[Column]:
+    """Rules 14 to 19 on the body of a stored item."""
     readable = stored & F.col("b.valid")
     judged = readable & (F.col("b.chars") > 0)
     chars = F.concat(
         F.lit("chars="), F.col("b.chars").cast("string"), F.lit(f" (<{min_chars})")
     )
-    rules = [_rule(~stored, "content_missing", 8, path=path)]
-    if metas is not None:
-        meta_path = F.concat(
-            F.lit("sources/"), F.col("source_id"), F.lit("/items/"), F.col("id"), F.lit("/meta.json")
-        )
-        parsed = stored & F.col("m").isNotNull() & F.col("m.json_ok")
-        shown = F.coalesce(F.concat(F.lit("'"), F.col("m.id"), F.lit("'")), F.lit("None"))
-        rules += [
-            _rule(stored & F.col("m").isNull(), "meta_missing", 9, path=meta_path),
-            _rule(stored & ~F.col("m.json_ok"), "meta_bad_json", 10, path=meta_path),
-            _rule(
-                parsed & ~F.col("m.id").eqNullSafe(F.col("id")), "meta_id_mismatch", 11,
-                F.concat(F.lit("meta.id="), shown), path=meta_path,
-            ),
-            _rule(
-                parsed & F.col("url").isNotNull() & ~F.col("m.url").eqNullSafe(F.col("url")),
-                "meta_url_mismatch", 12, path=meta_path,
-            ),
-            _rule(
-                parsed
-                & F.col("content_path").isNotNull()
-                & ~F.col("m.content_path").eqNullSafe(F.col("content_path")),
-                "meta_content_path_mismatch", 13, path=meta_path,
-            ),
-        ]
-    snip = F.col("b.snippet")
-    rules += [
+    path, snip = F.col("body_path"), F.col("b.snippet")
+    return [
         _rule(stored & ~F.col("b.valid"), "content_bad_utf8", 14, path=path),
         _rule(readable & (F.col("b.chars") == 0), "content_empty", 15, path=path),
         _rule(
@@ -270,6 +232,48 @@ def item_issues(
         _rule(judged & F.col("b.nul"), "content_has_nul", 18, path=path),
         _rule(judged & F.col("b.replacement"), "content_has_replacement_char", 19, path=path),
     ]
+
+
+def line_issues(
+    lines: DataFrame,
+    bodies: DataFrame | None = None,
+    metas: DataFrame | None = None,
+    min_chars: int = MIN_CHARS,
+) -> DataFrame:
+    """Rules 3 to 19 in one pass over manifest lines joined to the verdicts.
+
+    A broken line or a missing id skips the rules after it, a missing body all
+    later rules of the item, an unreadable or empty one those on the body, an
+    unreadable side file those on its fields. Without ``metas`` rules 9 to 13
+    are left out, without ``bodies`` all from 8 on.
+    """
+    has_id = F.coalesce(F.col("json_ok") & (F.col("id") != ""), F.lit(False))
+    # Lines without an item get a key of their own: NULL keys would pile up.
+    unmatched = F.concat(
+        F.col("path"), F.lit("#"), F.coalesce(F.col("line_no"), F.lit(0)).cast("string")
+    )
+    own_path = F.coalesce(
+        filled(F.col("content_path")), content_path(F.col("source_id"), F.col("id"))
+    )
+    df = lines.select(
+        "source_id", "file_issue", "json_ok", "url", "content_path", "line_no",
+        F.col("path").alias("seq_file"),
+        F.coalesce("line_no", F.lit(0)).cast("bigint").alias("seq_pos"),
+        F.when(has_id, F.col("id")).alias("item_id"),
+        F.when(has_id, F.col("id")).otherwise(unmatched).alias("id"),
+        F.when(has_id, own_path).otherwise(unmatched).alias("body_path"),
+    )
+    named = F.col("item_id").isNotNull()
+    rules = _manifest_rules(named)
+    if bodies is not None:
+        df = df.join(bodies.withColumnRenamed("content_path", "body_path"), "body_path", "left")
+        stored = named & F.col("b").isNotNull()
+        missing = named & F.col("b").isNull()
+        rules.append(_rule(missing, "content_missing", 8, path=F.col("body_path")))
+        if metas is not None:
+            df = df.join(metas.withColumnRenamed("item_id", "id"), ["source_id", "id"], "left")
+            rules += _meta_rules(stored)
+        rules += _body_rules(stored, min_chars)
     return _raise(df, "blog", rules)
 
 
@@ -434,16 +438,14 @@ def audit(
     parts, lines = [], None
     if manifest_files is not None:
         lines = manifest_lines(manifest_files)
-        parts.append(manifest_issues(lines))
-        if contents is not None:
-            parts.append(
-                item_issues(
-                    manifest_items(lines),
-                    body_verdicts(contents, include_snippets),
-                    None if metas is None else meta_verdicts(metas),
-                    min_content_chars,
-                )
+        parts.append(
+            line_issues(
+                lines,
+                None if contents is None else body_verdicts(contents, include_snippets),
+                None if metas is None else meta_verdicts(metas),
+                min_content_chars,
             )
+        )
         if snapshot_files is not None:
             archives = manifest_files.select("source_id").distinct()
             snapshot_files = snapshot_files.join(archives, "source_id", "left_anti")

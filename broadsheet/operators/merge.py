@@ -78,8 +78,10 @@ def content_refresh(incoming: DataFrame, existing: DataFrame, contents: DataFram
         (F.col("content") == "") | looks_like_placeholder(F.col("content"))
     ).select("content_path")
     targets = stored.join(stale, "content_path", "left_semi").drop("item_pos")
+    # Stale items are few: only bodies offered for them are compared.
+    offered = incoming.join(targets.select(*URL_KEY), URL_KEY, "left_semi")
     return (
-        refresh_candidates(incoming)
+        refresh_candidates(offered)
         .join(targets, URL_KEY)
         .select("source_id", F.col("id").alias("item_id"), "url", "content_path", "body")
     )

@@ -478,6 +478,59 @@ def capped_blank_runs(spark, sf_dir):
     return mails.select("doc_id", cap_blank_runs(F.col("text")).alias("text"))
 
 
+@registered
+def card_links(spark, sf_dir):
+    links = pages.card_links(t.listing_pages(spark, sf_dir), "/blog/", "/blog/category/")
+    return links.select("run_id", "link_pos", "link", "title")
+
+
+@registered
+def dated_articles(spark, sf_dir):
+    found = pages.page_articles(t.document_pages(spark, sf_dir, "article"))
+    return found.select("doc_id", "title", "published_at", "content")
+
+
+@registered
+def long_body_pages(spark, sf_dir):
+    found = pages.long_body_pages(t.document_pages(spark, sf_dir, "long"))
+    return found.select("doc_id", "content").where("content is not null")
+
+
+@registered
+def font_pages(spark, sf_dir):
+    html = pages.font_container_markdown(F.col("html"))
+    return t.document_pages(spark, sf_dir, "font").select("doc_id", html.alias("content"))
+
+
+@registered
+def newsletter_pages(spark, sf_dir):
+    text = pages.newsletter_markdown(F.col("html"))
+    return t.document_pages(spark, sf_dir, "newsletter").select("doc_id", text.alias("content"))
+
+
+@registered
+def mail_pages(spark, sf_dir):
+    html = F.col("html")
+    return t.document_pages(spark, sf_dir, "mail").select(
+        "doc_id",
+        pages.email_title(html).alias("title"),
+        pages.email_markdown(html).alias("content"),
+    )
+
+
+@registered
+def page_fallback(spark, sf_dir):
+    """Blank feed bodies filled from the pages of the same url."""
+    store = t.store(spark, sf_dir)
+    page = F.concat(F.lit("https://pages.example.org/"), F.col("item_pos").cast("string"))
+    items = store.select(
+        page.alias("url"), F.col("body").alias("content"), (F.col("item_pos") % 20).alias("item_pos")
+    )
+    fetched = t.document_pages(spark, sf_dir, "article").select("url", "html")
+    text = pages.visible_text(pages.inner(F.col("html"), "h1"))
+    return pages.with_page_body(items, fetched, text, first_n=5)
+
+
 # --- landed payloads --------------------------------------------------------------
 
 

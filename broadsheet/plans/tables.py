@@ -68,7 +68,7 @@ def _archived_at() -> Column:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One archive post per document; exact copies within a source share a url."""
     title = F.split_part("text", F.lit("\n"), F.lit(1))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("source").alias("source_id"),
         F.col("doc_id").alias("item_pos"),
         title.alias("title"),
@@ -132,7 +132,7 @@ def contents(store_rows: DataFrame) -> DataFrame:
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ranked entry per event, in event order within its day."""
     k = F.get_json_object("props", "$.k")
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("event_type").alias("source_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("snapshot_date"),
         F.col("event_id").alias("item_pos"),
@@ -502,7 +502,7 @@ def thread_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def issues_of_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents wrapped the way an e-mail issue is rendered."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.concat(
             F.lit("Logo\n|  |\nView online  \nHey "), "source", F.lit(",\n\n\n\n"),
@@ -510,3 +510,71 @@ def issues_of_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("\n| one | two |\n|  |  |\n\n\n"),
         ).alias("text"),
     )
+
+
+# --- pages made of documents ---------------------------------------------------
+
+
+def _paragraphs(tag_open: str, tag_close: str) -> Column:
+    """Each non-blank line of a document as one element."""
+    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    return F.transform(
+        lines, lambda x: F.concat(F.lit(tag_open), _escaped(x), F.lit(tag_close))
+    )
+
+
+def document_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    """Documents dressed as fetched pages of one of the known layouts."""
+    docs = spread(table(spark, sf_dir, "documents"))
+    url = F.concat(F.lit("https://pages.example.org/"), _text(F.col("doc_id")))
+    if layout == "long":
+        parts = [
+            F.lit('<main><div class="blog-content prose"><div><a href="/b">Back</a></div>'),
+            F.lit('<div class="not-prose"><div>Upvote</div></div>'),
+            F.array_join(_paragraphs("<p>", "</p>\n"), ""),
+            F.lit('<div class="SVELTE_HYDRATER">widget</div></div></main>'),
+        ]
+    elif layout == "newsletter":
+        parts = [
+            F.lit("<table><tr>"),
+            F.array_join(_paragraphs('<td class="a mcnTextContent"><p>', "</p></td>"), ""),
+            F.lit('<td class="mcnTextContent"><a href="#">unsubscribe</a></td></tr></table>'),
+        ]
+    elif layout == "font":
+        parts = [
+            F.lit('<table><td><font size="2" face="verdana">'),
+            F.array_join(_paragraphs("", "<br /><br />"), ""),
+            F.lit("</font></td></table>"),
+        ]
+    elif layout == "mail":
+        parts = [
+            F.lit("<html><head><title> Issue "), _text(F.col("doc_id")), F.lit("</title></head>"),
+            F.lit('<body><p>Logo</p><div style="display:none">preview</div><p>Hey reader,</p>'),
+            F.array_join(_paragraphs("<table><tr><td>", "</td></tr></table>"), ""),
+            F.lit('<img src="x"></body></html>'),
+        ]
+    elif layout == "article":
+        date = F.concat(F.lit("2025-12-"), F.lpad(_text(F.col("n_chars") % 28 + 1), 2, "0"))
+        parts = [
+            F.lit('<script type="application/ld+json">{"@graph":[{"a":1},{"datePublished":"'),
+            date, F.lit('T10:00:00Z"}]}</script><main><nav>menu</nav><h1> Page  '),
+            _text(F.col("doc_id")), F.lit("</h1>"),
+            F.array_join(_paragraphs("<p>", "</p>"), ""), F.lit("<footer>end</footer></main>"),
+        ]
+    else:
+        raise ValueError(layout)
+    return docs.select("doc_id", url.alias("url"), F.concat(*parts).alias("html"))
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings of twenty cards each; French cards link to a category."""
+    docs = table(spark, sf_dir, "documents")
+    prefix = F.when(F.col("lang") == "fr", "/blog/category/").otherwise("/blog/")
+    card = F.concat(
+        F.lit('<article><a href="'), prefix, "source", F.lit('"><h2>About  '), "source",
+        F.lit(" "), _text(F.col("doc_id")), F.lit('</h2></a> <a href="/blog/more">more</a></article>'),
+    )
+    pages = _body(_pages(docs, "listing", "doc_id", FEED_PAGE, card), "<main>", "", "</main>")
+    return pages.select(
+        "run_id", F.lit("https://list.example.org/blog").alias("url"), F.col("body").alias("html")
+    )

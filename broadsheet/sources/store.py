@@ -169,7 +169,9 @@ class Store:
         known = self.items().where(F.col("run_id") != run_id)
         fresh = merge.new_items(incoming, known, dedup=not parity)
         rows = merge.as_manifest_rows(fresh, archived_at).withColumn("run_id", F.lit(run_id))
-        bodies = merge.last_per_key(rows, ["content_path"], ["item_pos"]).select(
+        # Without batch duplicates every path is written once.
+        written = merge.last_per_key(rows, ["content_path"], ["item_pos"]) if parity else rows
+        bodies = written.select(
             "content_path", F.col("id").alias("item_id"), F.col("body").alias("content"),
             "source_id", "run_id",
         )
