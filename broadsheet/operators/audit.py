@@ -288,56 +288,57 @@ def snapshot_issues(files: DataFrame) -> DataFrame:
     raw = F.col("content")
     if dict(files.dtypes)["content"] == "binary":
         raw = F.when(F.is_valid_utf8(raw), F.decode(raw, "UTF-8"))
-    v, items = F.col("v"), F.col("items")
+    v = F.col("v")
+
+    def entry(e: Column, pos: Column) -> Column:
+        return F.struct(
+            (pos + 1).cast("bigint").alias("pos"),
+            F.schema_of_variant(e).startswith("OBJECT").alias("object"),
+            filled(string_at(e, "$.url")).isNull().alias("no_url"),
+            filled(string_at(e, "$.title")).isNull().alias("no_title"),
+        )
+
+    listed = F.when(
+        F.schema_of_variant(v).startswith("OBJECT"),
+        F.try_variant_get(v, "$.items", "array<variant>"),
+    )
     docs = files.select("source_id", "path", strict_json(raw).alias("v")).select(
-        "source_id",
-        "path",
-        v.isNotNull().alias("json_ok"),
-        F.when(
-            F.schema_of_variant(v).startswith("OBJECT"),
-            F.try_variant_get(v, "$.items", "array<variant>"),
-        ).alias("items"),
+        "source_id", "path", v.isNotNull().alias("json_ok"), listed.alias("listed")
     )
-    whole = docs.select(
-        "source_id", F.lit(None).cast("string").alias("item_id"), F.col("path").alias("seq_file"),
-        F.lit(0).cast("bigint").alias("seq_pos"), "json_ok", F.size(items).alias("n"),
-        items.isNull().alias("no_list"),
+    # The file itself is subject 0, its entries follow: one pass for all rules.
+    none = F.lit(None).cast("boolean")
+    whole = F.struct(
+        F.lit(0).cast("bigint").alias("pos"),
+        none.alias("object"), none.alias("no_url"), none.alias("no_title"),
+    )
+    entries = F.transform(F.slice("listed", 1, SNAPSHOT_ITEMS_CHECKED), entry)
+    subjects = F.when(F.col("listed").isNull(), F.array(whole)).otherwise(
+        F.concat(F.array(whole), entries)
     )
+    df = docs.select(
+        "source_id",
+        F.lit(None).cast("string").alias("item_id"),
+        F.col("path").alias("seq_file"),
+        "json_ok",
+        F.col("listed").isNull().alias("no_list"),
+        F.size("listed").alias("n"),
+        F.explode(subjects).alias("s"),
+    ).withColumn("seq_pos", F.col("s.pos"))
     path = F.col("seq_file")
-    ok = F.col("json_ok")
-    of_files = _raise(
-        whole,
+    file_row, ok = F.col("s.pos") == 0, F.col("json_ok")
+    is_object = F.col("s.object")
+    return _raise(
+        df,
         "aggregation",
         [
-            _rule(~ok, "snapshot_bad_json", 20, path=path),
-            _rule(ok & F.col("no_list"), "snapshot_items_not_list", 21, path=path),
-            _rule(ok & (F.col("n") == 0), "snapshot_items_empty", 22, path=path),
+            _rule(file_row & ~ok, "snapshot_bad_json", 20, path=path),
+            _rule(file_row & ok & F.col("no_list"), "snapshot_items_not_list", 21, path=path),
+            _rule(file_row & (F.col("n") == 0), "snapshot_items_empty", 22, path=path),
+            _rule(~is_object, "snapshot_item_not_object", 23, path=path),
+            _rule(is_object & F.col("s.no_url"), "snapshot_item_missing_url", 24, path=path),
+            _rule(is_object & F.col("s.no_title"), "snapshot_item_missing_title", 25, path=path),
         ],
     )
-    entries = docs.select(
-        "source_id",
-        "path",
-        F.posexplode(F.slice("items", 1, SNAPSHOT_ITEMS_CHECKED)).alias("pos", "e"),
-    )
-    e = F.col("e")
-    fields = entries.select(
-        "source_id", F.lit(None).cast("string").alias("item_id"), F.col("path").alias("seq_file"),
-        (F.col("pos") + 1).cast("bigint").alias("seq_pos"),
-        F.schema_of_variant(e).startswith("OBJECT").alias("object"),
-        filled(string_at(e, "$.url")).isNull().alias("no_url"),
-        filled(string_at(e, "$.title")).isNull().alias("no_title"),
-    )
-    return of_files.unionByName(_raise(fields, "aggregation", entry_rules(path)))
-
-
-def entry_rules(path: Column) -> list[Column]:
-    """Rules 23 to 25 over ``object``, ``no_url`` and ``no_title`` flags."""
-    is_object = F.col("object")
-    return [
-        _rule(~is_object, "snapshot_item_not_object", 23, path=path),
-        _rule(is_object & F.col("no_url"), "snapshot_item_missing_url", 24, path=path),
-        _rule(is_object & F.col("no_title"), "snapshot_item_missing_title", 25, path=path),
-    ]
 
 
 # --- report ---------------------------------------------------------------
@@ -388,18 +389,14 @@ def counts_by_source(issues: DataFrame, checked: DataFrame) -> DataFrame:
 
 def totals(issues: DataFrame, checked: DataFrame, max_issues: int = MAX_ISSUES) -> DataFrame:
     """One row: items checked, issues found, whether the list is cut."""
-    found = issues.agg(F.count(F.lit(1)).alias("issues_total"))
-    seen = checked.agg(F.coalesce(F.sum("items_checked"), F.lit(0)).alias("items_checked"))
-    # Two one-row aggregates side by side.
-    return (
-        found.withColumn("k", F.lit(1))
-        .join(seen.withColumn("k", F.lit(1)), "k")
-        .select(
-            "items_checked",
-            "issues_total",
-            (F.col("issues_total") > max_issues).alias("issues_truncated"),
-        )
+    zero = F.lit(0).cast("bigint")
+    both = issues.select(F.lit(1).cast("bigint").alias("issue"), zero.alias("item")).unionByName(
+        checked.select(zero.alias("issue"), F.col("items_checked").alias("item"))
     )
+    return both.agg(
+        F.coalesce(F.sum("item"), zero).alias("items_checked"),
+        F.coalesce(F.sum("issue"), zero).alias("issues_total"),
+    ).withColumn("issues_truncated", F.col("issues_total") > max_issues)
 
 
 def count_cube(issues: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.dates import archived_date
-from broadsheet.functions.text import body_of, content_path, item_id, looks_like_placeholder
+from broadsheet.functions.text import body_of, content_path, filled, item_id, looks_like_placeholder
 from broadsheet.operators.ranking import first_per_key, last_per_key, top_per_group
 from broadsheet.operators.records import with_record_id
 
@@ -67,16 +67,21 @@ def refresh_candidates(incoming: DataFrame) -> DataFrame:
     return top_per_group(bodies, URL_KEY, order, 1)
 
 
+def is_stale(body: Column) -> Column:
+    """A stored body that a later one may replace."""
+    return (body == "") | looks_like_placeholder(body)
+
+
 def content_refresh(incoming: DataFrame, existing: DataFrame, contents: DataFrame) -> DataFrame:
     """Stored items whose empty or placeholder body gets a new one.
 
-    ``contents`` is ``(content_path, content)``. Only the verdict on a stored
-    body travels through the join, not the body.
+    ``contents`` is ``(content_path, content)``, or ``(content_path, stale)``
+    where the verdict was stored with the body. Only the verdict travels
+    through the join, not the body.
     """
     stored = latest_by_url(existing.select(*URL_KEY, "item_pos", "id", "content_path"))
-    stale = contents.where(
-        (F.col("content") == "") | looks_like_placeholder(F.col("content"))
-    ).select("content_path")
+    verdict = F.col("stale") if "stale" in contents.columns else is_stale(F.col("content"))
+    stale = contents.where(verdict).select("content_path")
     targets = stored.join(stale, "content_path", "left_semi").drop("item_pos")
     # Stale items are few: only bodies offered for them are compared.
     offered = incoming.join(targets.select(*URL_KEY), URL_KEY, "left_semi")
@@ -102,7 +107,11 @@ def needs_page_fetch(incoming: DataFrame, existing: DataFrame, contents: DataFra
         .otherwise("ok")
         .alias("verdict"),
     )
-    judged = stored.join(verdicts, "content_path", "left")
+    # Rows without a path get a key of their own: NULL keys would pile up.
+    key = F.coalesce(filled(F.col("content_path")), F.concat(F.lit("#"), "url"))
+    judged = stored.withColumn("key", key).join(
+        verdicts.withColumnRenamed("content_path", "key"), "key", "left"
+    )
     reason = (
         F.when(F.col("known").isNull(), "unknown")
         .when(F.coalesce("content_path", F.lit("")) == "", "no_path")

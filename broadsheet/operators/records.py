@@ -106,9 +106,16 @@ def with_record_id(records: DataFrame) -> DataFrame:
 
 def with_has_content(records: DataFrame, contents: DataFrame) -> DataFrame:
     """Flag records whose body is stored; only the path column is read."""
-    stored = contents.select("content_path").distinct().withColumn("stored", F.lit(True))
-    return records.join(stored, "content_path", "left").select(
-        *records.columns, F.coalesce("stored", F.lit(False)).alias("has_content")
+    stored = contents.select(F.col("content_path").alias("key")).distinct()
+    stored = stored.withColumn("stored", F.lit(True))
+    # Ranked records have no path; a key of their own keeps them spread out.
+    key = F.coalesce(
+        "content_path", F.concat(F.lit("#"), "url", F.lit("#"), F.col("item_pos").cast("string"))
+    )
+    return (
+        records.withColumn("key", key)
+        .join(stored, "key", "left")
+        .select(*records.columns, F.coalesce("stored", F.lit(False)).alias("has_content"))
     )
 
 

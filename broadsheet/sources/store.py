@@ -46,8 +46,10 @@ TABLES = {
         T.StructType(
             [
                 T.StructField(n, _S)
-                for n in ("content_path", "item_id", "content", "source_id", "run_id")
+                for n in ("content_path", "item_id", "content")
             ]
+            + [T.StructField("stale", T.BooleanType())]
+            + [T.StructField(n, _S) for n in ("source_id", "run_id")]
         ),
         ["source_id", "run_id"],
     ),
@@ -173,7 +175,7 @@ class Store:
         written = merge.last_per_key(rows, ["content_path"], ["item_pos"]) if parity else rows
         bodies = written.select(
             "content_path", F.col("id").alias("item_id"), F.col("body").alias("content"),
-            "source_id", "run_id",
+            merge.is_stale(F.col("body")).alias("stale"), "source_id", "run_id",
         )
         self._write("contents", bodies)
         self._write("items", rows)
@@ -186,7 +188,8 @@ class Store:
         """
         known = self.items().where(F.col("run_id") != run_id)
         contents = self.contents()
-        found = merge.content_refresh(incoming, known, contents)
+        # The stored verdict is read, not the bodies.
+        found = merge.content_refresh(incoming, known, contents.select("content_path", "stale"))
         self._write("staged_refresh", found.withColumn("run_id", F.lit(run_id)))
         better = (
             self.table("staged_refresh")
@@ -204,7 +207,8 @@ class Store:
             "contents",
             contents.join(touched, ["source_id", "run_id"], "left_semi")
             .join(better, "content_path", "left")
-            .withColumn("content", F.coalesce("body", "content")),
+            .withColumn("content", F.coalesce("body", "content"))
+            .withColumn("stale", merge.is_stale(F.col("content"))),
         )
 
     def write_snapshot(self, ranked: DataFrame, snapshot_date: str) -> None:

@@ -29,6 +29,9 @@ def test_every_twin_belongs_to_a_query():
 @pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, duck, name):
     df = REGISTRY[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for costly in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython"):
+        assert costly not in plan
     names = sorted(df.columns)
     got = sorted(repr(tuple(r[n] for n in names)) for r in df.collect())
     assert got
