@@ -411,6 +411,31 @@ def examples(issues: DataFrame, n: int = MAX_ISSUES) -> DataFrame:
     return issues.orderBy(*SEQUENCE).limit(n)
 
 
+def example_lines(issues: DataFrame, n: int = MAX_EXAMPLES) -> DataFrame:
+    """The first issues as text lines."""
+    detail = F.when(F.col("detail").isNull(), "").otherwise(
+        F.concat(F.lit(" ("), "detail", F.lit(")"))
+    )
+    line = F.concat(
+        F.lit("- "), "source_id", F.lit(":"), F.coalesce(filled(F.col("item_id")), F.lit("-")),
+        F.lit(" "), "issue_type", detail, F.lit(" "), F.coalesce("path", F.lit("")),
+    )
+    return examples(issues, n).select(line.alias("line"))
+
+
+def source_lines(by_source: DataFrame) -> DataFrame:
+    """One text line per source with its counts, sources by name."""
+    counts = F.transform(
+        F.array_sort(F.map_entries("issues")),
+        lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
+    )
+    line = F.format_string(
+        "- %s (%s): items_checked=%d issues=%s", "source_id", "kind", "items_checked",
+        F.coalesce(filled(F.array_join(counts, ", ")), F.lit("none")),
+    )
+    return by_source.orderBy("source_id").select(line.alias("line"))
+
+
 def audit(
     manifest_files: DataFrame | None = None,
     contents: DataFrame | None = None,

@@ -18,6 +18,7 @@ from broadsheet.functions.text import (
     strip,
 )
 from broadsheet.operators import audit, merge, query, ranking, records, report, threads
+from broadsheet.plans import ingest
 from broadsheet.plans import tables as t
 from broadsheet.schemas import RECORD_FIELDS
 from broadsheet.session import configure
@@ -440,6 +441,18 @@ def audit_examples(spark, sf_dir):
     return audit.examples(issues, audit.MAX_ISSUES).select("source_id", "issue_type", "item_id", "path", "detail")
 
 
+@registered
+def audit_example_lines(spark, sf_dir):
+    issues, _ = _store_audit(spark, sf_dir)
+    return audit.example_lines(issues)
+
+
+@registered
+def audit_source_lines(spark, sf_dir):
+    issues, checked = _store_audit(spark, sf_dir)
+    return audit.source_lines(audit.counts_by_source(issues, checked))
+
+
 # --- pages and lines -----------------------------------------------------------
 
 
@@ -492,8 +505,8 @@ def dated_articles(spark, sf_dir):
 
 @registered
 def long_body_pages(spark, sf_dir):
-    found = pages.long_body_pages(t.document_pages(spark, sf_dir, "long"))
-    return found.select("doc_id", "content").where("content is not null")
+    text = pages.long_body_markdown(F.col("html"))
+    return t.document_pages(spark, sf_dir, "long").select("doc_id", text.alias("content"))
 
 
 @registered
@@ -542,6 +555,12 @@ def feed_items(spark, sf_dir):
     )
 
 
+@registered
+def quarantined_payloads(spark, sf_dir):
+    landed = t.damaged_feeds(spark, sf_dir)
+    return ingest.quarantine(landed, feeds.feed_items(landed)).select("source_id", "run_id")
+
+
 @registered
 def ranked_feed_items(spark, sf_dir):
     limit = registry.item_limit("product-hunt")

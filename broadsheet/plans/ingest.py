@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.operators import threads
+from broadsheet.operators.merge import needs_page_fetch
 from broadsheet.operators.records import archive_records, snapshot_records
 from broadsheet.operators.report import run_report
 from broadsheet.schemas import ARCHIVE_ITEM, RANKED_ITEM
@@ -122,7 +123,9 @@ def archive_items(
 
     A source without a rule of its own is read as a feed.
     """
-    special = [*ARCHIVE_SHAPES, *RANKED_SHAPES, *LISTINGS, STORY_SOURCE, EMAIL_SOURCE]
+    special = [
+        *ARCHIVE_SHAPES, *RANKED_SHAPES, *LISTINGS, STORY_SOURCE, EMAIL_SOURCE, LONG_BODY_SOURCE,
+    ]
     plain = raw.where(~F.col("source_id").isin(special))
     parts = [_shaped(feeds.feed_items(plain), ARCHIVE_ITEM)]
     for source_id, flatten in ARCHIVE_SHAPES.items():
@@ -132,12 +135,31 @@ def archive_items(
             fetched = _of(raw_pages, source_id).select("url", "html")
             items = pages.with_page_body(items, fetched, rule(F.col("html")), first_n)
         parts.append(items)
+    long = _shaped(feeds.feed_items(_of(raw, LONG_BODY_SOURCE)), ARCHIVE_ITEM)
+    if raw_pages is not None:
+        # Pages are landed for the urls that need one; what was landed counts.
+        fetched = _of(raw_pages, LONG_BODY_SOURCE).select("url", "html")
+        body = pages.long_body_markdown(F.col("html"))
+        long = pages.with_page_body(long, fetched, body, only_blank=False)
+    parts.append(long)
     parts.append(_shaped(email_items(raw, issue_date), ARCHIVE_ITEM))
     if raw_pages is not None:
         parts.append(listing_items(raw_pages))
     return _union(parts)
 
 
+def quarantine(raw: DataFrame, items: DataFrame) -> DataFrame:
+    """Landed documents that gave no item: broken, of another shape, or empty."""
+    key = ["source_id", "run_id"]
+    return raw.join(items.select(*key).distinct(), key, "left_anti")
+
+
+def pages_to_fetch(store: Store, raw: DataFrame) -> DataFrame:
+    """Urls of the long-body feed whose page should be landed before the run."""
+    items = feeds.feed_items(_of(raw, LONG_BODY_SOURCE)).select("source_id", "url", "item_pos")
+    return needs_page_fetch(items, store.items(), store.contents())
+
+
 def ingest(
     store: Store,
     sources: DataFrame,

@@ -130,3 +130,25 @@ def select_inner(html: Column, tag: str | None = None, **attrs: str) -> Column:
 def child_nodes(batch: pd.Series) -> pd.Series:
     """Direct children of a fragment; text nodes have no name."""
     return batch.map(_children)
+
+
+def _without_styled(text: str | None, markers: list[str]) -> str | None:
+    if text is None:
+        return None
+    kept, at = [], 0
+    for _, attrs, _, start, _, end, _ in _Spans(text).spans:
+        style = (attrs.get("style") or "").lower()
+        if start >= at and any(marker in style for marker in markers):
+            kept.append(text[at:start])
+            at = end
+    return "".join(kept) + text[at:]
+
+
+def without_styled(html: Column, markers: list[str]) -> Column:
+    """Drop every element whose inline style holds one of the markers."""
+
+    @F.pandas_udf(T.StringType())
+    def run(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda text: _without_styled(text, markers))
+
+    return run(html)

@@ -22,12 +22,14 @@ from broadsheet.functions.markup import (
     visible_text,
     without_tags,
 )
-from broadsheet.functions.text import filled, first_filled, is_blank, strip
-from broadsheet.sources.dom import child_nodes, select_inner
+from broadsheet.functions.text import filled, first_filled, is_blank, let, strip
+from broadsheet.sources.dom import child_nodes, select_inner, without_styled
 
 BODY_START_CHARS = 80
-# Classes of widgets inside long bodies, words of footer blocks.
+# Classes of widgets inside long bodies, styles that hide an
+# element, words of footer blocks.
 SKIPPED_CLASSES = ["SVELTE_HYDRATER", "not-prose"]
+HIDDEN = ["display:none", "visibility:hidden", "max-height:0"]
 FOOTER_WORDS = ["unsubscribe", "update your preferences"]
 
 
@@ -196,11 +198,10 @@ def _node_text(node: Column) -> Column:
     )
 
 
-def long_body_pages(pages: DataFrame, container_class: str = "blog-content") -> DataFrame:
-    """Markdown of long-form pages: children of the container from the first
+def long_body_markdown(html: Column, container_class: str = "blog-content") -> Column:
+    """Markdown of a long-form page: children of the container from the first
     node of body length on, without widgets and empty nodes."""
-    rest = [c for c in pages.columns if c != "html"]
-    container = F.get(select_inner(F.col("html"), "div", class_=container_class), F.lit(0))
+    container = F.get(select_inner(html, "div", class_=container_class), F.lit(0))
     widgets = F.array(*[F.lit(c) for c in SKIPPED_CLASSES])
 
     def described(node: Column) -> Column:
@@ -211,14 +212,6 @@ def long_body_pages(pages: DataFrame, container_class: str = "blog-content") ->
             _node_text(node).alias("text"),
         )
 
-    df = pages.select(*rest, child_nodes(container).alias("nodes")).select(
-        *rest, F.transform("nodes", described).alias("nodes")
-    )
-    start = F.array_position(
-        F.transform("nodes", lambda n: ~n["widget"] & (F.length(n["text"]) >= BODY_START_CHARS)),
-        True,
-    )
-
     def kept(node: Column) -> Column:
         media = node["html"].rlike(r"(?i)<(?:img|pre|code)\b")
         return ~node["widget"] & ((node["text"] != "") | (node["name"].isNotNull() & media))
@@ -231,11 +224,19 @@ def long_body_pages(pages: DataFrame, container_class: str = "blog-content") ->
             node["name"].isNull(), F.concat(F.lit("<p>"), escaped, F.lit("</p>"))
         ).otherwise(node["html"])
 
-    body = F.when(start > 0, F.slice("nodes", start.cast("int"), F.size("nodes")))
-    html = F.array_join(F.transform(F.filter(body, kept), rendered), "\n")
-    return df.select(*rest, to_markdown(html).alias("content")).select(
-        *rest, F.when(F.col("content") != "", F.concat("content", F.lit("\n"))).alias("content")
-    )
+    def from_start(nodes: Column) -> Column:
+        start = F.array_position(
+            F.transform(
+                nodes, lambda n: ~n["widget"] & (F.length(n["text"]) >= BODY_START_CHARS)
+            ),
+            True,
+        )
+        body = F.when(start > 0, F.slice(nodes, start.cast("int"), F.size(nodes)))
+        return F.array_join(F.transform(F.filter(body, kept), rendered), "\n")
+
+    nodes = F.transform(child_nodes(container), described)
+    text = to_markdown(let(nodes, from_start))
+    return let(text, lambda t: F.when(t != "", F.concat(t, F.lit("\n"))))
 
 
 def newsletter_markdown(html: Column) -> Column:
@@ -260,14 +261,7 @@ def email_markdown(html: Column) -> Column:
     """Rendered e-mail without hidden nodes and layout tables, lines cleaned."""
     from broadsheet.functions.lines import clean_lines
 
-    text = without_tags(html, ["script", "style", "noscript", "head"])
-    hidden = r"display:none|visibility:hidden|max-height:0"
-    text = F.regexp_replace(
-        text,
-        rf"(?is)<(\w+)\s[^>]*?\bstyle\s*=\s*(?:\"[^\"]*(?:{hidden})[^\"]*\"|'[^']*(?:{hidden})[^']*')"
-        r"[^>]*>.*?</\1\s*>",
-        "",
-    )
+    text = without_styled(without_tags(html, ["script", "style", "noscript", "head"]), HIDDEN)
     text = F.regexp_replace(text, r"(?i)<img\b[^>]*>|<meta\b[^>]*>", "")
     return clean_lines(to_markdown(text))
 
@@ -281,13 +275,15 @@ def with_page_body(
     pages: DataFrame,
     body: Column,
     first_n: int | None = None,
+    only_blank: bool = True,
 ) -> DataFrame:
     """Fill bodies that the feed left blank from the fetched pages.
 
     ``pages`` is ``(url, html)``, one row per url. Only the first ``first_n``
-    entries of a feed are eligible.
+    entries of a feed are eligible. Without ``only_blank`` a fetched page also
+    wins over the feed's own body.
     """
-    eligible = is_blank(F.col("content"))
+    eligible = is_blank(F.col("content")) if only_blank else F.lit(True)
     if first_n is not None:
         eligible = eligible & (F.col("item_pos") < first_n)
     fetched = pages.select(F.col("url").alias("page_url"), body.alias("page_body"))

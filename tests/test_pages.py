@@ -48,7 +48,8 @@ def test_long_body(spark):
     <p>Second <a href="https://e/l">link</a>.</p><div class="SVELTE_HYDRATER">w</div><p> </p>
     <div><div>nested</div></div><ul><li>One</li></ul></div><p>after</p></div>"""
     df = frame(spark, ("u", html), ("v", "<div class='blog-content'>short</div>"), ("w", "<p>no</p>"))
-    got = {r["url"]: r["content"] for r in pages.long_body_pages(df).collect()}
+    found = df.select("url", pages.long_body_markdown(F.col("html")).alias("content"))
+    got = {r["url"]: r["content"] for r in found.collect()}
     assert got == {"u": f"{long}\n\nSecond [link](https://e/l).\n\nnested\n\n* One\n", "v": None, "w": None}
 
 
@@ -66,7 +67,7 @@ def test_newsletter(values):
 
 
 def test_email(values):
-    html = """<html><head><title> Issue 7 </title></head><body><div style="display:none">hidden</div><p>logo</p>
+    html = """<html><head><title> Issue 7 </title></head><body><div style="x; DISPLAY:none">hid<div>den</div> too</div><p>logo</p>
     <table><tr><td>Hey reader</td><td>cell</td></tr></table><img src="x"></body></html>"""
     assert values(pages.email_markdown, [html]) == ["Hey reader\n\ncell"]
     assert values(pages.email_title, [html, "<p>"]) == ["Issue 7", None]
@@ -80,3 +81,5 @@ def test_page_body_fills_only_first_blank_items(spark):
     fetched = frame(spark, *[(f"u{i}", f"<p>page{i}</p>") for i in (0, 1, 3)], ("u2", ""))
     got = pages.with_page_body(items, fetched, F.regexp_extract("html", "<p>(.*)</p>", 1), first_n=3)
     assert [r["content"] for r in got.orderBy("item_pos").collect()] == ["page0", "kept", "", ""]
+    got = pages.with_page_body(items, fetched, F.regexp_extract("html", "<p>(.*)</p>", 1), only_blank=False)
+    assert [r["content"] for r in got.orderBy("item_pos").collect()] == ["page0", "page1", "", "page3"]
