@@ -75,22 +75,21 @@ def explode_snapshots(documents: DataFrame) -> DataFrame:
     A document without an ``items`` list gives no rows, nor does an entry that
     is no object.
     """
-    docs = documents.select("source_id", F.try_parse_json("body").alias("doc"))
-    e = F.col("e")
-    fields = [
-        F.try_variant_get(e, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-        for f in SNAPSHOT_ITEM.fields
-    ]
+    strict = {"allowSingleQuotes": "false"}
+    # Entries stay JSON text first, so that a faulty one spoils no other.
+    doc = F.from_json("body", "archived_at string, items array<string>", strict)
     return (
-        docs.select(
+        documents.select("source_id", doc.alias("doc"))
+        .select(
             "source_id",
-            F.try_variant_get("doc", "$.archived_at", "string").alias("snapshot_date"),
-            F.posexplode(F.try_variant_get("doc", "$.items", "array<variant>")).alias(
-                "item_pos", "e"
-            ),
+            F.col("doc.archived_at").alias("snapshot_date"),
+            F.posexplode("doc.items").alias("item_pos", "e"),
+        )
+        .where(F.col("e").startswith("{"))
+        .select(
+            "source_id", "snapshot_date", "item_pos", F.from_json("e", SNAPSHOT_ITEM, strict).alias("i")
         )
-        .where(F.schema_of_variant(e).startswith("OBJECT"))
-        .select("source_id", "snapshot_date", "item_pos", *fields)
+        .select("source_id", "snapshot_date", "item_pos", "i.*")
     )
 
 
