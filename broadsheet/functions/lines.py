@@ -11,7 +11,7 @@ from broadsheet.functions.text import rstrip, split_lines, strip
 OPENINGS = ["hey ", "your daily briefing"]
 
 
-def _is_table_rule(line: Column) -> Column:
+def _is_table_border(line: Column) -> Column:
     edged = line.startswith("|") & line.endswith("|")
     return edged & (F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit(""))) > 4)
 
@@ -28,7 +28,7 @@ def _trimmed(text: Column) -> Column:
 def clean_lines(text: Column) -> Column:
     """Drop table rules, pipe lines and the preamble; collapse blank runs to one."""
     kept = F.filter(
-        _trimmed(text), lambda x: ~(_is_table_rule(strip(x)) | _is_pipe_only(strip(x)))
+        _trimmed(text), lambda x: ~(_is_table_border(strip(x)) | _is_pipe_only(strip(x)))
     )
     body = F.array_join(kept, "\n")
     body = F.regexp_replace(body, rf"(?dimsu)\A.*?^({'|'.join(OPENINGS)})", "$1")

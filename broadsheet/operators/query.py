@@ -54,7 +54,7 @@ def date_range(
         day = date.fromisoformat(on[:10])
         return day, day
     if not start or not end:
-        raise ValueError("Both start and end are required for range queries")
+        raise ValueError("a date range needs both its start and its end")
     return date.fromisoformat(start[:10]), date.fromisoformat(end[:10])
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: the error of a source that gave nothing.
 NO_ITEMS = "no items returned"
 
 

@@ -161,8 +161,13 @@ def read_content(spark, sf_dir):
 def record_lines(spark, sf_dir):
     store = t.store(spark, sf_dir)
     flagged = records.with_has_content(_stored_records(spark, sf_dir, store), t.contents(store))
-    return records.record_lines(flagged).select("source_id", "item_pos", "line", F.get_json_object("json", "$.item_id").alias("json_item_id"),
-        F.get_json_object("json", "$.has_content").alias("json_has_content"))
+    return records.record_lines(flagged).select(
+        "source_id",
+        "item_pos",
+        "line",
+        F.get_json_object("json", "$.item_id").alias("json_item_id"),
+        F.get_json_object("json", "$.has_content").alias("json_has_content"),
+    )
 
 
 # --- identity ------------------------------------------------------------------
@@ -337,7 +342,9 @@ def recent_top_n(spark, sf_dir):
     repos = t.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("item_pos"),
         F.col("n_chars").alias("score"),
-        F.concat(F.lit("2026-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0")).alias("created"),
+        F.concat(
+            F.lit("2026-01-"), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0")
+        ).alias("created"),
     )
     return ranking.recent_top_n(repos, RUN_DATE)
 
@@ -438,7 +445,7 @@ def audit_cube(spark, sf_dir):
 @registered
 def audit_examples(spark, sf_dir):
     issues, _ = _store_audit(spark, sf_dir)
-    return audit.examples(issues, audit.MAX_ISSUES).select("source_id", "issue_type", "item_id", "path", "detail")
+    return audit.examples(issues).select("source_id", "issue_type", "item_id", "path", "detail")
 
 
 @registered

@@ -71,7 +71,7 @@ def get_source(source_id: str) -> dict:
     for row in source_rows():
         if row[1] == source_id:
             return dict(zip(SOURCE.names, row, strict=True))
-    raise KeyError(f"Unknown source: {source_id}")
+    raise KeyError(f"no source is registered as {source_id!r}")
 
 
 def item_limit(source_id: str) -> int | None:
