@@ -283,14 +283,14 @@ def _confirmed(batches):
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` but the text, with n_shingles, component_id, kept, chosen.
+    """doc_id, n_shingles, component_id, kept and chosen of each row.
 
     ``kept`` is doc_id = component_id; ``chosen`` marks one row per component,
-    also where rows repeat a doc_id.
+    also where rows repeat a doc_id. Rows that are numbered (``common.UID``, in
+    a written table) keep their numbers.
     """
-    extra = [c for c in docs.columns if c not in ("doc_id", "text", UID)]
-    rows = with_uid(docs.select(F.col("doc_id").cast("bigint"), "text"))
-    rows = rows.select(UID, "doc_id", "text", F.md5("text").alias("tkey"))
+    numbered = docs if UID in docs.columns else with_uid(docs)
+    rows = numbered.select(UID, F.col("doc_id").cast("bigint"), "text", F.md5("text").alias("tkey"))
     signed = written(rows.mapInArrow(_sign, _SIGNED), "dedup-signed")
     best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", UID)
     nodes = written(

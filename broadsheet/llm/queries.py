@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import language_id, near_dedup, packing, quality, secrets, sharding, spans, token_counts
+from broadsheet.llm import (
+    decontamination,
+    language_id,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    spans,
+    token_counts,
+)
 from broadsheet.llm.common import documents, remainder
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +30,12 @@ def registered(fn):
     return fn
 
 
+@registered
+def op2_decontamination(spark, sf_dir):
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, sf_dir), items)
+
+
 @registered
 def op3_secret_scan(spark, sf_dir):
     found = secrets.scan(documents(spark, sf_dir))
@@ -44,6 +61,13 @@ def op5_packing(spark, sf_dir):
     )
 
 
+@registered
+def op6_personal_data(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.train(docs))
+    return found.select("doc_id", *spans.digests(F.col("spans"), pii.KINDS))
+
+
 @registered
 def op7_near_dedup(spark, sf_dir):
     found = near_dedup.near_duplicates(documents(spark, sf_dir))
