@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from broadsheet.llm import (
     decontamination,
     language_id,
+    lm_scoring,
     near_dedup,
     packing,
     pii,
@@ -30,6 +31,12 @@ def registered(fn):
     return fn
 
 
+@registered
+def op1_lm_scoring(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return lm_scoring.score(docs, remainder(F.col("doc_id"), 7) == 2)
+
+
 @registered
 def op2_decontamination(spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
