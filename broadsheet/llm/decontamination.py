@@ -131,10 +131,10 @@ class Index:
         if not len(at):
             return
         ids, last = ids[at], max(0, -(-(len(own) - self.passage) // self.step))
-        late = np.minimum(at // self.step, last)
-        codes = [late * len(self.terms) + ids]
-        before = late > 0  # a word is also in the passage before
-        codes.append((late[before] - 1) * len(self.terms) + ids[before])
+        codes = []
+        for place in (at // self.step, at // self.step - 1):  # a word is in two passages
+            inside = (place >= 0) & (place <= last)
+            codes.append(place[inside] * len(self.terms) + ids[inside])
         codes = np.unique(np.concatenate(codes))
         passage, term = np.divmod(codes, len(self.terms))
         starts = np.flatnonzero(np.diff(passage, prepend=-1))

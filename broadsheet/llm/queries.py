@@ -104,3 +104,38 @@ def op10_sharding(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# Near-duplicates, all pairs compared. \x0b and \x0c are white space too.
+ORACLE["op7_near_dedup"] = """
+with recursive
+w as (
+    select doc_id, [x for x in regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\\x20\\x09-\\x0D]+') if x <> ''] as w
+    from documents
+),
+s as (
+    select distinct doc_id, unnest(case
+        when len(w) = 0 then []
+        when len(w) < 5 then [array_to_string(w, ' ')]
+        else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end) as g
+    from w
+),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+    select a.doc_id as a, b.doc_id as b, count(*) as k
+    from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+),
+l as (
+    select p.a, p.b from p join n x on x.doc_id = p.a join n y on y.doc_id = p.b
+    where 100 * p.k >= 75 * (x.n + y.n - p.k)
+),
+r as (
+    select doc_id, doc_id as other from documents
+    union select r.doc_id, l.b from r join l on r.other = l.a
+),
+c as (select doc_id, min(other) as component_id from r group by doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d join c on c.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
+"""
