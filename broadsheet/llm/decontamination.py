@@ -21,8 +21,8 @@ about ``PART_WORDS`` words, each queried by all documents, so neither the driver
 task ever holds a benchmark of unknown size. Each document is one row, judged
 in its task: no shuffle.
 
-Defined cases: NULL or empty texts match nothing; items without a word match
-nothing; repeated items are reported each; an empty benchmark leaves all
+Defined cases: NULL or empty texts match nothing; items of fewer than
+``LEAST_WORDS`` words match nothing; repeated items are reported each; an empty benchmark leaves all
 documents as they are.
 """
 
@@ -43,6 +43,8 @@ OVERLAP = 0.6
 PASSAGE_WORDS = 128
 BLOCK_ITEMS = 8
 PART_WORDS = 400_000
+#: Items of fewer words would be found in ordinary text.
+LEAST_WORDS = 5
 K1, B = 1.2, 0.75
 
 WORD = re.compile(r"\w+")
@@ -166,6 +168,8 @@ def _item_words(batches):
         rows = []
         for uid, item, text in zip(*(batch.column(c).to_pylist() for c in (UID, "item_id", "text")), strict=True):
             question, answer = question_and_answer(text or "")
+            if len(question) + len(answer) < LEAST_WORDS:
+                continue
             counts = Counter(question + answer)
             for k, (word, tf) in enumerate(sorted(counts.items())):
                 parts = (question, answer) if k == 0 else (None, None)
