@@ -20,7 +20,6 @@ LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 SPACE_CLASS = r"\s\x1c\x1d\x1e\x1f"
 SPACE_RUN = rf"(?U)[{SPACE_CLASS}]+"
 
-PREVIEW_CHARS = 800
 SNIPPET_CHARS = 200
 SLUG_CHARS = 80
 
@@ -96,13 +95,14 @@ def contains_term(title: Column, term: str) -> Column:
     return F.contains(F.lower(title), F.lower(F.lit(term)))
 
 
-def looks_like_placeholder(body: Column) -> Column:
-    """A layout residue instead of an article, judged on the preview.
+def looks_like_placeholder(body: Column, preview_chars: int | None = None) -> Column:
+    """A layout residue instead of an article.
 
     True for an empty table cell, a line that holds nothing but a pipe, or a
-    sign-up box at the start.
+    sign-up box at the start. The whole body is judged unless
+    ``preview_chars`` limits it to its first characters.
     """
-    preview = F.substring(body, 1, PREVIEW_CHARS)
+    preview = body if preview_chars is None else F.substring(body, 1, preview_chars)
     lone_pipe = rf"(?U)(?:\A|[{LINE_BREAKS}])[{SPACE_CLASS}]*\|[{SPACE_CLASS}]*(?:\z|[{LINE_BREAKS}])"
     return (
         preview.contains("|  |")
@@ -111,12 +111,6 @@ def looks_like_placeholder(body: Column) -> Column:
     )
 
 
-def needs_refresh(stored: Column, incoming: Column) -> Column:
-    """May ``incoming`` replace ``stored``? Only an empty or placeholder body yields."""
-    has_new = F.coalesce(incoming, F.lit("")) != ""
-    return (stored == "") | (has_new & looks_like_placeholder(stored))
-
-
 def snippet(body: Column) -> Column:
     head = F.translate(F.substring(body, 1, SNIPPET_CHARS), "\n", " ")
     return F.concat(head, F.when(F.length(body) > SNIPPET_CHARS, F.lit("…")).otherwise(""))

@@ -24,7 +24,6 @@ from broadsheet.sources.ranked import strict_json, string_at
 MIN_CHARS = 400
 MAX_ISSUES = 200
 MAX_EXAMPLES = 20
-SNAPSHOT_ITEMS_CHECKED = 50
 
 ISSUE_COLUMNS = ISSUE.names
 # Scan order: source, landed file, position in it, rule.
@@ -280,10 +279,10 @@ def line_issues(
 # --- snapshots ------------------------------------------------------------
 
 
-def snapshot_issues(files: DataFrame) -> DataFrame:
+def snapshot_issues(files: DataFrame, items_per_file: int | None = None) -> DataFrame:
     """Rules 20 to 25 on landed snapshot files ``(source_id, path, content)``.
 
-    Only the first fifty entries of a file are looked at, as a fixed rule.
+    All entries are looked at; ``items_per_file`` stops after the first ones.
     """
     raw = F.col("content")
     if dict(files.dtypes)["content"] == "binary":
@@ -311,7 +310,10 @@ def snapshot_issues(files: DataFrame) -> DataFrame:
         F.lit(0).cast("bigint").alias("pos"),
         none.alias("object"), none.alias("no_url"), none.alias("no_title"),
     )
-    entries = F.transform(F.slice("listed", 1, SNAPSHOT_ITEMS_CHECKED), entry)
+    looked_at = F.col("listed")
+    if items_per_file is not None:
+        looked_at = F.slice(looked_at, 1, items_per_file)
+    entries = F.transform(looked_at, entry)
     subjects = F.when(F.col("listed").isNull(), F.array(whole)).otherwise(
         F.concat(F.array(whole), entries)
     )
@@ -445,6 +447,7 @@ def audit(
     source_ids: list[str] | None = None,
     min_content_chars: int = MIN_CHARS,
     include_snippets: bool = False,
+    items_per_snapshot: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Audit landed files; gives (issues, items checked per source).
 
@@ -472,7 +475,7 @@ def audit(
             archives = manifest_files.select("source_id").distinct()
             snapshot_files = snapshot_files.join(archives, "source_id", "left_anti")
     if snapshot_files is not None:
-        parts.append(snapshot_issues(snapshot_files))
+        parts.append(snapshot_issues(snapshot_files, items_per_snapshot))
     if layout is not None:
         parts.append(layout_issues(layout))
     issues = parts[0]

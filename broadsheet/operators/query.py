@@ -49,13 +49,16 @@ def by_keyword(
 def date_range(
     on: str | None = None, start: str | None = None, end: str | None = None
 ) -> tuple[date, date]:
-    """A single day wins over a range; a range needs both ends."""
+    """A single day wins over a range; a range needs both ends.
+
+    Days are ISO dates; anything else, also after a date, raises ValueError.
+    """
     if on:
-        day = date.fromisoformat(on[:10])
+        day = date.fromisoformat(on)
         return day, day
     if not start or not end:
         raise ValueError("a date range needs both its start and its end")
-    return date.fromisoformat(start[:10]), date.fromisoformat(end[:10])
+    return date.fromisoformat(start), date.fromisoformat(end)
 
 
 def by_archive_date(

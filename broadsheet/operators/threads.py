@@ -12,9 +12,9 @@ from broadsheet.operators.ranking import top_per_group
 from broadsheet.session import ensure_checkpoint_dir
 from broadsheet.sources.ranked import string_at, text_at, whole_at
 
+# What a ranked list shows unless the caller asks for more.
 COMMENT_LIMIT = 20
 STORY_LIMIT = 10
-SEED_LIMIT = 20
 # Address of a discussion and the text of a removed comment.
 DISCUSSION_URL = "https://news.ycombinator.com/item?id="
 DELETED = "[deleted]"
@@ -40,9 +40,16 @@ def parse_nodes(raw_items: DataFrame) -> DataFrame:
     )
 
 
-def seed_stories(raw_seeds: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Landed id lists ``(source_id, run_id, body)`` joined to their stories."""
-    ids = F.slice(F.from_json("body", "array<bigint>"), 1, SEED_LIMIT)
+def seed_stories(
+    raw_seeds: DataFrame, nodes: DataFrame, limit: int | None = None
+) -> DataFrame:
+    """Landed id lists ``(source_id, run_id, body)`` joined to their stories.
+
+    ``limit`` reads the first ids of each list only.
+    """
+    ids = F.from_json("body", "array<bigint>")
+    if limit is not None:
+        ids = F.slice(ids, 1, limit)
     seeds = raw_seeds.select(
         "source_id", "run_id", F.posexplode(ids).alias("seed_pos", "node_id")
     )
@@ -167,19 +174,25 @@ def comment_rows(comments: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def story_items(raw_seeds: DataFrame, raw_items: DataFrame) -> DataFrame:
-    """Ranked stories with their first comments attached."""
+def story_items(
+    raw_seeds: DataFrame,
+    raw_items: DataFrame,
+    seed_limit: int | None = None,
+    story_limit: int = STORY_LIMIT,
+    comment_limit: int = COMMENT_LIMIT,
+) -> DataFrame:
+    """The most discussed stories with their first comments attached."""
     nodes = parse_nodes(raw_items)
     stories = top_per_group(
-        seed_stories(raw_seeds, nodes),
+        seed_stories(raw_seeds, nodes, seed_limit),
         ["source_id", "run_id"],
         [F.desc("comments_count"), F.asc("seed_pos")],
-        STORY_LIMIT,
+        story_limit,
         rank="rank",
     )
     keyed = stories.select(F.col("node_id").alias("story_id"), "kids").dropDuplicates(["story_id"])
-    comments = comment_rows(thread_comments(keyed, nodes), nodes)
-    # At most COMMENT_LIMIT rows per story.
+    comments = comment_rows(thread_comments(keyed, nodes, comment_limit), nodes)
+    # At most ``comment_limit`` rows per story.
     lists = comments.groupBy(F.col("story_id").alias("node_id")).agg(
         F.transform(
             F.array_sort(

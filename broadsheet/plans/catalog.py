@@ -70,9 +70,9 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[_as_text(c) for c in names])
 
 
-def _all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _all(spark: SparkSession, sf_dir: str, dimension: DataFrame | None = None) -> DataFrame:
     """Records of both kinds over one source dimension."""
-    dimension = t.dimension(spark, sf_dir)
+    dimension = t.dimension(spark, sf_dir) if dimension is None else dimension
     posts = t.posts(spark, sf_dir).withColumn("id", item_id(F.col("title"), F.col("url")))
     path = content_path(F.col("source_id"), F.col("id"))
     return records.records_union(
@@ -279,8 +279,7 @@ def _index_columns(df: DataFrame) -> DataFrame:
 
 
 def _enabled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enabled = t.dimension(spark, sf_dir).where("enabled").select("source_id")
-    return _all(spark, sf_dir).join(enabled, "source_id", "left_semi")
+    return _all(spark, sf_dir, t.dimension(spark, sf_dir).where("enabled"))
 
 
 @registered
@@ -465,24 +464,24 @@ def audit_source_lines(spark, sf_dir):
 
 @registered
 def page_links(spark, sf_dir):
-    links = pages.page_links(t.spread(t.table(spark, sf_dir, "pages")), "/", "/the")
+    links = pages.page_links(t.table(spark, sf_dir, "pages"), "/", "/the")
     return links.select("page_id", "link_pos", "link")
 
 
 @registered
 def page_articles(spark, sf_dir):
-    found = pages.page_articles(t.spread(t.table(spark, sf_dir, "pages")))
+    found = pages.page_articles(t.table(spark, sf_dir, "pages"))
     return found.select("page_id", "title", "url", "published_at", "content")
 
 
 @registered
 def page_text(spark, sf_dir):
-    return pages.page_text(t.spread(t.table(spark, sf_dir, "pages"))).select("page_id", "text")
+    return pages.page_text(t.table(spark, sf_dir, "pages")).select("page_id", "text")
 
 
 @registered
 def page_blocks(spark, sf_dir):
-    blocks = pages.page_blocks(t.spread(t.table(spark, sf_dir, "pages")))
+    blocks = pages.page_blocks(t.table(spark, sf_dir, "pages"))
     return blocks.select("page_id", "block_pos", "block")
 
 
@@ -570,8 +569,7 @@ def quarantined_payloads(spark, sf_dir):
 
 @registered
 def ranked_feed_items(spark, sf_dir):
-    limit = registry.item_limit("product-hunt")
-    return feeds.ranked_feed_items(t.landed_feeds(spark, sf_dir), limit).select(
+    return feeds.ranked_feed_items(t.landed_feeds(spark, sf_dir)).select(
         "run_id", "rank", "title", "url", "published_at"
     )
 

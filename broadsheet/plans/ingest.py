@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +17,18 @@ from broadsheet.sources import feeds, pages, ranked
 from broadsheet.sources.registry import item_limit
 from broadsheet.sources.store import Store
 
-Flattener = Callable[[DataFrame], DataFrame]
+Flattener = Callable[..., DataFrame]
 
-# Ranked sources by the shape of their payload.
+# Ranked sources by the shape of their payload; how many entries count is the
+# limit of their source.
 RANKED_SHAPES: dict[str, Flattener] = {
     "lobsters": ranked.link_list_items,
     "releasebot": ranked.release_items,
     "hf-papers": ranked.paper_items,
     "github-trending": ranked.repo_items,
-    "product-hunt": lambda raw: feeds.ranked_feed_items(raw, item_limit("product-hunt")),
+    "product-hunt": feeds.ranked_feed_items,
     "skills-sh-trending": ranked.embedded_list_items,
-    "skills-sh-hot": lambda raw: ranked.embedded_list_items(raw, with_change=True),
+    "skills-sh-hot": partial(ranked.embedded_list_items, with_change=True),
 }
 # Archive sources whose payload is not a plain feed.
 ARCHIVE_SHAPES: dict[str, Flattener] = {
@@ -71,11 +72,13 @@ def _of(raw: DataFrame, source_id: str) -> DataFrame:
 def ranked_items(raw: DataFrame, raw_items: DataFrame | None = None) -> DataFrame:
     """Items of every ranked source in one plan; ``raw_items`` holds thread nodes."""
     parts = [
-        _shaped(flatten(_of(raw, source_id)), RANKED_ITEM)
+        _shaped(flatten(_of(raw, source_id), limit=item_limit(source_id)), RANKED_ITEM)
         for source_id, flatten in RANKED_SHAPES.items()
     ]
     if raw_items is not None:
-        stories = threads.story_items(_of(raw, STORY_SOURCE), raw_items)
+        stories = threads.story_items(
+            _of(raw, STORY_SOURCE), raw_items, seed_limit=item_limit(STORY_SOURCE)
+        )
         parts.append(_shaped(stories, RANKED_ITEM))
     return _union(parts)
 

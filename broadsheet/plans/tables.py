@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from broadsheet.functions.text import content_path, item_id
 from broadsheet.operators.ranking import last_per_key
+from broadsheet.sources.registry import checked_small
 
 RANKED_POS = 1000
 DISABLED_SOURCE = "src7"
@@ -41,16 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly work per row when a table has few splits.
-
-    A large table has more splits than cores and stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
-
-
 def _text(value) -> Column:
     return value.cast("string")
 
@@ -68,7 +59,7 @@ def _archived_at() -> Column:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One archive post per document; exact copies within a source share a url."""
     title = F.split_part("text", F.lit("\n"), F.lit(1))
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         F.col("source").alias("source_id"),
         F.col("doc_id").alias("item_pos"),
         title.alias("title"),
@@ -132,7 +123,7 @@ def contents(store_rows: DataFrame) -> DataFrame:
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ranked entry per event, in event order within its day."""
     k = F.get_json_object("props", "$.k")
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("source_id"),
         F.date_format("ts", "yyyy-MM-dd").alias("snapshot_date"),
         F.col("event_id").alias("item_pos"),
@@ -178,7 +169,7 @@ def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("enabled"),
         F.lit(20).alias("item_limit"),
     )
-    return archive.unionByName(ranked).unionByName(idle)
+    return checked_small(archive.unionByName(ranked).unionByName(idle))
 
 
 # --- landed payloads --------------------------------------------------------
@@ -474,14 +465,17 @@ def metas(store_rows: DataFrame) -> DataFrame:
 
 # --- threads ---------------------------------------------------------------
 
-THREAD_STRIDE = 100_000
+def _stride(turns: DataFrame) -> Column:
+    """Ids that a conversation needs: one more than the longest has turns before."""
+    longest = turns.agg(F.max("turn").alias("t")).first()["t"]  # one number
+    return F.lit((longest or 0) + 1)
 
 
 def thread_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as landed thread items: turn t answers turn (t-1) div 2."""
     turns = table(spark, sf_dir, "conversations")
     size = turns.groupBy("conv_id").agg((F.max("turn") + 1).alias("turns"))
-    base = F.col("conv_id") * THREAD_STRIDE
+    base = F.col("conv_id") * _stride(turns)
     kids = F.filter(
         F.array(F.col("turn") * 2 + 1, F.col("turn") * 2 + 2), lambda t: t < F.col("turns")
     )
@@ -504,14 +498,15 @@ def thread_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def thread_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Id lists of twenty neighbouring conversations each."""
-    roots = table(spark, sf_dir, "conversations").where("turn = 0").select("conv_id")
-    entry = _text(F.col("conv_id") * THREAD_STRIDE)
+    turns = table(spark, sf_dir, "conversations")
+    roots = turns.where("turn = 0").select("conv_id")
+    entry = _text(F.col("conv_id") * _stride(turns))
     return _body(_pages(roots, "stories", "conv_id", FEED_PAGE, entry), "[", ",", "]")
 
 
 def issues_of_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents wrapped the way an e-mail issue is rendered."""
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.concat(
             F.lit("Logo\n|  |\nView online  \nHey "), "source", F.lit(",\n\n\n\n"),
@@ -534,7 +529,7 @@ def _paragraphs(tag_open: str, tag_close: str) -> Column:
 
 def document_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     """Documents dressed as fetched pages of one of the known layouts."""
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     url = F.concat(F.lit("https://pages.example.org/"), _text(F.col("doc_id")))
     if layout == "long":
         parts = [

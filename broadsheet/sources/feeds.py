@@ -103,7 +103,7 @@ def feed_items(
     )
 
 
-def ranked_feed_items(raw: DataFrame, limit: int | None) -> DataFrame:
+def ranked_feed_items(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """A feed read as a ranking: the position in the feed is the rank."""
     return (
         feed_entries(raw, limit)

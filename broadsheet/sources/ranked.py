@@ -2,7 +2,7 @@
 
 Each flattener takes landed documents ``(source_id, run_id, body)`` and gives
 one row per entry. The rank is the position in the payload, so entries dropped
-as invalid leave gaps. A body of another shape gives no rows; the run report
+as invalid leave gaps. A payload is read whole unless the caller gives a limit. A body of another shape gives no rows; the run report
 lists its source as failed.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from broadsheet.functions.markup import strip_markup, to_markdown
 from broadsheet.functions.text import filled, first_filled, let
 from broadsheet.schemas import RANKED_ITEM
-from broadsheet.sources.registry import item_limit
 
 # Prefixes from which page addresses are formed.
 PAPER_URL = "https://huggingface.co/papers/"
@@ -59,13 +58,15 @@ def is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT")
 
 
+def _first(array: Column, limit: int | None) -> Column:
+    return array if limit is None else F.slice(array, 1, limit)
+
+
 def _entries(raw: DataFrame, path: str, limit: int | None) -> DataFrame:
     """Objects of the array at ``path``, with their position in it."""
     array = F.try_variant_get(F.try_parse_json(F.col("body")), path, "array<variant>")
-    if limit is not None:
-        array = F.slice(array, 1, limit)
     return raw.select(
-        "source_id", "run_id", F.posexplode(array).alias("item_pos", "e")
+        "source_id", "run_id", F.posexplode(_first(array, limit)).alias("item_pos", "e")
     ).where(is_object(F.col("e")))
 
 
@@ -85,7 +86,7 @@ def valid_items(items: DataFrame) -> DataFrame:
     return items.where((F.col("title") != "") & (F.col("url") != ""))
 
 
-def link_list_items(raw: DataFrame, limit: int | None = item_limit("lobsters")) -> DataFrame:
+def link_list_items(raw: DataFrame, limit: int | None = None) -> DataFrame:
     e = F.col("e")
     return _ranked(
         _entries(raw, "$", limit),
@@ -101,7 +102,7 @@ def link_list_items(raw: DataFrame, limit: int | None = item_limit("lobsters"))
     )
 
 
-def paper_items(raw: DataFrame, limit: int | None = item_limit("hf-papers")) -> DataFrame:
+def paper_items(raw: DataFrame, limit: int | None = None) -> DataFrame:
     e = F.col("e")
     own_page = F.concat(F.lit(PAPER_URL), filled(text_at(e, "$.paper.id")))
     return _ranked(
@@ -121,7 +122,7 @@ def paper_items(raw: DataFrame, limit: int | None = item_limit("hf-papers")) ->
     )
 
 
-def repo_items(raw: DataFrame, limit: int | None = item_limit("github-trending")) -> DataFrame:
+def repo_items(raw: DataFrame, limit: int | None = None) -> DataFrame:
     e = F.col("e")
     return _ranked(
         _entries(raw, "$.items", limit),
@@ -147,7 +148,7 @@ def _follow(pool: Column, value: Column) -> Column:
     return let(value, resolve)
 
 
-def release_items(raw: DataFrame, limit: int = item_limit("releasebot")) -> DataFrame:
+def release_items(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """Releases from reference-table payloads (slots pointing to slots).
 
     Pointers are followed along the fixed path only, each step bound once.
@@ -199,7 +200,7 @@ def release_items(raw: DataFrame, limit: int = item_limit("releasebot")) -> Data
         lambda p: F.try_variant_get(F.get(p, F.lit(0)), listing, "variant").isNotNull(),
     )
     listed = _follow(pool, F.try_variant_get(F.get(pool, F.lit(0)), listing, "variant"))
-    slots = F.slice(F.try_variant_get(listed, "$", "array<variant>"), 1, limit)
+    slots = _first(F.try_variant_get(listed, "$", "array<variant>"), limit)
     df = (
         raw.select("source_id", "run_id", F.get(holders, F.lit(0)).alias("pool"))
         .select("source_id", "run_id", F.posexplode(F.transform(slots, described)).alias("item_pos", "r"))
@@ -234,7 +235,7 @@ _LISTED = "array<struct<source string, skillId string, name string, installs big
 def embedded_list_items(
     raw: DataFrame,
     with_change: bool = False,
-    limit: int = item_limit("skills-sh-trending"),
+    limit: int | None = None,
 ) -> DataFrame:
     """The JSON array that follows a marker inside a page's script.
 
@@ -255,7 +256,7 @@ def embedded_list_items(
             F.lit("installs_yesterday"), F.col("e.installsYesterday").cast("string"),
         ]
     rows = raw.select(
-        "source_id", "run_id", F.posexplode(F.slice(listed, 1, limit)).alias("item_pos", "e")
+        "source_id", "run_id", F.posexplode(_first(listed, limit)).alias("item_pos", "e")
     )
     return _ranked(
         rows,

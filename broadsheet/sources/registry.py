@@ -9,6 +9,9 @@ from broadsheet.schemas import SOURCE
 
 RANKED, ARCHIVE = "aggregation", "blog"
 
+#: Sources up to which the dimension is sent to every task (about 2 MB).
+MOST_SOURCES = 10_000
+
 # Id, name, kind, method and how many entries of a payload are
 # read (None reads all). The order decides ties between equal archive stamps.
 SOURCES = [
@@ -49,6 +52,19 @@ SOURCES = [
 ]
 
 
+def checked_small(table: DataFrame, most: int = MOST_SOURCES) -> DataFrame:
+    """A source dimension that joins never shuffle the other side for.
+
+    At most ``most`` rows are read once and marked for broadcast, whatever the
+    size statistics of ``table`` say. A larger table stays as it is and its
+    joins are Spark's choice.
+    """
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
 def source_rows(disabled: frozenset[str] = frozenset()) -> list[tuple]:
     return [
         (pos, sid, name, kind, method, sid not in disabled, limit)
@@ -62,7 +78,7 @@ def sources(
     disabled: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """The source dimension; small by construction."""
-    table = spark.createDataFrame(source_rows(disabled), SOURCE)
+    table = F.broadcast(spark.createDataFrame(source_rows(disabled), SOURCE))
     return table if include_disabled else table.where("enabled")
 
 

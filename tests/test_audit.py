@@ -85,7 +85,7 @@ BLOG = {
 }
 RANKED = {
     "snapshot_bad_json": 1, "snapshot_items_not_list": 3, "snapshot_items_empty": 1,
-    "snapshot_item_not_object": 1, "snapshot_item_missing_url": 1, "snapshot_item_missing_title": 1,
+    "snapshot_item_not_object": 2, "snapshot_item_missing_url": 1, "snapshot_item_missing_title": 1,
 }
 
 
@@ -104,6 +104,14 @@ def test_every_rule(spark, folder):
     assert {(r["source_id"], r["items_checked"]) for r in checked.collect()} == {("blog", 16), ("ranked", 7)}
 
 
+def test_entries_of_a_snapshot_can_be_limited(spark):
+    body = json.dumps({"items": [{"title": "t", "url": "u"}] * 50 + [5]})
+    rows = spark.createDataFrame([("s", "p", body)], "source_id string, path string, content string")
+    found = [r["seq_pos"] for r in audit.snapshot_issues(rows).collect()]
+    assert found == [51]
+    assert audit.snapshot_issues(rows, items_per_file=50).count() == 0
+
+
 def test_details(spark, folder):
     issues, _ = files.audit_folder(spark, folder, include_snippets=True)
     details = {r["issue_type"]: r for r in issues.where("detail is not null").collect()}

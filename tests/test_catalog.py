@@ -42,3 +42,18 @@ def test_query(spark, duck, name):
     assert {n: TYPES[t] for n, t in df.dtypes} == types
     expected = [dict(zip(twin.columns, row, strict=True)) for row in twin.fetchall()]
     assert got == sorted(repr(tuple(r[n] for n in names)) for r in expected)
+
+
+@pytest.mark.parametrize("name", ["by_keyword", "records_union", "index_rebuild", "positional_rank"])
+def test_sources_never_shuffle_the_records(spark, name):
+    """The source dimension is broadcast after a check of its size, in any session."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = REGISTRY[name](spark, SF_DIR)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "BroadcastHashJoin" in plan
+    for line in plan.splitlines():
+        assert not ("hashpartitioning(source_id" in line), line

@@ -73,7 +73,8 @@ def test_repos(raw):
     body = json.dumps({"items": [{"full_name": "o/r", "html_url": "https://g", "owner": {"login": "o"},
                                   "stargazers_count": 9, "language": None, "description": "d"}] * 21})
     items = ranked.repo_items(raw(body, "[]"))
-    assert items.count() == 20
+    assert items.count() == 21
+    assert ranked.repo_items(raw(body), limit=20).count() == 20
     first = items.orderBy("item_pos").first()
     assert (first["author"], first["score"], first["extra"]) == ("o", 9, {"language": None, "description": "d"})
 

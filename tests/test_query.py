@@ -79,6 +79,14 @@ def test_has_content(spark, records):
     assert [r["title"] for r in flagged.where("has_content").collect()] == ["100% Éclair"]
 
 
+def test_dates_are_strict(records):
+    for bad in ("2026-01-12T00:00:00Z", "2026-01-12 and more", "12.1.2026"):
+        with pytest.raises(ValueError):
+            query.by_archive_date(records, on=bad)
+    with pytest.raises(ValueError):
+        query.by_archive_date(records, start="2026-01-12", end="2026-01-13x")
+
+
 def test_limit_plans_as_top_k(records):
     plan = query.by_keyword(records, "the", limit=2)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

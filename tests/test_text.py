@@ -19,8 +19,8 @@ def expected_slug(value):
     return "-".join(words)[:80].rstrip("-") or "item"
 
 
-def expected_placeholder(body):
-    head = body[:800]
+def expected_placeholder(body, chars=None):
+    head = body[:chars]
     lone = any(line.strip() == "|" for line in head.splitlines())
     return "|  |" in head or head.lstrip()[:8] == "[Signup]" or lone
 
@@ -45,7 +45,10 @@ def test_placeholder(values):
     texts = random_texts(1500, 3, 25)
     texts += ["a\n | \nb", "|", "x|", " \n[Signup] now", "a" * 798 + "\n|", "a" * 800 + "\n|\n"]
     texts += ["a" * 797 + "|  |", "a" * 796 + "|  |", "a" * 799 + "|  |"]
+    texts += ["a" * 5000 + "\n|\n"]
     assert values(text.looks_like_placeholder, texts) == [expected_placeholder(t) for t in texts]
+    first = values(lambda c: text.looks_like_placeholder(c, preview_chars=800), texts)
+    assert first == [expected_placeholder(t, 800) for t in texts]
 
 
 def test_lines_split_like_python(values):
