@@ -157,8 +157,7 @@ def _packed(vocabulary: str, sequence: int):
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches):
-        encoder = pieces.tokenizer(vocabulary)
-        memory = pieces.Memory(encoder, lambda ids: np.array(ids, "<u4").tobytes())
+        memory = pieces.memory(vocabulary, "bytes", lambda ids: np.array(ids, "<u4").tobytes())
         end = np.array([END_ID], "<u4").tobytes()
         packer = _Packer(sequence, TaskContext.get().partitionId() << 33)
         for batch in batches:

@@ -11,8 +11,9 @@ import os
 import re
 from collections.abc import Callable, Iterable
 
-#: Bound of the memory: pieces kept per worker (about 40 MB); beyond it the
-#: memory starts anew, which changes the speed only.
+#: Bound of the memory: pieces kept in each of two generations per worker (about
+#: 80 MB together). A full generation becomes the older one and what is asked
+#: for again moves on from it, so frequent pieces stay. Speed only.
 KEPT_PIECES = 200_000
 
 #: Longer pieces are encoded but not kept.
@@ -56,14 +57,18 @@ class Memory:
     """``keep(ids)`` of each piece, e.g. their number or their bytes."""
 
     def __init__(self, encoder, keep: Callable[[list[int]], object]):
-        self.encoder, self.keep, self.known = encoder, keep, {}
+        self.encoder, self.keep = encoder, keep
+        self.known: dict[str, object] = {}
+        self.older: dict[str, object] = {}
 
     def of(self, pieces: Iterable[str]) -> dict[str, object]:
         """A mapping that holds every one of ``pieces``."""
         if len(self.known) > KEPT_PIECES:
-            self.known = {}
-        known = self.known
-        new = list({p for p in pieces if p not in known})
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        asked = {p for p in pieces if p not in known}
+        known.update((p, older[p]) for p in asked & older.keys())
+        new = [p for p in asked if p not in known]
         if not new:
             return known
         found = self.encoder.encode_batch_fast(new, add_special_tokens=False)
@@ -71,3 +76,13 @@ class Memory:
         known.update((p, x) for p, x in fresh.items() if len(p) <= KEPT_CHARS)
         long = {p: x for p, x in fresh.items() if len(p) > KEPT_CHARS}
         return known | long if long else known
+
+
+_memories: dict[tuple[str, str], Memory] = {}
+
+
+def memory(name: str, kept: str, keep: Callable[[list[int]], object]) -> Memory:
+    """The worker's memory of a vocabulary, which outlives a task; ``kept`` names ``keep``."""
+    if (name, kept) not in _memories:
+        _memories[name, kept] = Memory(tokenizer(name), keep)
+    return _memories[name, kept]

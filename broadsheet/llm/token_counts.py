@@ -103,7 +103,7 @@ def count_huge(text: str, encoder, chunk: int = CHUNK_CHARS, overlap: int = OVER
 def _counter(vocabulary: str, chunk: int, overlap: int):
     def run(batches):
         encoder = pieces.tokenizer(vocabulary)
-        memory = pieces.Memory(encoder, len)
+        memory = pieces.memory(vocabulary, "number", len)
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             split = [pieces.word_pieces(x) if len(x) <= chunk else () for x in texts]
