@@ -1,7 +1,8 @@
 """HTML rules as column expressions.
 
 Everything here works on whole documents inside one row, so no rule shuffles.
-Patterns avoid nested quantifiers; they stay linear on long pages.
+Patterns avoid nested quantifiers and never look for an end tag over the rest
+of a page; elements are matched by counting their start and end tags.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ BLOCK_TAGS = (
 )
 
 TAG = r"</?[a-zA-Z!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+# What is never closed goes on to the end of the page.
 INVISIBLE = (
-    r"(?s)<(?:!--.*?-->|(?i:script)\b.*?</(?i:script)\s*>|(?i:style)\b.*?</(?i:style)\s*>"
-    r"|(?i:template)\b.*?</(?i:template)\s*>)"
+    r"(?s)<(?:!--.*?(?:-->|\z)|(?i:(script|style|template))(?=[\s/>]).*?(?:</(?i)\1\s*>|\z))"
 )
 BLOCK_MARK = "\x01"
 
@@ -83,21 +84,106 @@ def visible_text(html: Column) -> Column:
     return collapse_whitespace(strip_markup(html))
 
 
+def _pieces(html: Column, tags: list[str]) -> Column:
+    """The html cut before each start and end tag of ``tags``."""
+    return F.split(html, rf"(?=</?(?i:{'|'.join(tags)})[\s/>])")
+
+
+def _tag_name(piece: Column, tags: list[str]) -> Column:
+    """Lower-case name of the tag a piece begins with, ``/name`` for an end tag; else ''."""
+    return F.lower(F.regexp_extract(piece, rf"^<(/?(?i:{'|'.join(tags)}))[\s/>]", 1))
+
+
+def _int(value: int) -> Column:
+    return F.lit(value).cast("int")
+
+
 def inner(html: Column, tag: str) -> Column:
     """Inside of the first ``<tag>``; up to the end when it is never closed.
 
-    For elements that do not nest in themselves (h1, main, article, title).
+    Comments and scripts are dropped first; elements of the same name inside
+    it are counted, so the end tag is its own.
     """
-    start = rf"<(?i:{tag})(?:\s[^>]*)?>"
-    pattern = rf"(?s){start}(.*?)(?:</(?i:{tag})\s*>|\z)"
-    found = html.rlike(start)
-    return F.when(found, F.regexp_extract(html, pattern, 1))
+
+    def cut(pieces: Column) -> Column:
+        # Where it starts and ends, in one pass over the pieces.
+        begin = F.struct(
+            _int(0).alias("at"), _int(0).alias("depth"), _int(-1).alias("start"), _int(-1).alias("end")
+        )
+
+        def step(s: Column, piece: Column) -> Column:
+            name = _tag_name(piece, [tag])
+            depth = s["depth"] + F.when(name == tag, 1).when(
+                (name == f"/{tag}") & (s["depth"] > 0), -1
+            ).otherwise(0)
+            opens = (name == tag) & (s["start"] < 0)
+            closes = (s["start"] >= 0) & (s["end"] < 0) & (depth == 0)
+            return F.struct(
+                (s["at"] + 1).cast("int").alias("at"),
+                depth.cast("int").alias("depth"),
+                F.when(opens, s["at"]).otherwise(s["start"]).alias("start"),
+                F.when(closes, s["at"]).otherwise(s["end"]).alias("end"),
+            )
+
+        def inside(s: Column) -> Column:
+            end = F.when(s["end"] >= 0, s["end"]).otherwise(s["at"])
+            own = F.array_join(F.slice(pieces, s["start"] + 1, end - s["start"]), "")
+            return F.when(s["start"] >= 0, F.regexp_replace(own, rf"^{TAG}", ""))
+
+        return let(F.aggregate(pieces, begin, step), inside)
+
+    return let(_pieces(without_invisible(html), [tag]), cut)
 
 
 def without_tags(html: Column, tags: list[str]) -> Column:
-    """Drop whole elements, contents included."""
-    pattern = rf"(?s)<((?i:{'|'.join(tags)}))\b[^>]*>.*?</(?i)\1\s*>"
-    return F.regexp_replace(html, pattern, "")
+    """Drop whole elements, contents and elements of the same name in them included.
+
+    An element that is never closed goes on to the end.
+    """
+
+    def cut(pieces: Column) -> Column:
+        # Inside an element only its own name counts. A run is (first piece
+        # kept, first dropped); a run after an end tag begins with that tag.
+        run = F.struct(_int(0).alias("from"), _int(0).alias("to"))
+        begin = F.struct(
+            _int(0).alias("at"), F.lit("").alias("name"), _int(0).alias("depth"),
+            _int(0).alias("kept"), F.slice(F.array(run), 1, 0).alias("runs"),
+        )
+
+        def step(s: Column, piece: Column) -> Column:
+            def moved(name: Column) -> Column:
+                free = s["depth"] == 0
+                opens = free & (name != "") & ~name.startswith("/")
+                deeper = ~free & (name == s["name"])
+                closes = ~free & (name == F.concat(F.lit("/"), s["name"]))
+                depth = s["depth"] + F.when(opens | deeper, 1).when(closes, -1).otherwise(0)
+                done = F.struct(s["kept"].alias("from"), s["at"].alias("to"))
+                return F.struct(
+                    (s["at"] + 1).cast("int").alias("at"),
+                    F.when(opens, name).otherwise(s["name"]).alias("name"),
+                    depth.cast("int").alias("depth"),
+                    F.when(closes & (depth == 0), s["at"]).otherwise(s["kept"]).alias("kept"),
+                    F.when(opens, F.concat(s["runs"], F.array(done))).otherwise(s["runs"]).alias("runs"),
+                )
+
+            return let(_tag_name(piece, tags), moved)
+
+        def joined(s: Column) -> Column:
+            last = F.array(F.struct(s["kept"].alias("from"), s["at"].alias("to")))
+            runs = F.when(s["depth"] == 0, F.concat(s["runs"], last)).otherwise(s["runs"])
+            texts = F.transform(
+                runs, lambda r: F.array_join(F.slice(pieces, r["from"] + 1, r["to"] - r["from"]), "")
+            )
+            # Each run but the first begins with the end tag of what was dropped.
+            ends = rf"^</(?i:{'|'.join(tags)})\s*[^>]*>"
+            rest = F.transform(
+                F.slice(texts, F.lit(2), F.size(texts)), lambda t: F.regexp_replace(t, ends, "")
+            )
+            return F.concat(F.get(texts, F.lit(0)), F.array_join(rest, ""))
+
+        return let(F.aggregate(pieces, begin, step), joined)
+
+    return F.when(html == "", html).otherwise(let(_pieces(html, tags), cut))
 
 
 def hrefs(html: Column) -> Column:
@@ -155,6 +241,7 @@ _HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
 # These swallow the blanks that follow their start tag.
 _OPENERS = [*_HEADINGS, "li", "blockquote"]
 _START, _STOP = "\x01", "\x02"
+_LINK, _LABEL, _UNLINK = "\x03", "\x04", "\x05"
 
 
 def _mark(name: Column) -> Column:
@@ -181,9 +268,11 @@ def to_markdown(html: Column) -> Column:
         ),
     )
     attribute = r"\s*=\s*[\"']?([^\"'>\s]*)[\"']?[^>]*>"
+    # A link is put together when all tags are gone: address, text, end.
     text = F.regexp_replace(
-        text, rf"(?s)<[aA]\s(?:[^>]*?\s)?(?i:href){attribute}(.*?)</[aA]\s*>", "[$2]($1)"
+        text, rf"<[aA]\s(?:[^>]*?\s)?(?i:href){attribute}", f"{_LINK}$1{_LABEL}"
     )
+    text = F.regexp_replace(text, r"</[aA]\s*>", _UNLINK)
     text = F.regexp_replace(text, rf"<(?i:img)\s(?:[^>]*?\s)?(?i:src){attribute}", "![]($1)")
     tag = r"<(/?[a-zA-Z][a-zA-Z0-9]*)(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!?][^>]*>"
     text = F.regexp_replace(text, tag, f"{_START}$1{_STOP}")
@@ -199,6 +288,9 @@ def to_markdown(html: Column) -> Column:
         ).otherwise(piece)
 
     text = F.array_join(F.transform(F.split(text, _START), rendered), "")
+    link = f"{_LINK}([^{_LABEL}]*){_LABEL}([^{_LINK}{_UNLINK}]*){_UNLINK}"
+    text = F.regexp_replace(text, link, "[$2]($1)")
+    text = F.regexp_replace(text, f"{_LINK}[^{_LABEL}]*{_LABEL}|{_UNLINK}", "")
     text = decode_entities(text)
     text = F.regexp_replace(text, r"\n[ \t]+(?=\n)", "\n")
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))

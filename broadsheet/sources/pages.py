@@ -21,6 +21,7 @@ from broadsheet.functions.markup import (
     strip_markup,
     to_markdown,
     visible_text,
+    without_invisible,
     without_tags,
 )
 from broadsheet.functions.text import filled, first_filled, is_blank, let, strip
@@ -59,7 +60,7 @@ def card_links(
     pages: DataFrame, include: str, exclude: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """One link per ``<article>`` card (its first anchor) with the card's title."""
-    scope = F.coalesce(inner(F.col("html"), "main"), F.col("html"))
+    scope = F.coalesce(inner(F.col("html"), "main"), without_invisible(F.col("html")))
     cards = F.regexp_extract_all(
         scope, F.lit(r"(?is)<article(?:\s[^>]*)?>(.*?)(?:</article\s*>|\z)"), 1
     )
@@ -150,11 +151,9 @@ def page_articles(
         *rest,
         listed_title.alias("listed_title"),
         box.alias("box"),
-        first_filled(F.regexp_extract(box, heading, 1), F.regexp_extract(html, heading, 1)).alias(
-            "heading"
-        ),
+        F.regexp_extract(without_invisible(html), heading, 1).alias("any_heading"),
         jsonld_date(html).alias("published_at"),
-    )
+    ).withColumn("heading", first_filled(F.regexp_extract("box", heading, 1), F.col("any_heading")))
     first_heading = r"(?s)\A(.*?)<[hH]1(?:\s[^>]*)?>.*?</[hH]1\s*>"
     body = without_tags(F.regexp_replace("box", first_heading, "$1"), UNWANTED)
     article = F.struct(
@@ -258,7 +257,7 @@ def newsletter_markdown(html: Column) -> Column:
 
 def email_markdown(html: Column) -> Column:
     """Rendered e-mail without hidden nodes and layout tables, lines cleaned."""
-    text = without_styled(without_tags(html, ["script", "style", "noscript", "head"]), HIDDEN)
+    text = without_tags(without_styled(html, HIDDEN), ["script", "style", "noscript", "head"])
     text = F.regexp_replace(text, r"(?i)<img\b[^>]*>|<meta\b[^>]*>", "")
     return clean_lines(to_markdown(text))
 

@@ -61,3 +61,15 @@ def test_clean_lines(values):
 
 def test_cap_blank_runs(values):
     assert values(cap_blank_runs, ["\n\na \n\n\n\n\nb\n\nc\n"]) == ["a\n\n\nb\n\nc"]
+
+
+def test_markdown_of_unclosed_tags_takes_linear_time(values):
+    import time
+
+    html = '<a href="/x">' * 40_000
+    values(markup.to_markdown, ["warm <a href='/y'>up</a>"])
+    start = time.monotonic()
+    assert values(markup.to_markdown, [html]) == [""]
+    assert values(markup.to_markdown, ["<!-- " * 40_000 + "x", "a <a href='u'>b <a href='v'>c</a></a>"]) == [
+        "", "a b [c](v)"]
+    assert time.monotonic() - start < 8  # quadratic patterns took minutes

@@ -83,3 +83,20 @@ def test_page_body_fills_only_first_blank_items(spark):
     assert [r["content"] for r in got.orderBy("item_pos").collect()] == ["page0", "kept", "", ""]
     got = pages.with_page_body(items, fetched, F.regexp_extract("html", "<p>(.*)</p>", 1), only_blank=False)
     assert [r["content"] for r in got.orderBy("item_pos").collect()] == ["page0", "page1", "", "page3"]
+
+
+def test_articles_keep_all_their_text(spark):
+    """Custom elements, nested containers, containers in comments, nested asides."""
+    bodies = {
+        "custom": "<main><h1>T</h1><nav-bar>x</nav-bar><p>Body one</p><nav>m</nav><p>Body two</p></main>",
+        "nested": "<article><h1>T</h1><p>one</p><article>card</article><p>two</p></article>",
+        "comment": "<!-- <main> old </main> --><main><h1>T</h1><article><p>real</p></article></main>",
+        "aside": "<main><h1>T</h1><p>a</p><aside>x<aside>y</aside>z</aside><p>b</p></main>",
+        "open": "<main><h1>T</h1><p>a</p><footer>never closed <p>b</p>",
+        "mixed": "<main><h1>T</h1><nav>m<aside>n</aside>o</nav><p>a</p><aside>p<nav>q</aside><p>b</p></main>",
+    }
+    got = {r["url"]: r["content"] for r in pages.page_articles(frame(spark, *bodies.items())).collect()}
+    assert got == {
+        "custom": "x\n\nBody one\n\nBody two", "nested": "one\n\ncard\n\ntwo", "comment": "real",
+        "aside": "a\n\nb", "open": "a", "mixed": "a\n\nb",
+    }
