@@ -180,6 +180,7 @@ def ingest(
     """
     active = sources.where("enabled")
     known = active.select("source_id")
+    store.forget_run(run_id)
     archive, ranked_rows = store.stage(
         archive.join(known, "source_id", "left_semi"),
         ranked_rows.join(known, "source_id", "left_semi"),

@@ -2,8 +2,8 @@
 
 ``items``, ``contents`` are partitioned by source and run, ``snapshots`` by
 source and day, ``index`` by archive date, ``runs`` by run. Every write
-replaces whole partitions of its own run or day, so a repeated run gives the
-same tables. Bodies live apart from items: queries never read them.
+replaces whole partitions of its own run or day, and a run first drops what an
+earlier attempt left, so a repeated run gives the tables of its last attempt. Bodies live apart from items: queries never read them.
 """
 
 from __future__ import annotations
@@ -151,6 +151,24 @@ class Store:
 
     # --- writing ----------------------------------------------------------
 
+    def forget_run(self, run_id: str) -> None:
+        """Drop what an earlier attempt of a run stored under its own name.
+
+        A write without rows replaces nothing, so a repeated run starts clean.
+        """
+        jvm = self.spark._jvm
+        name_of = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        own = f"run_id={name_of(run_id)}"
+        conf = self.spark._jsc.hadoopConfiguration()
+        for name, (_, keys) in TABLES.items():
+            if "run_id" not in keys:
+                continue
+            folders = "/".join(own if k == "run_id" else "*" for k in keys)
+            pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{folders}")
+            fs = pattern.getFileSystem(conf)
+            for status in fs.globStatus(pattern) or []:
+                fs.delete(status.getPath(), True)
+
     def stage(self, archive: DataFrame, ranked: DataFrame, run_id: str) -> tuple[DataFrame, DataFrame]:
         """Write a run's flattened items once; later steps read this table."""
         out = []

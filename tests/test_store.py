@@ -60,6 +60,22 @@ def test_new_duplicate_and_refresh(spark, store):
     assert store.runs().select("run_id").distinct().count() == 3
 
 
+def test_a_repeated_run_leaves_nothing_of_its_first_attempt(spark, store):
+    dimension, none = sources(spark), ranked(spark)
+    other = archive(spark, ("antirez", 0, "Z", "u0", None, "z"))
+    runs.ingest(store, dimension, other, none, "run0", "2026-01-09T00:00:00Z")
+    full = archive(spark, ("antirez", 0, "A", "u1", None, "a"), ("antirez", 1, "B", "u2", None, "b"))
+    runs.ingest(store, dimension, full, none, "run1", "2026-01-10T00:00:00Z")
+    fewer = archive(spark, ("antirez", 0, "A", "u1", None, "a"))
+    done = runs.ingest(store, dimension, fewer, none, "run1", "2026-01-10T00:00:00Z")
+    assert report(done) == {"antirez": ("success", 1, 1)}
+    assert sorted(r["url"] for r in store.items().collect()) == ["u0", "u1"]
+    done = runs.ingest(store, dimension, archive(spark), none, "run1", "2026-01-10T00:00:00Z")
+    assert report(done) == {} and done.where("status = 'failure'").count() == 34
+    assert [r["url"] for r in store.items().collect()] == ["u0"]
+    assert list(bodies(store).values()) == ["z"]
+
+
 def test_parity_keeps_batch_duplicates(spark, store):
     batch = archive(spark, ("antirez", 0, "B", "u2", None, "one"), ("antirez", 1, "B", "u2", None, "two"))
     done = runs.ingest(store, sources(spark), batch, ranked(spark), "run1", "2026-01-10T00:00:00Z", parity=True)
