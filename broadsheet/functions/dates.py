@@ -14,6 +14,11 @@ DATE_LAYOUTS = [
     (r"(?:^|[ ,])(\d{1,2} [A-Z][a-z]{3,8} \d{4})\b", "d MMMM yyyy"),
     (r"\b([A-Z][a-z]{2} \d{1,2}, \d{4})\b", "MMM d, yyyy"),
     (r"\b([A-Z][a-z]{3,8} \d{1,2}, \d{4})\b", "MMMM d, yyyy"),
+    (r"\b([A-Z][a-z]{2} \d{1,2} \d{4})\b", "MMM d yyyy"),
+    (r"\b([A-Z][a-z]{3,8} \d{1,2} \d{4})\b", "MMMM d yyyy"),
+    (r"\b(\d{1,2}-[A-Z][a-z]{2}-\d{4})\b", "d-MMM-yyyy"),
+    (r"\b(\d{1,2}\.\d{1,2}\.\d{4})\b", "d.M.yyyy"),
+    (r"\b(\d{4}\.\d{1,2}\.\d{1,2})\b", "yyyy.M.d"),
     (r"\b(\d{4}/\d{1,2}/\d{1,2})\b", "yyyy/M/d"),
     (r"\b(\d{1,2}/\d{1,2}/\d{4})\b", "M/d/yyyy"),
 ]
@@ -36,17 +41,19 @@ def calendar_date(col: Column) -> Column:
 
 
 def archived_date(col: Column) -> Column:
-    """Calendar date of an archive stamp (always ISO 8601)."""
-    return F.try_to_timestamp(F.substring(col, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    """Calendar date of an archive stamp: ISO 8601, else any known layout."""
+    iso = F.try_to_timestamp(F.substring(col, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    return F.coalesce(iso, calendar_date(col))
 
 
 def archived_ts(col: Column) -> Column:
-    """Instant of an archive stamp; a bare date counts as midnight UTC."""
+    """Instant of an archive stamp; a date in any known layout counts as midnight UTC."""
     rfc = F.substring_index(col, ", ", -1)
     return F.coalesce(
         F.try_to_timestamp(col),
         F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss z")),
         F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z")),
+        calendar_date(col).cast("timestamp"),
     )
 
 

@@ -44,6 +44,7 @@ class _Spans(HTMLParser):
             self._line_starts.append(self._line_starts[-1] + len(line) + 1)
         self.spans: list[list] = []
         self._open: list[int] = []
+        self._names: dict[str, int] = {}  # how many of each name are open
         self.feed(text)
         self.close()
         for index in self._open:
@@ -59,19 +60,24 @@ class _Spans(HTMLParser):
         self.spans.append([tag, dict(attrs), len(self._open), start, end, end, end])
         if tag not in VOID:
             self._open.append(len(self.spans) - 1)
+            self._names[tag] = self._names.get(tag, 0) + 1
+
+    def _close_last(self) -> int:
+        index = self._open.pop()
+        self._names[self.spans[index][0]] -= 1
+        return index
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self._open.pop()
+            self._close_last()
 
     def handle_endtag(self, tag: str) -> None:
-        names = [self.spans[i][0] for i in self._open]
-        if tag not in names:
+        if not self._names.get(tag):
             return
         at = self._offset()
         while True:
-            index = self._open.pop()
+            index = self._close_last()
             self.spans[index][4] = at
             if self.spans[index][0] == tag:
                 self.spans[index][5] = at + len(tag) + 3

@@ -21,7 +21,14 @@ def test_archived_ts_and_date(values):
     stamps = values(lambda c: dates.archived_ts(c).cast("string"), texts)
     assert stamps == ["2026-01-13 00:00:00", "2026-01-14 04:30:00", "2026-01-13 10:00:00",
                       "2026-01-13 10:00:00"]
-    assert set(values(dates.archived_date, texts[:3])) == {dt.date(2026, 1, 13)}
+    assert set(values(dates.archived_date, texts)) == {dt.date(2026, 1, 13)}
+
+
+def test_other_layouts_of_a_day(values):
+    texts = ["Jan 5 2026", "January 5 2026", "5-Jan-2026", "5.1.2026", "2026.1.5", "1/5/2026", "Jan 5, 2026"]
+    assert set(values(dates.archived_date, texts)) == {dt.date(2026, 1, 5)}
+    stamps = values(lambda c: dates.archived_ts(c).cast("string"), texts)
+    assert set(stamps) == {"2026-01-05 00:00:00"}
 
 
 def test_normalize_date_falls_back_to_text(values):

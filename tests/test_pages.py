@@ -100,3 +100,14 @@ def test_articles_keep_all_their_text(spark):
         "custom": "x\n\nBody one\n\nBody two", "nested": "one\n\ncard\n\ntwo", "comment": "real",
         "aside": "a\n\nb", "open": "a", "mixed": "a\n\nb",
     }
+
+
+def test_open_elements_take_linear_time():
+    import time
+
+    from broadsheet.sources.dom import _Spans
+
+    html = "<p>a<li>" * 20_000 + "<b>x</b></i>" * 20_000
+    start = time.monotonic()
+    assert len(_Spans(html).spans) == 60_000
+    assert time.monotonic() - start < 5
