@@ -53,13 +53,15 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def release(spark: SparkSession, since: int = 0) -> None:
+def release(spark: SparkSession, since: int = 0, keep_last: bool = False) -> None:
     """Delete scratch tables written after ``since``; their readers must be done."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while len(_scratch) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    end = len(_scratch) - keep_last
+    for name in _scratch[since:end]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+    del _scratch[since:end]
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

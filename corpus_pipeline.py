@@ -28,8 +28,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to ``documents``; the packed pieces."""
-    docs = documents(spark, sf_dir)
+    """All stages applied to ``documents``; the packed pieces.
+
+    Once a stage is written, its scratch tables and its input are deleted.
+    """
+    docs, since = documents(spark, sf_dir), scratch_mark()
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(spark, since, keep_last=True)
     return docs
