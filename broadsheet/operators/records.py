@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.dates import archived_date, archived_ts
@@ -126,6 +126,21 @@ def read_content(contents: DataFrame, source_id: str, item_ids: list[str] | None
     return found.select("source_id", "item_id", "content")
 
 
+def encoded_extra(extra: Column) -> Column:
+    """The map as JSON text, NULL for none; keys in order."""
+    entries = F.map_from_entries(F.array_sort(F.map_entries(extra)))
+    return F.when(F.size(extra) > 0, F.to_json(entries, {"ignoreNullFields": "false"}))
+
+
+def decoded_extra(text: Column) -> Column:
+    """A map from JSON text; NULL for text that is no JSON object."""
+    value = F.try_parse_json(text)
+    return F.when(
+        F.schema_of_variant(value).startswith("OBJECT"),
+        F.from_json(text, "map<string,string>"),
+    )
+
+
 def record_lines(records: DataFrame) -> DataFrame:
     """JSON and text rendering of records that carry ``has_content``."""
     shown = [

@@ -299,11 +299,24 @@ def run_report(spark, sf_dir):
     posts = t.posts(spark, sf_dir).select("source_id", "url", "item_pos")
     fetched = posts.select("source_id").unionByName(t.snapshots(spark, sf_dir).select("source_id"))
     stored = merge.new_items(posts, t.archived(t.store(spark, sf_dir)))
-    run = report.run_report(t.dimension(spark, sf_dir).where("enabled"), fetched, stored)
+    landed = t.idle_payloads(spark, sf_dir)
+    lost = ingest.quarantine(landed, feeds.feed_items(landed))
+    enabled = t.dimension(spark, sf_dir).where("enabled")
+    run = report.run_report(enabled, fetched, stored, lost)
     counts = [F.col(c).cast("string").alias(c) for c in ("fetched", "stored")]
     return run.select("source_id", "status", *counts, "error")
 
 
+@registered
+def decoded_extras(spark, sf_dir):
+    """Extras written as JSON text and read again."""
+    rows = t.snapshots(spark, sf_dir).select(
+        "source_id", "item_pos", records.encoded_extra(F.col("extra")).alias("text")
+    )
+    back = records.decoded_extra(F.col("text"))
+    return rows.select("source_id", "item_pos", "text", back["k"].alias("k"), F.size(back).cast("bigint").alias("n"))
+
+
 # --- ranking and threads ---------------------------------------------------------
 
 

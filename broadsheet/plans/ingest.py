@@ -8,6 +8,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.functions.text import strip
 from broadsheet.operators import threads
 from broadsheet.operators.merge import needs_page_fetch
 from broadsheet.operators.records import archive_records, snapshot_records
@@ -49,6 +50,10 @@ EMAIL_SOURCE = "alphasignal-last-email"
 EMAIL_URL = "https://alphasignal.ai/last-email"
 EMAIL_TITLE = "AlphaSignal Last Email"
 STORY_SOURCE = "hn"
+# Why a landed document gave no item.
+EMPTY_PAYLOAD = "empty payload"
+UNKNOWN_PAYLOAD = "payload is neither markup nor JSON"
+BROKEN_PAYLOAD = "payload is broken or of another shape"
 
 
 def _shaped(df: DataFrame, schema) -> DataFrame:
@@ -152,9 +157,16 @@ def archive_items(
 
 
 def quarantine(raw: DataFrame, items: DataFrame) -> DataFrame:
-    """Landed documents that gave no item: broken, of another shape, or empty."""
+    """Landed documents that gave no item, with the reason as ``error``."""
     key = ["source_id", "run_id"]
-    return raw.join(items.select(*key).distinct(), key, "left_anti")
+    body = strip(F.coalesce("body", F.lit("")))
+    reason = (
+        F.when(body == "", EMPTY_PAYLOAD)
+        .when(~F.substring(body, 1, 1).isin("<", "{", "["), UNKNOWN_PAYLOAD)
+        .otherwise(BROKEN_PAYLOAD)
+    )
+    lost = raw.join(items.select(*key).distinct(), key, "left_anti")
+    return lost.withColumn("error", reason)
 
 
 def pages_to_fetch(store: Store, raw: DataFrame) -> DataFrame:
@@ -171,9 +183,12 @@ def ingest(
     run_id: str,
     run_ts: str,
     parity: bool = False,
+    errors: DataFrame | None = None,
 ) -> DataFrame:
     """Store one run's items and return its report.
 
+    ``errors`` are the documents of ``quarantine``; the report tells their reason.
+
     ``run_ts`` is the run's UTC time, ``YYYY-MM-DDTHH:MM:SSZ``; nothing in a
     run depends on the clock of the machine. Sources that are not in
     ``sources`` or disabled are left out.
@@ -194,6 +209,6 @@ def ingest(
         today = store.snapshots().where(F.col("snapshot_date") == run_ts[:10])
         store.upsert_index(snapshot_records(today, active))
     fetched = archive.select("source_id").unionByName(ranked_rows.select("source_id"))
-    report = run_report(active, fetched, stored)
+    report = run_report(active, fetched, stored, errors)
     store.record_run(report, run_id, run_ts, run_ts)
     return store.runs().where(F.col("run_id") == run_id)

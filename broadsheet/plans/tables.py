@@ -232,6 +232,21 @@ def damaged_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def idle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the idle desks landed: nothing, plain text, or a feed that was cut off."""
+    key = F.col("r_regionkey")
+    body = (
+        F.when(key % 4 == 1, F.lit(" \n"))
+        .when(key % 4 == 2, F.col("r_name"))
+        .otherwise(F.concat(F.lit("<rss><channel><item><title>"), "r_name"))
+    )
+    return table(spark, sf_dir, "region").where(key % 4 != 0).select(
+        F.concat(F.lit("region-"), _text(key)).alias("source_id"),
+        F.lit("run-0").alias("run_id"),
+        body.alias("body"),
+    )
+
+
 def landed_cms(spark: SparkSession, sf_dir: str) -> DataFrame:
     def rendered(html: Column) -> Column:
         return F.struct(html.alias("rendered"))

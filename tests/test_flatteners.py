@@ -141,3 +141,23 @@ def test_registry(spark):
         pass
     else:
         raise AssertionError("unknown source must raise")
+
+
+def test_quarantine_tells_why(spark, raw):
+    from broadsheet.plans import ingest
+
+    landed = raw(RSS, None, " \n", "just words", "<rss><channel><item>", "{")
+    lost = ingest.quarantine(landed, feeds.feed_items(landed)).collect()
+    assert {r["run_id"]: r["error"] for r in lost} == {
+        "r1": ingest.EMPTY_PAYLOAD, "r2": ingest.EMPTY_PAYLOAD, "r3": ingest.UNKNOWN_PAYLOAD,
+        "r4": ingest.BROKEN_PAYLOAD, "r5": ingest.BROKEN_PAYLOAD,
+    }
+
+
+def test_extra_round_trip(values):
+    from broadsheet.operators import records
+
+    texts = ['{"a":"1","b":null}', '{"n":5}', "[1]", "5", "no", None]
+    assert values(records.decoded_extra, texts) == [{"a": "1", "b": None}, {"n": "5"}, None, None, None, None]
+    assert values(lambda c: records.encoded_extra(records.decoded_extra(c)), texts) == [
+        '{"a":"1","b":null}', '{"n":"5"}', None, None, None, None]
