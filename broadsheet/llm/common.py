@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +20,34 @@ BATCH_ROWS = 256
 UID = "__uid"
 
 _scratch: list[str] = []
+_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of the operators."""
+    """Session settings of the operators; their code goes to the Python workers."""
     configure(spark)
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send this package with the job, so that no executor needs it installed.
+
+    The archive is made on the driver; Spark hands it to the executors.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = Path(__file__).resolve().parents[1]
+    path = f"{tempfile.mkdtemp(prefix='broadsheet-code-')}/{package.name}.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
