@@ -9,17 +9,17 @@ from broadsheet.llm import decontamination, language_id, packing, pii
 from broadsheet.llm import near_dedup as dedup
 from broadsheet.llm.common import UID, prepare, remainder, with_uid, written
 
-#: Texts whose best language is less likely than this are rejected.
-LEAST_SCORE = 0.4
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; learns from the rows that op9 learns from."""
+    """Documents with a language; learns from the rows that op9 learns from.
+
+    Texts without a letter go. A low score alone is no reason: texts of a word
+    or two are clean and can't score high.
+    """
     prepare(spark)
     model = language_id.train(docs.where(remainder(F.col("doc_id"), 5) != 0))
     found = language_id.predict(docs, model)
-    good = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return found.where(good).select(*docs.columns)
+    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
