@@ -75,15 +75,20 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def release(spark: SparkSession, since: int = 0, keep_last: bool = False) -> None:
-    """Delete scratch tables written after ``since``; their readers must be done."""
+def take_scratch(since: int) -> list[str]:
+    """Hand over the scratch tables written after ``since``."""
+    taken = _scratch[since:]
+    del _scratch[since:]
+    return taken
+
+
+def release(spark: SparkSession, tables: list[str]) -> None:
+    """Delete scratch tables; their readers must be done."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    end = len(_scratch) - keep_last
-    for name in _scratch[since:end]:
+    for name in tables:
         path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
-    del _scratch[since:end]
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from broadsheet.llm import stages
-from broadsheet.llm.common import documents, release, scratch_mark, written
+from broadsheet.llm.common import documents, release, scratch_mark, take_scratch, written
 
 STAGES = [
     ("language", stages.language),
@@ -30,10 +30,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to ``documents``; the packed pieces.
 
-    Once a stage is written, its scratch tables and its input are deleted.
+    Once a stage is written, its input is deleted.
     """
-    docs, since = documents(spark, sf_dir), scratch_mark()
+    docs, before = documents(spark, sf_dir), []
     for name, stage in STAGES:
+        since = scratch_mark()
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-        release(spark, since, keep_last=True)
+        release(spark, before)
+        before = take_scratch(since)
     return docs

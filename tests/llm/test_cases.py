@@ -116,7 +116,7 @@ def test_index_parts_give_the_same(make, spark):
 @pytest.mark.parametrize("name", ["language", "near_dedup", "decontaminate", "redact", "pack"])
 def test_stages_meet_odd_rows(spark, odd, sf_dir, name):
     stage = getattr(stages, name)
-    docs = odd.withColumn("lang_pred", F.lit(1)).withColumn("chosen", F.lit(2))
+    docs = odd.withColumn("lang_pred", F.lit(1)).withColumn("chosen", F.lit(2)).withColumn("bits", F.lit(3))
     out = stage(spark, docs, sf_dir)
     rows = out.collect()
     if name != "pack":
