@@ -34,7 +34,7 @@ def test_packer_fills_sequences(lengths):
     assert all(n <= 2048 and n & (n - 1) == 0 for n in sizes.values())
 
 
-SPACES = ["a b", "a  b", " a", "a ", "a   b", "a\n b", "a \n  b", "\n\n x", "x\t y", "it's  'll", "<|endoftext|> a", ""]
+SPACES = ["a b", "a  b", " a", "a ", "a   b", "a\n b", "a \n  b", "\n\n x", "x\t y", "it's  'll", "<|endoftext|> a", "", "it's. so, be.", "a.. b,. é, 漢. ́.", "x.\ny. z", "1. 2, I."]
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -260,3 +260,13 @@ def test_shares_of_classes_sum_to_one():
     for b in totals:
         own = [k for k in range(len(head)) if lexicon.symbol[k] == b]
         assert sum(10 ** lexicon.inside[k] for k in own) + 1 / lexicon.share[b] == pytest.approx(1)
+
+
+def test_most_frequent_words(spark):
+    counts = {f"w{k}".encode(): c for k, c in enumerate([500, 90, 90, 40, 7, 7, 1, 1, 1, 1])}
+    table = spark.createDataFrame(list(counts.items()), "word binary, c bigint")
+    expected = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    assert lm_scoring.most_frequent(table, 10) == expected
+    assert lm_scoring.most_frequent(table, 9) == expected[:6]  # equal counts stay together
+    assert lm_scoring.most_frequent(table, 3) == expected[:3]
+    assert lm_scoring.most_frequent(table.limit(0), 3) == []
