@@ -9,31 +9,36 @@ from broadsheet.llm.common import written
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, root) of every node in ``edges`` (a, b); root is the smallest node reached.
+    """(node, root) of every node in ``edges`` (a, b); one root per component.
 
-    Labels move along the edges and jump to their label's label, so the number
-    of rounds grows with the logarithm of a chain's length. Each round is
-    written to the shared folder. Only the number of changed labels reaches
-    the driver.
+    Contraction: each node hooks to its smallest neighbour, hooks are followed
+    twice, the edges are renamed and equal ones fall together. A star or a
+    dense group is one node after the first round; what is left of the edges
+    shrinks from round to round, and chains in logarithmically many. Each round
+    is written to the shared folder. Hooks are edges, so renaming keeps what
+    is connected connected, whether or not a hook has reached its end.
     """
-    both = written(
-        edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "other"), f"{name}-edges"
-    )
-    labels = written(
-        both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), f"{name}-labels"
-    )
-    while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("other"), "root"), "other")
-            .groupBy("node")
-            .agg(F.min("root").alias("near"))
+    edges = written(edges.select("a", "b").where("a <> b").distinct(), f"{name}-edges")
+    labels = None
+    while not edges.isEmpty():
+        both = edges.union(edges.select("b", "a")).toDF("node", "other")
+        hooks = both.groupBy("node").agg(F.least("node", F.min("other")).alias("up"))
+        for _ in range(2):
+            above = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            hooks = hooks.join(above, "up").select("node", F.col("top").alias("up"))
+        hooks = written(hooks, f"{name}-hooks")
+        if labels is None:
+            labels = hooks.toDF("node", "root")
+        else:
+            moved = labels.join(hooks.toDF("root", "up"), "root", "left")
+            labels = moved.select("node", F.coalesce("up", "root").alias("root"))
+        labels = written(labels, f"{name}-labels")
+        for end in ("a", "b"):
+            edges = edges.join(hooks.toDF(end, "up"), end).drop(end).withColumnRenamed("up", end)
+        smaller, larger = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        edges = written(
+            edges.where("a <> b").select(smaller, larger).distinct(), f"{name}-edges"
         )
-        moved = labels.join(near, "node").select(
-            "node", F.col("root").alias("old"), F.least("root", "near").alias("root")
-        )
-        up = moved.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        after = moved.join(up, "root").select("node", "old", F.col("up").alias("root"))
-        after = written(after, f"{name}-labels")
-        labels = after.select("node", "root")
-        if after.where("root < old").isEmpty():
-            return labels
+    if labels is None:
+        return edges.toDF("node", "root")
+    return labels

@@ -15,11 +15,15 @@ candidates is linear in the number of nodes, however large a group is.
 Pairs whose one-bit sketches speak against the threshold by more than four
 standard deviations are left out. All others are confirmed on the full sets:
 in candidate groups of at most ``GROUP`` nodes every pair is compared where the
-group's sets are together; in larger groups each candidate pair is. Links are
-then closed to components.
+group's sets are together; the nodes of a larger group are dealt into blocks of
+about ``GROUP`` nodes, and its candidate pairs are confirmed for each pair of
+blocks with the sets that they name, so a set travels once per pair of blocks
+and not once per pair of nodes. Links are then closed to components.
 
 Chance of a candidate, for a pair at similarity 0.75 exactly, in regions that
-are small: 1 - (1 - 0.75^3)^24 > 0.999997; every further similar copy adds ways.
+are small: 1 - (1 - 0.75^3)^40 > 0.999999999; every further similar copy adds ways. In a deep
+region it is a probability too: a document whose single link is to a copy other
+than the hub is found by its place in one of the orders.
 
 Defined cases: NULL and empty texts, or texts without a word, have no shingle
 and are linked with nothing; texts of fewer than five words have one shingle,
@@ -33,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import UID, with_uid, words, written
@@ -41,7 +45,7 @@ from broadsheet.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-TREES = 24
+TREES = 40
 DEPTH = 3
 MORE_DEPTH = 4
 REGION = 12
@@ -52,6 +56,9 @@ SKETCH_BITS = 128
 SKETCH_AGREE = 96
 GROUP = 256
 SEED = 11
+#: Bits of the filter of texts whose sets are made again: 512 KB, at any size.
+FILTER_BITS = 1 << 22
+_CELL_BITS = 32_768  # of one aggregated bitmap
 
 _VALUES = TREES * (DEPTH + MORE_DEPTH)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -82,7 +89,7 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def signature(shingle: np.ndarray) -> np.ndarray:
-    """MinHash values of a set, as 32-bit numbers."""
+    """MinHash values of a set, as 16-bit numbers."""
     x = (shingle >> np.uint64(32)).astype(np.uint32)
     low = np.full(_VALUES, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(x), 2048):
@@ -91,7 +98,7 @@ def signature(shingle: np.ndarray) -> np.ndarray:
         np.minimum(low, hashed.min(axis=1), out=low)
     low ^= low >> np.uint32(15)
     low *= np.uint32(0x2C1B3C6D)
-    return low ^ (low >> np.uint32(12))
+    return (low >> np.uint32(16)).astype(np.uint16)
 
 
 _SIGNED = f"{UID} bigint, doc_id bigint, tkey string, n bigint, f1 bigint, f2 bigint, sig binary"
@@ -122,15 +129,15 @@ def _plant(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig = np.stack([np.frombuffer(x, np.uint32) for x in batch.column("sig").to_pylist()])
-        bits = (sig[:, :SKETCH_BITS] & np.uint32(1)).astype(np.uint8)
+        sig = np.stack([np.frombuffer(x, np.uint16) for x in batch.column("sig").to_pylist()])
+        bits = (sig[:, :SKETCH_BITS] & np.uint16(1)).astype(np.uint8)
         sketch = np.packbits(bits, axis=1).view(np.int64)
         values = sig.reshape(len(sig), TREES, DEPTH + MORE_DEPTH).astype(np.uint64)
         head, tail = np.zeros((2, len(sig), TREES), np.uint64)
         for k in range(DEPTH):
-            head = (head << np.uint64(21)) | (values[:, :, k] >> np.uint64(11))
+            head = (head << np.uint64(16)) | values[:, :, k]
         for k in range(DEPTH, DEPTH + MORE_DEPTH):
-            tail = (tail << np.uint64(16)) | (values[:, :, k] >> np.uint64(16))
+            tail = (tail << np.uint64(16)) | values[:, :, k]
         node, size = (np.repeat(batch.column(c).to_numpy(), TREES) for c in ("node", "n"))
         columns = [
             np.tile(np.arange(TREES, dtype=np.int32), len(sig)),
@@ -189,8 +196,33 @@ def region_pairs(tail: np.ndarray, s: np.ndarray, tree: int) -> tuple[np.ndarray
     return np.concatenate(left), np.concatenate(right)
 
 
+class _Forest:
+    """Which pairs join what other pairs had not joined yet."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        parent, top = self.parent, x
+        while (up := parent.get(top, top)) != top:
+            top = up
+        while x != top:
+            parent[x], x = top, parent.get(x, x)
+        return top
+
+    def joins(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
 def _neighbours(batches):
-    """Candidate pairs of a run of a sorted forest; holds one region at a time."""
+    """Candidate pairs of a run of a sorted forest; holds one region at a time.
+
+    ``spans`` marks the pairs that already connect all nodes of the run's pairs.
+    """
+    forest = _Forest()
 
     def pairs(rows: np.ndarray):
         tree, node, n = rows[0][0], rows[3], rows[4]
@@ -203,8 +235,10 @@ def _neighbours(batches):
 
     def batch_of(found):
         both = np.concatenate(found)
+        spans = [forest.joins(a, b) for a, b in both.tolist()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"]
+            [pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(spans, pa.bool_())],
+            ["a", "b", "spans"],
         )
 
     names = ["tree", "head", "tail", "node", "n", "s1", "s2"]
@@ -238,14 +272,7 @@ def _closed(group: pd.DataFrame) -> pd.DataFrame:
     sets = [np.frombuffer(x, np.uint64) for x in group["set"]]
     order = np.argsort([len(x) for x in sets], kind="stable")
     sizes = np.array([len(sets[i]) for i in order])
-    parent = list(range(len(order)))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    forest = _Forest()
     every, inverse = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     for i in range(len(order)):
@@ -258,28 +285,55 @@ def _closed(group: pd.DataFrame) -> pd.DataFrame:
         inside = np.add.reduceat(has[inverse[bounds[i + 1] : bounds[end]]], bounds[i + 1 : end] - bounds[i + 1])
         union = sizes[i] + sizes[i + 1 : end] - inside
         for j in np.flatnonzero(100 * inside >= PERCENT * union) + i + 1:
-            parent[find(int(j))] = find(i)
+            forest.joins(int(j), i)
     named = nodes[order]
     lowest: dict[int, int] = {}
     for i in range(len(order)):
-        r = find(i)
+        r = forest.find(i)
         lowest[r] = min(lowest.get(r, named[i]), named[i])
-    return pd.DataFrame({"node": named, "root": [lowest[find(i)] for i in range(len(order))]})
+    return pd.DataFrame({"node": named, "root": [lowest[forest.find(i)] for i in range(len(order))]})
 
 
-def _sets(batches):
-    for batch in batches:
-        found = [shingles(x).tobytes() for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("tkey"), pa.array(found, pa.binary())], ["tkey", "set"]
-        )
+def filter_bits(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which the ``slot`` of each of ``keys`` is set."""
+    cells = keys.groupBy(F.floor(F.col("slot") / _CELL_BITS).alias("cell")).agg(
+        F.bitmap_construct_agg(F.col("slot") % _CELL_BITS).alias("bits")
+    )
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in cells.collect():  # at most FILTER_BITS / _CELL_BITS rows
+        at = r["cell"] * _CELL_BITS // 8
+        bits[at : at + _CELL_BITS // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return np.unpackbits(bits, bitorder="little").astype(bool)
 
 
-def _confirmed(batches):
-    for batch in batches:
-        xs, ys = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-        good = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(xs, ys, strict=True)]
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+def _sets(wanted):
+    """Sets of the texts that pass the filter; the texts themselves stay where they are."""
+
+    def run(batches):
+        bits = wanted.value
+        for batch in batches:
+            batch = batch.filter(pa.array(bits[batch.column("slot").to_numpy()], pa.bool_()))
+            found = [shingles(x).tobytes() for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("tkey"), pa.array(found, pa.binary())], ["tkey", "set"]
+            )
+
+    return run
+
+
+def _slot(tkey) -> Column:
+    return F.pmod(F.xxhash64(tkey), F.lit(FILTER_BITS)).alias("slot")
+
+
+def _confirmed(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """Links among the pairs of two blocks; enough of them to connect what is linked."""
+    sets = {n: np.frombuffer(x, np.uint64) for n, x in zip(held["node"], held["set"], strict=True)}
+    forest, links = _Forest(), []
+    for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist(), strict=True):
+        if forest.find(a) != forest.find(b) and _linked(sets[a], sets[b]):
+            forest.joins(a, b)
+            links.append((a, b))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -309,30 +363,50 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = written(
         forest.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_neighbours, "a bigint, b bigint")
-        .distinct(),
+        .mapInArrow(_neighbours, "a bigint, b bigint, spans boolean")
+        .groupBy("a", "b")
+        .agg(F.max("spans").alias("spans")),
         "dedup-pairs",
     )
-    grouped = components(pairs, "dedup-candidates")
+    grouped = components(pairs.where("spans"), "dedup-candidates")
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
     grouped = written(
         grouped.join(sizes, "root").join(nodes.select("node", "tkey"), "node"), "dedup-groups"
     )
     # The sets of candidates only, made again from their texts.
-    asked = grouped.select("tkey").distinct()
-    texts = docs.select("text", F.md5("text").alias("tkey")).join(asked, "tkey", "left_semi")
-    sets = texts.mapInArrow(_sets, "tkey string, set binary").groupBy("tkey").agg(F.first("set").alias("set"))
+    wanted = docs.sparkSession.sparkContext.broadcast(filter_bits(grouped.select(_slot("tkey"))))
+    texts = rows.where(F.col("tkey").isNotNull()).select("text", "tkey", _slot("tkey"))
+    sets = (
+        texts.mapInArrow(_sets(wanted), "tkey string, set binary")
+        .groupBy("tkey")
+        .agg(F.first("set").alias("set"))
+    )
     held = written(grouped.join(sets, "tkey").select("node", "root", "size", "set"), "dedup-sets")
 
     small = held.where(F.col("size") <= GROUP).groupBy("root").applyInPandas(
         _closed, "node bigint, root bigint"
     )
-    large = held.where(F.col("size") > GROUP).select("node", "set")
+    large = held.where(F.col("size") > GROUP)
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP)).alias("block")
+    blocks = large.select("root", "node", block)
+    asked_pairs = (
+        pairs.join(blocks.toDF("root", "a", "block_a"), "a")
+        .join(blocks.select(F.col("node").alias("b"), F.col("block").alias("block_b")), "b")
+        .select(
+            "root", F.least("block_a", "block_b").alias("p"), F.greatest("block_a", "block_b").alias("q"),
+            "a", "b",
+        )
+    )
+    asked_pairs = written(asked_pairs, "dedup-blocks")
+    key = ["root", "p", "q"]
+    needed = asked_pairs.select(*key, F.explode(F.array("a", "b")).alias("node")).distinct()
+    delivered = written(
+        needed.join(large.select("node", "set"), "node").select(*key, "node", "set"), "dedup-delivered"
+    )
     links = (
-        pairs.join(large.select(F.col("node").alias("a"), F.col("set").alias("x")), "a")
-        .join(large.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(_confirmed, "a bigint, b bigint")
+        asked_pairs.groupBy(*key)
+        .cogroup(delivered.groupBy(*key))
+        .applyInPandas(_confirmed, "a bigint, b bigint")
     )
     closed = small.union(components(written(links, "dedup-links"), "dedup-components"))
     rooted = nodes.join(closed, "node", "left").select(
