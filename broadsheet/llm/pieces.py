@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterable
 #: for again moves on from it, so frequent pieces stay. Speed only.
 KEPT_PIECES = 200_000
 
+MARKS = (".", ",")
+
 #: Longer pieces are encoded but not kept.
 KEPT_CHARS = 64
 
@@ -54,7 +56,7 @@ def word_pieces(text: str) -> list[str]:
 
 
 class Memory:
-    """``keep(ids)`` of each piece, e.g. their number or their bytes."""
+    """``keep(ids)`` of each piece, e.g. their number or their bytes; it adds up."""
 
     def __init__(self, encoder, keep: Callable[[list[int]], object]):
         self.encoder, self.keep = encoder, keep
@@ -68,11 +70,20 @@ class Memory:
         known, older = self.known, self.older
         asked = {p for p in pieces if p not in known}
         known.update((p, older[p]) for p in asked & older.keys())
-        new = [p for p in asked if p not in known]
+        new = {p for p in asked if p not in known}
         if not new:
             return known
-        found = self.encoder.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {p: self.keep(e.ids) for p, e in zip(new, found, strict=True)}
+        # A point or comma after a letter is a token of its own: such a piece
+        # is made of its word, which is known more often.
+        ended = {p: p[:-1] for p in new if p[-1:] in MARKS and p[-2:-1].isalpha()}
+        parts = {*ended.values(), *MARKS} if ended else set()
+        known.update((p, older[p]) for p in parts & older.keys())
+        whole = list({p for p in (new - ended.keys()) | parts if p not in known})
+        found = self.encoder.encode_batch_fast(whole, add_special_tokens=False)
+        fresh = {p: self.keep(e.ids) for p, e in zip(whole, found, strict=True)}
+        for p, word in ended.items():
+            word, mark = (fresh[x] if x in fresh else known[x] for x in (word, p[-1]))
+            fresh[p] = word + mark
         known.update((p, x) for p, x in fresh.items() if len(p) <= KEPT_CHARS)
         long = {p: x for p, x in fresh.items() if len(p) > KEPT_CHARS}
         return known | long if long else known
