@@ -20,10 +20,18 @@ about ``GROUP`` nodes, and its candidate pairs are confirmed for each pair of
 blocks with the sets that they name, so a set travels once per pair of blocks
 and not once per pair of nodes. Links are then closed to components.
 
-Chance of a candidate, for a pair at similarity 0.75 exactly, in regions that
-are small: 1 - (1 - 0.75^3)^40 > 0.999999999; every further similar copy adds ways. In a deep
-region it is a probability too: a document whose single link is to a copy other
-than the hub is found by its place in one of the orders.
+In a deep region only some pairs are candidates, so its nodes, the crowd, get an
+exact pass for links between different components: a prefix filter on the
+shingles that are rarest in the crowd, with length and positional bounds, then
+the distance of parity bitmaps, which is never above that of the sets. The
+entries of a hot shingle are dealt into blocks, compared block by block. What
+passes is confirmed on the full sets. The bounds lose no link; in a crowd of
+which most pairs lie just under the threshold, they leave many to confirm.
+
+Chance that a pair at similarity 0.75 exactly shares a region of some tree:
+1 - (1 - 0.75^3)^40 > 0.999999999; every further similar copy adds ways. In a
+small region the sketches lose about one pair in 30,000; in a deep one nothing
+more is lost.
 
 Defined cases: NULL and empty texts, or texts without a word, have no shingle
 and are linked with nothing; texts of fewer than five words have one shingle,
@@ -59,6 +67,11 @@ SEED = 11
 #: Bits of the filter of texts whose sets are made again: 512 KB, at any size.
 FILTER_BITS = 1 << 22
 _CELL_BITS = 32_768  # of one aggregated bitmap
+#: Slots of the counts that put the shingles of a crowd in order, at any size.
+COUNT_BITS = 20
+PARITY_BITS = 1024
+#: Entries of one shingle that are compared in one block.
+POSTING = 1024
 
 _VALUES = TREES * (DEPTH + MORE_DEPTH)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -221,16 +234,20 @@ def _neighbours(batches):
     """Candidate pairs of a run of a sorted forest; holds one region at a time.
 
     ``spans`` marks the pairs that already connect all nodes of the run's pairs.
+    A node of the crowd comes as a pair with itself: one of a deep region, or of
+    the first or last region, which may go on in another run.
     """
     forest = _Forest()
 
-    def pairs(rows: np.ndarray):
+    def pairs(rows: np.ndarray, edge: bool = False):
         tree, node, n = rows[0][0], rows[3], rows[4]
         s = np.stack([rows[5], rows[6]], axis=1).view(np.uint64)
         i, j = region_pairs(rows[2].view(np.uint64), s, int(tree))
         small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
         good = (100 * small >= PERCENT * large) & (_agreeing(s, i, j) >= SKETCH_AGREE)
         a, b = np.minimum(node[i], node[j])[good], np.maximum(node[i], node[j])[good]
+        if edge or len(node) > REGION:
+            a, b = np.concatenate([a, node]), np.concatenate([b, node])
         return np.unique(np.stack([a, b], axis=1), axis=0)
 
     def batch_of(found):
@@ -242,7 +259,7 @@ def _neighbours(batches):
         )
 
     names = ["tree", "head", "tail", "node", "n", "s1", "s2"]
-    kept = None
+    kept, first = None, True
     for batch in batches:
         rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])
         rows = rows if kept is None else np.concatenate([kept, rows], axis=1)
@@ -252,13 +269,16 @@ def _neighbours(batches):
         # The last region may go on in the next batch.
         ends = new.tolist()
         found = [
-            pairs(rows[:, a:b]) for a, b in zip([0, *ends], ends, strict=False) if b - a > 1
+            pairs(rows[:, a:b], first and a == 0)
+            for a, b in zip([0, *ends], ends, strict=False)
+            if b - a > 1 or (first and a == 0)
         ]
+        first = first and not ends
         kept = rows[:, ends[-1] :] if ends else rows
         if found:
             yield batch_of(found)
-    if kept is not None and kept.shape[1] > 1:
-        yield batch_of([pairs(kept)])
+    if kept is not None and kept.shape[1]:
+        yield batch_of([pairs(kept, True)])
 
 
 def _linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -336,6 +356,177 @@ def _confirmed(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _least(n, m):
+    """Shingles that sets of n and m at the threshold have in common at least."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
+
+
+def parity(shingle: np.ndarray) -> np.ndarray:
+    """Parities of a set's numbers in ``PARITY_BITS`` cells.
+
+    The bitmaps of two sets differ in no more bits than the sets in elements.
+    """
+    cells = np.bincount((shingle % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits((cells & 1).astype(np.uint8))
+
+
+def _rarity_slot(shingle: np.ndarray) -> np.ndarray:
+    return (shingle >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _slot_counts(batches):
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    for batch in batches:
+        for x in batch.column("set").to_pylist():
+            np.add.at(counts, _rarity_slot(np.frombuffer(x, np.uint64)), 1)
+    used = np.flatnonzero(counts)
+    for at in range(0, len(used), 65_536):
+        part = used[at : at + 65_536]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], ["slot", "c"])
+
+
+def prefix(shingle: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and shingles, rarest first, of which a linked set must have one.
+
+    The order is that of the counts of slots, so it is the same for all sets.
+    """
+    own = counts[_rarity_slot(shingle)]
+    n = len(shingle)
+    order = np.lexsort((shingle, own))[: n - -(-PERCENT * n // 100) + 1]
+    place = np.flatnonzero(own[order] > 1)  # what only one set has, links nothing
+    return place, shingle[order[place]]
+
+
+_ENTRY = "shingle bigint, place bigint, node bigint, root bigint, n bigint, bits binary"
+
+
+def _entries(counts):
+    def run(batches):
+        known = counts.value
+        for batch in batches:
+            for node, root, x in zip(*(batch.column(c).to_pylist() for c in ("node", "root", "set")), strict=True):
+                own = np.frombuffer(x, np.uint64)
+                place, rare = prefix(own, known)
+                k = len(place)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rare.view(np.int64)), pa.array(place), pa.array(np.full(k, node)),
+                     pa.array(np.full(k, root)), pa.array(np.full(k, len(own))),
+                     pa.array([parity(own).tobytes()] * k, pa.binary())],
+                    ["shingle", "place", "node", "root", "n", "bits"],
+                )
+
+    return run
+
+
+def posting_pairs(place, root, n, bits, own, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (positions) of a shingle's entries that the bounds leave; ``across``: of two blocks."""
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, len(n))
+        j = j[(root[j] != root[i]) & ((own[j] != own[i]) if across else True)]
+        least = _least(n[i], n[j])
+        j, least = (x[np.minimum(n[i] - place[i], n[j] - place[j]) >= least] for x in (j, least))
+        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+        j = j[apart <= n[i] + n[j] - 2 * least]
+        left.append(np.full(len(j), i))
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
+
+
+_POSTED = ["shingle", "p", "q", "own", "place", "node", "root", "n"]
+
+
+def _posted(batches):
+    """Pairs of a run of entries sorted by shingle and blocks; holds one block pair at a time."""
+
+    def pairs(rows, bits):
+        _, p, q, own, place, node, root, n = rows
+        i, j = posting_pairs(place, root, n, bits, own, bool(p[0] != q[0]))
+        flip = node[i] > node[j]
+        i, j = np.where(flip, j, i), np.where(flip, i, j)
+        return np.stack([node[i], node[j], root[i], root[j]])
+
+    def batch_of(found):
+        each = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in each], ["a", "b", "root_a", "root_b"])
+
+    kept = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in _POSTED])
+        bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(len(rows[0]), -1)
+        if kept is not None:
+            rows, bits = np.concatenate([kept[0], rows], axis=1), np.concatenate([kept[1], bits])
+        ends = (np.flatnonzero((np.diff(rows[:3]) != 0).any(axis=0)) + 1).tolist()
+        found = [
+            pairs(rows[:, a:b], bits[a:b]) for a, b in zip([0, *ends], ends, strict=False) if b - a > 1
+        ]
+        kept = (rows[:, ends[-1] :], bits[ends[-1] :]) if ends else (rows, bits)
+        if found:
+            yield batch_of(found)
+    if kept is not None and len(kept[1]) > 1:
+        yield batch_of([pairs(*kept)])
+
+
+def _joined(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """Components that pairs of two blocks link: pairs of roots."""
+    sets = {n: np.frombuffer(x, np.uint64) for n, x in zip(held["node"], held["set"], strict=True)}
+    forest, links = _Forest(), []
+    for a, b, x, y in pairs[["a", "b", "root_a", "root_b"]].itertuples(index=False):
+        if forest.find(x) != forest.find(y) and _linked(sets[a], sets[b]):
+            forest.joins(x, y)
+            links.append((x, y))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def crowd_links(crowd: DataFrame) -> DataFrame:
+    """Pairs of components (a, b) with a link between them, of all (node, root, set) rows.
+
+    Exact: enough pairs to connect what is linked.
+    """
+    spark = crowd.sparkSession
+    counted = crowd.mapInArrow(_slot_counts, "slot bigint, c bigint").groupBy("slot").agg(F.sum("c").alias("c"))
+    table = counted.toArrow()  # at most 2^COUNT_BITS rows
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    counts[table["slot"].to_numpy()] = table["c"].to_numpy()
+    entries = written(
+        crowd.mapInArrow(_entries(spark.sparkContext.broadcast(counts)), _ENTRY), "dedup-entries"
+    )
+    shared = (
+        entries.groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low < high")
+        .select("shingle", F.ceil(F.col("k") / POSTING).alias("blocks"))
+    )
+    # A block of a hot shingle meets each block, itself included.
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).alias("own")
+    dealt = entries.join(shared, "shingle").select("*", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = dealt.select(
+        "shingle", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+        "own", "place", "node", "root", "n", "bits",
+    )
+    key = ["shingle", "p", "q"]
+    asked = (
+        dealt.repartition(*key)
+        .sortWithinPartitions(*key)
+        .mapInArrow(_posted, "a bigint, b bigint, root_a bigint, root_b bigint")
+        .distinct()
+    )
+    n_blocks = F.lit(-(-crowd.count() // GROUP))
+    block = lambda c: F.pmod(F.xxhash64(c), n_blocks)
+    ends = F.least(block("a"), block("b")).alias("p"), F.greatest(block("a"), block("b")).alias("q")
+    asked = written(asked.select(*ends, "a", "b", "root_a", "root_b"), "dedup-asked")
+    needed = asked.select("p", "q", F.explode(F.array("a", "b")).alias("node")).distinct()
+    delivered = written(needed.join(crowd.select("node", "set"), "node"), "dedup-crowd-sets")
+    return (
+        asked.groupBy("p", "q")
+        .cogroup(delivered.groupBy("p", "q"))
+        .applyInPandas(_joined, "a bigint, b bigint")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and chosen of each row.
 
@@ -368,10 +559,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.max("spans").alias("spans")),
         "dedup-pairs",
     )
+    crowd = pairs.where("a = b").select(F.col("a").alias("node"), F.lit(True).alias("crowded"))
+    pairs = pairs.where("a < b")
     grouped = components(pairs.where("spans"), "dedup-candidates")
     sizes = grouped.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    lone = crowd.join(grouped, "node", "left_anti").select(
+        "node", F.col("node").alias("root"), F.lit(1).cast("bigint").alias("size")
+    )
+    members = grouped.join(sizes, "root").select("node", "root", "size").union(lone)
     grouped = written(
-        grouped.join(sizes, "root").join(nodes.select("node", "tkey"), "node"), "dedup-groups"
+        members.join(crowd, "node", "left").join(nodes.select("node", "tkey"), "node"),
+        "dedup-groups",
     )
     # The sets of candidates only, made again from their texts.
     wanted = docs.sparkSession.sparkContext.broadcast(filter_bits(grouped.select(_slot("tkey"))))
@@ -381,9 +579,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .groupBy("tkey")
         .agg(F.first("set").alias("set"))
     )
-    held = written(grouped.join(sets, "tkey").select("node", "root", "size", "set"), "dedup-sets")
+    held = written(
+        grouped.join(sets, "tkey").select("node", "root", "size", "crowded", "set"), "dedup-sets"
+    )
 
-    small = held.where(F.col("size") <= GROUP).groupBy("root").applyInPandas(
+    small = held.where((F.col("size") > 1) & (F.col("size") <= GROUP)).groupBy("root").applyInPandas(
         _closed, "node bigint, root bigint"
     )
     large = held.where(F.col("size") > GROUP)
@@ -409,6 +609,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .applyInPandas(_confirmed, "a bigint, b bigint")
     )
     closed = small.union(components(written(links, "dedup-links"), "dedup-components"))
+    closed = written(closed, "dedup-closed")
+    crowd = held.where("crowded").join(closed.toDF("node", "top"), "node", "left")
+    crowd = written(crowd.select("node", F.coalesce("top", "node").alias("root"), "set"), "dedup-crowd")
+    if not crowd.isEmpty():
+        more = components(written(crowd_links(crowd), "dedup-more"), "dedup-joined").toDF("root", "top")
+        closed = (
+            closed.union(crowd.select("node", "root")).distinct().join(more, "root", "left")
+            .select("node", F.coalesce("top", "root").alias("root"))
+        )
     rooted = nodes.join(closed, "node", "left").select(
         "f1", "f2", "n", "best", F.coalesce("root", "node").alias("root")
     )

@@ -149,6 +149,49 @@ def test_closed_groups():
     assert got == {7: 1, 3: 1, 9: 9, 5: 1, 1: 1}  # 1 is near 3 only
 
 
+def test_crowd_bounds_lose_no_pair():
+    rng = np.random.default_rng(7)
+    core = rng.integers(0, 2**64, 120, np.uint64)
+    sets = []
+    for _ in range(120):
+        own = rng.integers(0, 2**64, rng.integers(0, 30), np.uint64)
+        sets.append(np.unique(np.concatenate([rng.choice(core, rng.integers(95, 121), replace=False), own])))
+    counts = np.zeros(1 << near_dedup.COUNT_BITS, np.int64)
+    for x in sets:
+        counts[near_dedup._rarity_slot(x)] += 1
+    postings = {}
+    for k, x in enumerate(sets):
+        for place, shingle in zip(*near_dedup.prefix(x, counts), strict=True):
+            postings.setdefault(int(shingle), []).append((place, k, len(x), near_dedup.parity(x)))
+    found = set()
+    for own in postings.values():
+        place, node, n = (np.array([e[k] for e in own]) for k in range(3))
+        bits = np.stack([e[3] for e in own]).view(np.uint64)
+        for across in (False, True):
+            i, j = near_dedup.posting_pairs(place, node, n, bits, node % 2, across)
+            assert not across or (node[i] % 2 != node[j] % 2).all()
+            found |= set(zip(node[i].tolist(), node[j].tolist(), strict=True)) if not across else set()
+    linked = {(i, j) for i in range(120) for j in range(i + 1, 120) if near_dedup._linked(sets[i], sets[j])}
+    assert linked and linked <= found
+
+
+def test_crowds_lose_no_link(make):
+    """Texts that share a long passage, pairwise just under the threshold, but for some pairs."""
+    from test_contracts import brute_components, shingle_set
+
+    passage = " ".join(f"p{k}" for k in range(152))  # 148 shingles
+    texts = []
+    for k in range(600):
+        own = [f"d{k}w{x}" for x in range(26)]
+        if k >= 560:  # two more shingles of another text make 150 of 174: 0.757
+            own[:2] = f"d{k - 40}w0", f"d{k - 40}w1"
+        texts.append(f"{passage} {' '.join(own)}")
+    roots = brute_components({k: shingle_set(x) for k, x in enumerate(texts)})
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(make(*texts)).collect()}
+    assert got == roots
+    assert sum(k != r for k, r in got.items()) == 40
+
+
 def test_components_of_long_chains(spark):
     from broadsheet.llm.components import components
 
