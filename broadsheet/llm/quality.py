@@ -4,11 +4,12 @@ Each text is measured once. The measures of all documents go into mergeable
 quantile sketches, one per (language, source, measure): counts of logarithmic
 buckets with a relative error of about 1 %, which add up in any order, so the
 result does not depend on partitioning or retries. A document is dropped when
-a measure lies beyond its group's upper fence, the upper quartile plus
-``FENCE`` times the spread between median and upper quartile, or below the
-lower fence for the measures with ``low``. Fences are at least ``slack`` away
-from the quartile, so a group in which nearly all are alike does not drop what
-differs a little. Small groups merge their sketch with that of their language,
+a measure lies beyond its group's upper fence, the 90 % quantile plus ``FENCE``
+times its distance from the median, or below the lower fence, made of the 10 %
+quantile likewise, for the measures with ``low``. So a tenth of a group may be
+junk without moving its own fence far. Only rounding is allowed for: the
+sketch's error, and one unit of a count, so that a single symbol or line is no
+reason in a group that has none. Small groups merge their sketch with that of their language,
 then of all rows.
 
 Hot groups cost a row per bucket and task: sketches are summed before the
@@ -49,18 +50,24 @@ _SCHEMA = (
 class Measure:
     name: str
     value: Column
-    slack: float
     low: bool = False
+    #: What one unit less of its count would give.
+    less: Column | None = None
 
 
 def measures() -> list[Measure]:
     words = F.greatest(F.col("n_words"), F.lit(1))
+    lines = F.greatest(F.col("n_lines"), F.lit(1))
+
+    def share(name: str, count: str, of: Column) -> Measure:
+        return Measure(name, F.col(count) / of, less=(F.col(count) - 1) / of)
+
     return [
-        Measure("word_length", F.col("word_chars") / words, 3.0, low=True),
-        Measure("symbol_share", F.col("n_symbols") / words, 0.3),
-        Measure("upper_share", F.col("n_upper") / words, 3.0),
-        Measure("duplicate_line_share", F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)), 0.5),
-        Measure("repeat_share", F.col("n_repeat_words") / words, 0.3),
+        Measure("word_length", F.col("word_chars") / words, low=True),
+        share("symbol_share", "n_symbols", words),
+        share("upper_share", "n_upper", words),
+        share("duplicate_line_share", "n_dup_lines", lines),
+        share("repeat_share", "n_repeat_words", words),
     ]
 
 
@@ -126,7 +133,7 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles of the sketches merged by ``keys``; null-safe keys."""
+    """Quartiles and outer tenths of the sketches merged by ``keys``; null-safe keys."""
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("rows").alias("rows"))
     # A group has a bounded number of buckets, however many rows it sums up.
     order = Window.partitionBy(*keys, "measure").orderBy("bucket")
@@ -139,7 +146,8 @@ def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
         return F.min(F.when(F.col("upto") >= q * F.col("total"), bucket_value(F.col("bucket"))))
 
     return below.groupBy(*keys, "measure").agg(
-        F.max("total").alias("total"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3")
+        F.max("total").alias("total"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"),
+        at(0.1).alias("p10"), at(0.9).alias("p90"),
     )
 
 
@@ -148,7 +156,7 @@ def thresholds(sketch: DataFrame, least_rows: int = LEAST_ROWS, fence: float = F
     levels = []
     for k, keys in enumerate((["lang", "source"], ["lang"], [])):
         found = quantiles(sketch, keys)
-        stats = F.struct("total", "q1", "q2", "q3").alias(f"level{k}")
+        stats = F.struct("total", "p10", "q2", "p90").alias(f"level{k}")
         levels.append((keys, found.select(*keys, "measure", stats)))
     out = levels[0][1]
     for keys, found in levels[1:]:
@@ -160,15 +168,14 @@ def thresholds(sketch: DataFrame, least_rows: int = LEAST_ROWS, fence: float = F
     pick = F.when(F.col("level0.total") >= least_rows, F.col("level0")).otherwise(
         F.when(F.col("level1.total") >= least_rows, F.col("level1")).otherwise(F.col("level2"))
     )
-    slack = F.create_map(*[x for m in measures() for x in (F.lit(m.name), F.lit(m.slack))])[F.col("measure")]
     lows = [m.name for m in measures() if m.low]
-    out = out.select("lang", "source", "measure", pick.alias("s"), slack.alias("slack"))
-    up = F.greatest(fence * (F.col("s.q3") - F.col("s.q2")), "slack")
-    down = F.greatest(fence * (F.col("s.q2") - F.col("s.q1")), "slack")
+    out = out.select("lang", "source", "measure", pick.alias("s"))
+    up = F.col("s.p90") + fence * (F.col("s.p90") - F.col("s.q2"))
+    down = F.col("s.p10") - fence * (F.col("s.q2") - F.col("s.p10"))
     return out.select(
         "lang", "source", "measure",
-        (F.col("s.q3") + up).alias("high"),
-        F.when(F.col("measure").isin(*lows), F.col("s.q1") - down).alias("low"),
+        (up * (1 + 2 * ERROR) + ERROR).alias("high"),
+        F.when(F.col("measure").isin(*lows), down * (1 - 2 * ERROR) - ERROR).alias("low"),
     )
 
 
@@ -190,7 +197,7 @@ def judge(docs: DataFrame) -> DataFrame:
     outside = F.lit(False)
     for m in measures():
         fence = F.col("fences")[m.name]
-        outside |= m.value > fence["high"]
+        outside |= (m.value if m.less is None else m.less) > fence["high"]
         if m.low:
             outside |= m.value < fence["low"]
     return joined.select(

@@ -272,6 +272,23 @@ def test_sketches_merge(spark):
     assert got["total"] == 900
 
 
+def test_fences_follow_the_group(make):
+    """The same text stands out in a group of plain prose and not in one of tables."""
+    rng = random.Random(3)
+
+    def text(symbols):
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(200)]
+        return " ".join(words + ["|"] * symbols)
+
+    rows = [(k, text(rng.randint(0, 2)), "en", "prose") for k in range(300)]
+    rows += [(300 + k, text(rng.randint(0, 60)), "en", "tables") for k in range(300)]
+    asked = text(40)  # a sixth of its words
+    rows += [(600, asked, "en", "prose"), (601, asked, "en", "tables")]
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(make(*rows)).collect()}
+    assert (kept[600], kept[601]) == (False, True)
+    assert all(kept[k] for k in range(600))
+
+
 def test_model_is_normalised_and_learns():
     rng = np.random.default_rng(0)
     head = [(b"", 50)] + [(f"w{k}".encode(), 40) for k in range(20)]
