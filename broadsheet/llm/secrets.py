@@ -2,11 +2,15 @@
 
 Candidates are found in each text. Their hashes are aggregated over the whole
 corpus: in how many repositories (documents) and with how many owners
-(sources) a value occurs. A value that several owners have is a copied
-example; one that stays with a single owner looks live. The base kinds are
-reported either way and carry the verdict; the further kinds (private key
-blocks, signed web tokens, credentials in addresses, long mixed tokens) are
-looser, so they are reported only where the corpus shows a single owner.
+(sources) a value occurs. Copies of one text are one piece of evidence, however
+many and wherever they are: a text counts once, as a repository of the least of
+its owners. A value that more than ``OWNERS`` owners or ``REPOSITORIES``
+repositories have by this count is a copied example, and so is one that more
+than ``OWNERS`` owners have in several repositories each, which a text handed on
+once doesn't explain; else it looks live. The
+base kinds are reported either way and carry the verdict; the further kinds
+(private key blocks, signed web tokens, credentials in addresses, long mixed
+tokens) are looser, so they are reported only where they look live.
 
 Texts are scanned once and written without the text; counting is by (hash,
 owner, repository), then (hash, owner), then hash, each combined before its
@@ -49,11 +53,13 @@ MORE = {
 KINDS = ["assign", "access", "hex", *MORE]
 BASE = KINDS[:3]
 MIXED_BITS = 3.5
-#: With more owners than this a value is a copied example.
+#: With more owners or repositories than this, each text counted once, a value
+#: is a copied example.
 OWNERS = 1
+REPOSITORIES = 20
 
 _CANDIDATE = "struct<kind: string, start: bigint, end: bigint, base: boolean, hash: string>"
-_SCANNED = f"{UID} bigint, doc_id bigint, source string, found array<{_CANDIDATE}>"
+_SCANNED = f"{UID} bigint, doc_id bigint, source string, tkey string, found array<{_CANDIDATE}>"
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -117,8 +123,8 @@ def _scan(batches):
             ]
         )
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in (UID, "doc_id", "source")), pa.array(found, pa.list_(kind))],
-            [UID, "doc_id", "source", "found"],
+            [*(batch.column(c) for c in (UID, "doc_id", "source", "tkey")), pa.array(found, pa.list_(kind))],
+            [UID, "doc_id", "source", "tkey", "found"],
         )
 
 
@@ -132,26 +138,40 @@ def ownership(candidates: DataFrame) -> DataFrame:
         F.sum("repositories").alias("n_repositories"),
         F.count(F.lit(1)).alias("n_owners"),
         F.sum("uses").alias("n_uses"),
+        F.count_if(F.col("repositories") > 1).alias("n_repeating"),
     )
 
 
-def scan(docs: DataFrame, owners: int = OWNERS) -> DataFrame:
+def evidence(candidates: DataFrame) -> DataFrame:
+    """Distinct texts of each hash in (hash, owner, tkey) rows, and their owners."""
+    texts = candidates.groupBy("hash", "tkey").agg(
+        F.min(F.struct(F.col("owner").isNull().alias("none"), "owner")).alias("owner")
+    )
+    owned = texts.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("texts"))
+    return owned.groupBy("hash").agg(
+        F.sum("texts").alias("n_texts"), F.count(F.lit(1)).alias("n_text_owners")
+    )
+
+
+def scan(docs: DataFrame, owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
     """doc_id and its spans: array of (kind, start, end, base, hash, n_repositories,
     n_owners, live), by start, then kind as listed."""
     rows = with_uid(
         docs.select(
             F.col("doc_id").cast("bigint"), "text", F.col("source").cast("string")
         )
-    ).select(UID, "doc_id", "source", "text")
+    ).select(UID, "doc_id", "source", F.md5("text").alias("tkey"), "text")
     scanned = written(rows.mapInArrow(_scan, _SCANNED), "secrets-scan")
     each = scanned.where(F.size("found") > 0).select(
-        UID, "doc_id", F.col("source").alias("owner"), F.explode("found").alias("c")
+        UID, "doc_id", F.col("source").alias("owner"), "tkey", F.explode("found").alias("c")
     )
-    each = each.select(UID, "owner", F.col("doc_id").alias("repository"), "c.*")
+    each = each.select(UID, "owner", F.col("doc_id").alias("repository"), "tkey", "c.*")
     known = ownership(each.select("hash", "owner", "repository"))
+    known = known.join(evidence(each.select("hash", "owner", "tkey")), "hash")
     # Nothing but the verdict crosses this join; Spark splits a hot hash.
     judged = each.select(UID, "kind", "start", "end", "base", "hash").join(known, "hash")
-    judged = judged.withColumn("live", F.col("n_owners") <= owners)
+    few = (F.col("n_text_owners") <= owners) & (F.col("n_texts") <= repositories)
+    judged = judged.withColumn("live", few & (F.col("n_repeating") <= owners))
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     span = F.struct(
         "start", rank.alias("rank"), "kind", "end", "base", "hash", "n_repositories",

@@ -148,3 +148,14 @@ def test_secret_ownership(make):
     assert [(s["kind"], s["live"], s["n_owners"], s["n_repositories"]) for s in found[6]] == [
         ("pem", True, 1, 2)
     ]
+
+
+def test_secrets_by_repositories_and_copies(make):
+    sample, own = "AKIA" + "B2C4D6E8F0G1H3J5", "AKIA" + "Z9Y8X7W6V5U4T3S2"
+    pem = "-----BEGIN PRIVATE KEY-----\nMIIB\n-----END PRIVATE KEY-----"
+    # A sample in many texts of one hot source; a credential in a text copied to another source.
+    rows = [(k, f"text {k} has {sample}", "en", "hot") for k in range(60)]
+    rows += [(100 + k, f"one {own} {pem}", "en", f"src{k}") for k in range(3)]
+    found = {r["doc_id"]: r["spans"] for r in secrets.scan(make(*rows)).collect()}
+    assert [(s["live"], s["n_owners"], s["n_repositories"]) for s in found[0]] == [(False, 1, 60)]
+    assert [(s["kind"], s["live"]) for s in found[100]] == [("access", True), ("pem", True)]
