@@ -47,9 +47,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language; learns from the rows that op9 learns from.
 
     Texts without a letter go. A low score alone is no reason: texts of a word
-    or two are clean and can't score high.
+    or two are clean and can't score high. Where nothing can be learnt, every
+    text with a letter stays.
     """
     model = language_id.train(docs.where(remainder(F.col("doc_id"), 5) != 0))
+    if model is None:
+        has = F.udf(lambda x: bool(x and language_id.LETTER.search(x)), "boolean")
+        return docs.where(has("text"))
     found = language_id.predict(docs, model)
     return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
 

@@ -159,3 +159,8 @@ def test_secrets_by_repositories_and_copies(make):
     found = {r["doc_id"]: r["spans"] for r in secrets.scan(make(*rows)).collect()}
     assert [(s["live"], s["n_owners"], s["n_repositories"]) for s in found[0]] == [(False, 1, 60)]
     assert [(s["kind"], s["live"]) for s in found[100]] == [("access", True), ("pem", True)]
+
+
+def test_language_stage_without_labels(spark, make, sf_dir):
+    docs = make((1, "clean prose", None, "src0"), (2, "123 ...", None, "src0"), (None, "word", None, None))
+    assert {r["doc_id"] for r in stages.language(spark, docs, sf_dir).collect()} == {1, None}
