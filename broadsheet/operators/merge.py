@@ -13,9 +13,20 @@ from broadsheet.operators.records import with_record_id
 URL_KEY = ["source_id", "url"]
 
 
+def arrival(items: DataFrame) -> list[str]:
+    """Columns that spell out the order of arrival.
+
+    Positions restart in each landed document, so the store's version and the
+    run that landed it come first where they are known; equal places are told
+    apart by what the rows say, never by the partitioning.
+    """
+    known = ["version", "landed_run", "item_pos", "title", "published_at", "author", "summary"]
+    return [c for c in known if c in items.columns]
+
+
 def latest_by_url(items: DataFrame) -> DataFrame:
     """The last manifest row of each (source, url); rows without url are skipped."""
-    return last_per_key(items.where(F.col("url") != ""), URL_KEY, ["item_pos"])
+    return last_per_key(items.where(F.col("url") != ""), URL_KEY, arrival(items))
 
 
 def known_urls(items: DataFrame) -> DataFrame:
@@ -29,13 +40,15 @@ def new_items(incoming: DataFrame, existing: DataFrame, dedup: bool = False) ->
     twice counts as new twice; ``dedup`` keeps its first row only.
     """
     fresh = incoming.join(known_urls(existing), URL_KEY, "left_anti")
-    return first_per_key(fresh, URL_KEY, ["item_pos"]) if dedup else fresh
+    return first_per_key(fresh, URL_KEY, arrival(fresh)) if dedup else fresh
 
 
 def as_manifest_rows(items: DataFrame, archived_at: str) -> DataFrame:
     """Manifest rows and bodies of accepted items."""
     key = item_id(F.col("title"), F.col("url"))
+    landed = ["landed_run"] if "landed_run" in items.columns else []
     return items.select(
+        *landed,
         key.alias("id"),
         "source_id",
         "item_pos",
@@ -58,12 +71,12 @@ def refresh_candidates(incoming: DataFrame) -> DataFrame:
     placeholder stays. Reduced before the join, so a hot url sends few rows.
     """
     body = body_of(F.col("content"), F.col("summary"))
-    bodies = incoming.select(*URL_KEY, "item_pos", body.alias("body")).where("body != ''")
+    places = [c for c in arrival(incoming) if c in ("landed_run", "item_pos")]
+    bodies = incoming.select(*URL_KEY, *places, body.alias("body")).where("body != ''")
     sound = ~looks_like_placeholder(F.col("body"))
-    order = [
-        F.desc(sound),
-        F.asc(F.when(sound, F.col("item_pos")).otherwise(-F.col("item_pos"))),
-    ]
+    order = [F.desc(sound)]
+    for place in [*places, "body"]:
+        order += [F.asc(F.when(sound, F.col(place))), F.desc(F.when(~sound, F.col(place)))]
     return top_per_group(bodies, URL_KEY, order, 1)
 
 
@@ -79,10 +92,11 @@ def content_refresh(incoming: DataFrame, existing: DataFrame, contents: DataFram
     where the verdict was stored with the body. Only the verdict travels
     through the join, not the body.
     """
-    stored = latest_by_url(existing.select(*URL_KEY, "item_pos", "id", "content_path"))
+    order = arrival(existing)
+    stored = latest_by_url(existing.select(*URL_KEY, *order, "id", "content_path"))
     verdict = F.col("stale") if "stale" in contents.columns else is_stale(F.col("content"))
     stale = contents.where(verdict).select("content_path")
-    targets = stored.join(stale, "content_path", "left_semi").drop("item_pos")
+    targets = stored.join(stale, "content_path", "left_semi").drop(*order)
     # Stale items are few: only bodies offered for them are compared.
     offered = incoming.join(targets.select(*URL_KEY), URL_KEY, "left_semi")
     return (
@@ -97,7 +111,8 @@ def needs_page_fetch(incoming: DataFrame, existing: DataFrame, contents: DataFra
 
     Unknown url, no path, missing body, empty body or placeholder.
     """
-    stored = latest_by_url(existing.select(*URL_KEY, "item_pos", "content_path")).select(
+    held = existing.select(*URL_KEY, *arrival(existing), "content_path")
+    stored = latest_by_url(held).select(
         *URL_KEY, "content_path", F.lit(True).alias("known")
     )
     verdicts = contents.select(

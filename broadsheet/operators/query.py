@@ -2,7 +2,8 @@
 
 One code path serves the stored tables and the materialised index, because
 both have the record columns. Answers come newest first; equal stamps follow
-registry order, then the order within the source.
+registry order, then the order within the source; rows of one place, as of two
+landed documents, follow their urls and titles.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ def newest_first(records: DataFrame, limit: int | None = None) -> DataFrame:
     if limit is not None and limit < 0:
         raise ValueError("limit must not be negative")
     ordered = records.orderBy(
-        F.desc_nulls_last("archived_ts"), F.asc("source_pos"), F.asc("source_id"), F.asc("item_pos")
+        F.desc_nulls_last("archived_ts"), F.asc("source_pos"), F.asc("source_id"), F.asc("item_pos"),
+        F.asc("url"), F.asc("title"),
     )
     return ordered.limit(limit) if limit else ordered
 

@@ -17,7 +17,7 @@ from broadsheet.functions.text import (
     looks_like_placeholder,
     strip,
 )
-from broadsheet.operators import audit, merge, query, ranking, records, report, threads
+from broadsheet.operators import audit, history, merge, query, ranking, records, report, threads
 from broadsheet.plans import ingest
 from broadsheet.plans import tables as t
 from broadsheet.schemas import RECORD_FIELDS
@@ -317,6 +317,61 @@ def decoded_extras(spark, sf_dir):
     return rows.select("source_id", "item_pos", "text", back["k"].alias("k"), F.size(back).cast("bigint").alias("n"))
 
 
+# --- history ---------------------------------------------------------------------
+
+
+def _stamp(name: str):
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
+
+
+@registered
+def first_last_seen(spark, sf_dir):
+    """Two periods, seen apart and merged."""
+    seen = t.sightings(spark, sf_dir)
+    early = F.col("seen_at") < F.lit(f"{RERUN_FROM} 00:00:00").cast("timestamp_ntz")
+    both = history.merge_seen(
+        history.first_last_seen(seen.where(early)), history.first_last_seen(seen.where(~early))
+    )
+    return both.select("source_id", "url", _stamp("first_seen"), _stamp("last_seen"), "times_seen")
+
+
+@registered
+def content_versions(spark, sf_dir):
+    versions = history.content_versions(t.sightings(spark, sf_dir))
+    return versions.select(
+        "source_id", "url", "version_no", "content_hash", _stamp("first_seen"), _stamp("last_seen"),
+        "times_seen",
+    )
+
+
+@registered
+def content_as_of(spark, sf_dir):
+    """What each page showed at the start of each day on which any page was seen."""
+    seen = t.sightings(spark, sf_dir)
+    ahead = F.explode(F.array(F.lit(-1), F.lit(1), F.lit(3)))
+    asked = seen.select("source_id", "url", F.date_trunc("day", "seen_at").alias("day"), ahead.alias("k"))
+    at = F.date_add(F.col("day").cast("date"), F.col("k")).cast("timestamp_ntz")
+    found = history.as_of(history.content_versions(seen), asked.select("source_id", "url", at.alias("at")))
+    return found.select("source_id", "url", _stamp("at"), "version_no", "content_hash", _stamp("since"))
+
+
+@registered
+def content_latest(spark, sf_dir):
+    found = history.latest(history.content_versions(t.sightings(spark, sf_dir)))
+    return found.select("source_id", "url", "version_no", "content_hash", _stamp("last_seen"))
+
+
+@registered
+def content_updates(spark, sf_dir):
+    """Each day is a run of all sources."""
+    seen = t.sightings(spark, sf_dir)
+    runs = seen.select("source_id", F.date_trunc("day", "seen_at").cast("timestamp_ntz").alias("started_at"))
+    found = history.updates(history.content_versions(seen), runs)
+    return found.select(
+        "source_id", "url", "version_no", "status", "content_hash", "previous_hash", _stamp("first_seen")
+    )
+
+
 # --- ranking and threads ---------------------------------------------------------
 
 

@@ -93,18 +93,17 @@ def listing_items(raw_pages: DataFrame) -> DataFrame:
     listing BOOLEAN)``: links of the listing joined to the article pages."""
     parts = []
     for source_id, (links_of, keep, drop, containers) in LISTINGS.items():
-        own = _of(raw_pages, source_id)
+        page = ["source_id", "run_id", "url"]
+        own = pages.last_pages(_of(raw_pages, source_id), [*page, "listing"])
         links = links_of(
-            own.where("listing").select("source_id", "run_id", "url", "html"), keep, drop,
-            item_limit(source_id),
+            own.where("listing").select(*page, "html"), keep, drop, item_limit(source_id)
         )
         listed = F.col("title") if "title" in links.columns else F.lit(None).cast("string")
         links = links.select(
             "source_id", "run_id", F.col("link_pos").alias("item_pos"), F.col("link").alias("url"),
             listed.alias("listed_title"),
         )
-        articles = own.where("not listing").select("source_id", "run_id", "url", "html")
-        joined = links.join(articles, ["source_id", "run_id", "url"])
+        joined = links.join(own.where("not listing").select(*page, "html"), page)
         found = pages.page_articles(joined, containers, F.col("listed_title"))
         parts.append(_shaped(found, ARCHIVE_ITEM))
     return _union(parts)
@@ -140,13 +139,13 @@ def archive_items(
         items = _shaped(flatten(_of(raw, source_id)), ARCHIVE_ITEM)
         if raw_pages is not None and source_id in PAGE_BODIES:
             rule, first_n = PAGE_BODIES[source_id]
-            fetched = _of(raw_pages, source_id).select("url", "html")
+            fetched = _of(raw_pages, source_id)
             items = pages.with_page_body(items, fetched, rule(F.col("html")), first_n)
         parts.append(items)
     long = _shaped(feeds.feed_items(_of(raw, LONG_BODY_SOURCE)), ARCHIVE_ITEM)
     if raw_pages is not None:
         # Pages are landed for the urls that need one; what was landed counts.
-        fetched = _of(raw_pages, LONG_BODY_SOURCE).select("url", "html")
+        fetched = _of(raw_pages, LONG_BODY_SOURCE)
         body = pages.long_body_markdown(F.col("html"))
         long = pages.with_page_body(long, fetched, body, only_blank=False)
     parts.append(long)
@@ -190,25 +189,33 @@ def ingest(
     ``errors`` are the documents of ``quarantine``; the report tells their reason.
 
     ``run_ts`` is the run's UTC time, ``YYYY-MM-DDTHH:MM:SSZ``; nothing in a
-    run depends on the clock of the machine. Sources that are not in
-    ``sources`` or disabled are left out.
+    run depends on the clock of the machine. Ranked rows go to the snapshot of
+    that day, or of the day of their own ``taken_at`` if they bring one. Sources
+    that are not in ``sources`` or disabled are left out. Nothing of the run is
+    seen before its commit, which comes last.
     """
     active = sources.where("enabled")
     known = active.select("source_id")
-    store.forget_run(run_id)
-    archive, ranked_rows = store.stage(
+    if "taken_at" not in ranked_rows.columns:
+        ranked_rows = ranked_rows.withColumn("taken_at", F.lit(run_ts))
+    attempt = store.begin(run_id)
+    archive, ranked_rows = attempt.stage(
         archive.join(known, "source_id", "left_semi"),
         ranked_rows.join(known, "source_id", "left_semi"),
-        run_id,
     )
-    stored = store.add_items(archive, run_id, run_ts, parity)
-    store.refresh_contents(archive, run_id)
-    store.write_snapshot(ranked_rows, run_ts[:10])
-    if store.exists("index"):
-        store.upsert_index(archive_records(stored, active))
-        today = store.snapshots().where(F.col("snapshot_date") == run_ts[:10])
-        store.upsert_index(snapshot_records(today, active))
+    landed = archive.withColumnRenamed("run_id", "landed_run")
+    stored = attempt.add_items(landed, run_ts, parity)
+    attempt.refresh_contents(landed)
+    attempt.write_snapshots(ranked_rows)
     fetched = archive.select("source_id").unionByName(ranked_rows.select("source_id"))
     report = run_report(active, fetched, stored, errors)
-    store.record_run(report, run_id, run_ts, run_ts)
-    return store.runs().where(F.col("run_id") == run_id)
+    attempt.record_run(report, run_ts, run_ts)
+    build = store.at(attempt.head).index_build()
+    if build is not None:
+        attempt.upsert_index(active)
+    earlier = store.at(attempt.head).valid().where(F.col("run_id") == run_id).first()
+    version = attempt.commit()
+    if build is not None and earlier is not None and earlier["version"] <= build["base"]:
+        # The build holds rows of the attempt that this one replaces.
+        store.rebuild_index(active)
+    return store.at(version).runs().where(F.col("run_id") == run_id)

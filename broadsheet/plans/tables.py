@@ -140,6 +140,18 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a look at its user's page, which shows the kind of the event."""
+    desk = F.concat(F.lit("desk-"), _text(F.col("user_id") % 5))
+    return table(spark, sf_dir, "events").select(
+        desk.alias("source_id"),
+        F.concat(F.lit("https://users.example.net/"), _text(F.col("user_id"))).alias("url"),
+        F.col("ts").alias("seen_at"),
+        F.col("event_id").alias("tie"),
+        F.sha1("event_type").alias("content_hash"),
+    )
+
+
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources found in the data; the regions are desks that deliver nothing."""
     archive = table(spark, sf_dir, "documents").select("source").distinct().select(

@@ -266,6 +266,13 @@ def email_title(html: Column) -> Column:
     return filled(visible_text(inner(html, "title")))
 
 
+def last_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """One page per key, that of the last run; ties go to the greater text."""
+    order = [c for c in ("run_id",) if c in pages.columns and c not in keys]
+    last = F.max(F.struct(*order, "html"))
+    return pages.groupBy(*keys).agg(last.alias("last")).select(*keys, "last.html")
+
+
 def with_page_body(
     items: DataFrame,
     pages: DataFrame,
@@ -275,14 +282,15 @@ def with_page_body(
 ) -> DataFrame:
     """Fill bodies that the feed left blank from the fetched pages.
 
-    ``pages`` is ``(url, html)``, one row per url. Only the first ``first_n``
-    entries of a feed are eligible. Without ``only_blank`` a fetched page also
-    wins over the feed's own body.
+    ``pages`` is ``(url, html)``, with ``run_id`` where several runs landed it:
+    the last one counts, so a page landed twice doubles no item. Only the first
+    ``first_n`` entries of a feed are eligible. Without ``only_blank`` a fetched
+    page also wins over the feed's own body.
     """
     eligible = is_blank(F.col("content")) if only_blank else F.lit(True)
     if first_n is not None:
         eligible = eligible & (F.col("item_pos") < first_n)
-    fetched = pages.select(F.col("url").alias("page_url"), body.alias("page_body"))
+    fetched = last_pages(pages, ["url"]).select(F.col("url").alias("page_url"), body.alias("page_body"))
     joined = items.join(fetched, eligible & (F.col("url") == F.col("page_url")), "left")
     return joined.withColumn(
         "content",

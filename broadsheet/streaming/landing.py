@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -51,15 +51,24 @@ def stream_items(
 
 def stream_snapshots(
     items: DataFrame, store: Store, sources: DataFrame, checkpoint: str,
-    run_ts: Callable[[int], str],
+    run_ts: Callable[[int], str], run_time: Column | None = None,
 ) -> StreamingQuery:
-    """Ranked items to the day's snapshot; a later batch of a day replaces it."""
+    """Ranked items to the snapshots of their days; the last run of a day wins.
+
+    ``run_time`` tells from a row when its run took place. Then a backlog of
+    runs gives each its own day, and of the runs of one day, in one batch or in
+    several and in any order, the last one stays. Without it a batch is one run
+    at the time of ``run_ts``.
+    """
     spark = store.spark
 
     def run(batch: DataFrame, batch_id: int) -> None:
         nothing = spark.createDataFrame([], ARCHIVE_ITEM)
-        ingest(store, sources, nothing, batch.select(*RANKED_ITEM.names),
-               f"ranked-{batch_id:08d}", run_ts(batch_id))
+        rows = batch.select(*RANKED_ITEM.names)
+        if run_time is not None:
+            stamp = F.date_format(run_time.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+            rows = batch.select(*RANKED_ITEM.names, stamp.alias("taken_at"))
+        ingest(store, sources, nothing, rows, f"ranked-{batch_id:08d}", run_ts(batch_id))
 
     return (
         items.writeStream.option("checkpointLocation", checkpoint)

@@ -1,12 +1,14 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from broadsheet.operators import query
 from broadsheet.plans import ingest as runs
 from broadsheet.schemas import ARCHIVE_ITEM, RANKED_ITEM, RAW
+from broadsheet.sources import pages
 from broadsheet.sources.registry import sources
-from broadsheet.sources.store import Store
+from broadsheet.sources.store import Attempt, Conflict, Store
 
 
 def archive(spark, *rows):
@@ -103,6 +105,118 @@ def test_snapshot_rerun_and_index_parity(spark, store):
     assert query.by_keyword(index, "the").count() == 3
 
 
+def state(store):
+    """All that a reader sees, as text."""
+    tables = [store.items(), store.contents(), store.snapshots(), store.runs(), store.index()]
+    return [sorted(map(str, df.select(sorted(df.columns)).collect())) for df in tables]
+
+
+def test_failed_runs_leave_the_old_state(spark, store, monkeypatch):
+    dimension = sources(spark)
+    first = archive(spark, ("antirez", 0, "A", "u1", None, ""), ("antirez", 1, "B", "u2", None, "b"))
+    runs.ingest(store, dimension, first, ranked(spark, ("hn", 0, "S", "s", 1)), "run1", "2026-01-10T01:00:00Z")
+    store.rebuild_index(dimension)
+    before = state(store)
+    second = archive(spark, ("antirez", 0, "A", "u1", None, "filled"), ("antirez", 1, "C", "u3", None, "c"))
+    again = ranked(spark, ("hn", 0, "S", "s", 2))
+    write = Attempt.write
+
+    def lost(*_):
+        raise OSError("lost")
+
+    for broken in ("items", "index", "commit"):
+        with monkeypatch.context() as patch:
+            def failing(self, table, df, broken=broken):
+                write(self, table, df)
+                if table == broken:
+                    lost()
+
+            patch.setattr(Attempt, "write", failing)
+            if broken == "commit":
+                patch.setattr(Attempt, "commit", lost)
+            with pytest.raises(OSError):
+                runs.ingest(store, dimension, second, again, "run2", "2026-01-10T05:00:00Z")
+        assert state(store) == before
+    runs.ingest(store, dimension, second, again, "run2", "2026-01-10T05:00:00Z")
+    ids = {r["url"]: r["id"] for r in store.items().collect()}
+    assert bodies(store) == {ids["u1"]: "filled", ids["u2"]: "b", ids["u3"]: "c"}
+    assert [r["score"] for r in store.snapshots().collect()] == [2]
+    names = store.scan_records(dimension).columns
+    shown = lambda df: sorted(map(str, df.select(names).collect()))
+    assert shown(store.index()) == shown(store.scan_records(dimension))
+    assert store.vacuum() == 3 and store.vacuum() == 0
+    assert shown(store.index()) == shown(store.scan_records(dimension))
+
+
+def test_earlier_versions_stay_readable(spark, store):
+    dimension, none = sources(spark), ranked(spark)
+    steps = [("run1", "", 1), ("run2", "|  | layout", 2), ("run3", "sound", 3), ("run4", "too late", 4)]
+    states = []
+    for k, (run, body, score) in enumerate(steps):
+        items = archive(spark, ("antirez", 0, "A", "u1", None, body))
+        runs.ingest(store, dimension, items, ranked(spark, ("hn", 0, "S", "s", score)), run, f"2026-01-10T0{k}:00:00Z")
+        states.append(state(store))
+    assert [state(store.at(k + 1)) for k in range(4)] == states
+    assert state(store.at(0)) == [[]] * 5
+    assert [list(bodies(store.at(k + 1)).values()) for k in range(4)] == [[""], ["|  | layout"], ["sound"], ["sound"]]
+    versions = {r["version_no"]: (r["content"], r["first_seen"]) for r in store.content_versions().collect()}
+    assert versions == {1: ("", 1), 2: ("|  | layout", 2), 3: ("sound", 3)}
+    assert [r["content"] for r in store.read_versions().collect()] == ["sound"]
+    assert [r["content"] for r in store.read_versions(2).collect()] == ["|  | layout"]
+    assert store.read_versions(9).count() == 0
+    assert store.updates().count() == 0
+    told = store.at(3).updates().collect()
+    assert [(r["version_no"], r["status"]) for r in told] == [(3, "changed")]
+    # A repeated run takes the place of its earlier attempt.
+    runs.ingest(store, dimension, archive(spark), none, "run3", "2026-01-10T02:00:00Z")
+    assert list(bodies(store).values()) == ["|  | layout"]
+    assert state(store.at(4)) == states[3]
+
+
+def test_two_runs_at_once(spark, store):
+    one, other = store.begin("run1"), store.begin("run2")
+    build = store.begin("(index)")
+    assert one.commit() == 1
+    with pytest.raises(Conflict):
+        other.commit()
+    assert build.commit("index") == 2
+    # A marker that a crash left empty uses its number up and shows nothing.
+    open(store.path("commits/000000000003.json"), "w").close()
+    assert store.begin("run2").commit() == 4
+    assert {r["run_id"] for r in store.valid().collect()} == {"run1", "run2", "(index)"}
+
+
+def test_a_repeated_run_from_before_the_build(spark, store):
+    dimension = sources(spark)
+    first = archive(spark, ("antirez", 0, "A", "u1", None, "a"), ("antirez", 1, "B", "u2", None, "b"))
+    runs.ingest(store, dimension, first, ranked(spark, ("hn", 0, "S", "s", 1)), "run1", "2026-01-10T01:00:00Z")
+    store.rebuild_index(dimension)
+    runs.ingest(store, dimension, first.where("url = 'u1'"), ranked(spark), "run1", "2026-01-10T01:00:00Z")
+    assert [r["url"] for r in store.records(dimension).collect()] == ["u1"]
+
+
+def test_order_does_not_follow_the_partitioning(spark, store):
+    rows = [("antirez", f"r{k % 2}", 0, f"T{k}", "u1", None, None, None, f"body {k}") for k in range(6)]
+    rows += [("antirez", f"r{k % 2}", 0, "same", f"v{k}", None, None, None, "x") for k in range(6)]
+    kept = set()
+    for k, parts in enumerate((1, 5)):
+        batch = spark.createDataFrame(rows, ARCHIVE_ITEM).repartition(parts, "title")
+        own = Store.open(spark, f"{store.root}-{k}")
+        runs.ingest(own, sources(spark), batch, ranked(spark), "run1", "2026-01-10T00:00:00Z")
+        title = own.items().where("url = 'u1'").first()["title"]
+        answers = [r["url"] for r in query.by_source(own.records(sources(spark)), "antirez").collect()]
+        kept.add((title, *sorted(bodies(own).values()), *answers))
+    assert len(kept) == 1 and next(iter(kept))[0] == "T0"
+
+
+def test_a_page_landed_twice_doubles_nothing(spark):
+    items = spark.createDataFrame([("s", 0, "u", "")], "source_id string, item_pos long, url string, content string")
+    pages_ = spark.createDataFrame([("r1", "u", "old"), ("r2", "u", "new"), ("r2", "u", "New")],
+                                   "run_id string, url string, html string")
+    filled = pages.with_page_body(items, pages_, F.col("html")).collect()
+    assert [r["content"] for r in filled] == ["new"]
+
+
 def test_disabled_sources_are_left_out(spark, store):
     dimension = sources(spark, disabled=frozenset({"antirez"}))
     done = runs.ingest(store, dimension, archive(spark, ("antirez", 0, "A", "u", None, "x")), ranked(spark),
