@@ -32,6 +32,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +89,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int = HEAD) -> list[tuple[bytes, int]]:
-    """At most ``most`` words, all at least as frequent as any other.
+    """At most ``most`` words, all at least as frequent as any other, and the end.
 
     A histogram of counts in steps of about a tenth (a few hundred rows) gives
     the least count that is still in, so no more than the words themselves
@@ -104,9 +105,11 @@ def most_frequent(counts: DataFrame, most: int = HEAD) -> list[tuple[bytes, int]
         if taken > most:
             break
         least = r["least"]
-    if least is None:
-        return []
-    found = counts.where(F.col("c") >= least).select("word", "c").collect()
+    # The end stands in no text, so only the head can tell its count.
+    wanted = F.col("word") == F.lit(bytearray(END))
+    if least is not None:
+        wanted |= F.col("c") >= least
+    found = counts.where(wanted).select("word", "c").collect()
     return sorted(((bytes(r["word"]), r["c"]) for r in found), key=lambda x: (-x[1], x[0]))
 
 
@@ -143,8 +146,7 @@ class Lexicon:
         self.unigram = ((seen + 1) / (seen + 1).sum()).astype(np.float32)
 
     def places(self, own: list[bytes]) -> np.ndarray:
-        find = self.place.get
-        return np.fromiter((find(w, -1) for w in own), np.int64, len(own))
+        return np.fromiter(map(self.place.get, own, repeat(-1)), np.int64, len(own))
 
     def encoded(self, own: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Symbols and head places of a text with its end, and its words beyond the head."""
@@ -195,8 +197,13 @@ class Model:
 
 
 def _scatter(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
-    columns = [np.bincount(ids, weights=values[:, k], minlength=SYMBOLS) for k in range(WIDTH)]
-    return np.stack(columns, axis=1).astype(np.float32)
+    """Sums of the rows of ``values`` by id, one row a symbol."""
+    cells = (ids[:, None] * WIDTH + _COLUMNS).ravel()
+    sums = np.bincount(cells, weights=values.ravel(), minlength=SYMBOLS * WIDTH)
+    return sums.reshape(SYMBOLS, WIDTH).astype(np.float32)
+
+
+_COLUMNS = np.arange(WIDTH)
 
 
 class Trainer:
@@ -220,35 +227,77 @@ class Trainer:
         r1, r2, q, qn = m.r[h1], m.r[h2], m.q[w], m.q[noise]
         guess = r1 * m.c[0] + r2 * m.c[1]
         good = np.einsum("ij,ij->i", guess, q) + m.b[w] - self.log_noise[w]
-        bad = guess @ qn.T + (m.b[noise] - self.log_noise[noise])
-        up = 1 / (1 + np.exp(np.clip(good, -30, 30)))
-        down = -1 / (1 + np.exp(np.clip(-bad, -30, 30)))
+        bad = guess @ qn.T
+        bad += m.b[noise] - self.log_noise[noise]
         scale = np.float32(1 / np.sqrt(len(w)))
-        up, down = up * scale, down * scale
+        up = scale / (1 + np.exp(np.clip(good, -30, 30)))
+        odds = np.exp(np.clip(bad, -30, 30, out=bad), out=bad)
+        down = odds / (odds + 1)
+        down *= -scale
         d_guess = up[:, None] * q + down @ qn
         d_q = _scatter(w, up[:, None] * guess)
         np.add.at(d_q, noise, down.T @ guess)
         d_b = np.bincount(w, weights=up, minlength=SYMBOLS)
-        d_b += np.bincount(noise, weights=down.sum(axis=0), minlength=SYMBOLS)
-        d_r = _scatter(h1, d_guess * m.c[0]) + _scatter(h2, d_guess * m.c[1])
-        d_c = np.stack([(d_guess * r1).sum(axis=0), (d_guess * r2).sum(axis=0)])
+        d_b += np.bincount(noise, weights=np.ones(len(w), np.float32) @ down, minlength=SYMBOLS)
+        d_r = _scatter(np.concatenate([h1, h2]), np.concatenate([d_guess * m.c[0], d_guess * m.c[1]]))
+        d_c = np.stack([np.einsum("ij,ij->j", d_guess, r) for r in (r1, r2)])
         for name, grad in (("q", d_q), ("b", d_b.astype(np.float32)), ("r", d_r), ("c", 0.01 * d_c)):
             self._move(name, grad)
         self.seen += len(w)
 
 
-def _trained(lexicon, flat, rate: float):
+_ENCODED = (
+    f"{UID} bigint, doc_id bigint, held_out boolean, symbols binary, n_tokens bigint, "
+    "n_known bigint, base_score double, inside double, "
+    "rare array<struct<word: binary, bucket: int, n: bigint>>"
+)
+_RARE = pa.list_(pa.struct([("word", pa.binary()), ("bucket", pa.int32()), ("n", pa.int64())]))
+#: Symbols as they are written: two bytes a token.
+_STORED = np.dtype("<i2")
+
+
+def _encoded(lexicon):
+    """Texts to symbols, with the sums that need no model."""
+
+    def run(batches):
+        known = lexicon.value
+        for batch in batches:
+            rows = []
+            for text in batch.column("text").to_pylist():
+                w, places, beyond = known.encoded(words(text))
+                own = places[places >= 0]
+                rare = [
+                    {"word": x, "bucket": bucket(x), "n": n} for x, n in Counter(beyond).items()
+                ]
+                rows.append(
+                    (w.astype(_STORED).tobytes(), len(w), len(own), float(known.base[own].sum()),
+                     float(known.inside[own].sum()), rare)
+                )
+            if rows:
+                symbols, size, found, base, inside, rare = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(UID), batch.column("doc_id"), batch.column("held_out"),
+                     pa.array(symbols, pa.binary()), pa.array(size, pa.int64()),
+                     pa.array(found, pa.int64()), pa.array(base, pa.float64()),
+                     pa.array(inside, pa.float64()), pa.array(rare, _RARE)],
+                    [UID, "doc_id", "held_out", "symbols", "n_tokens", "n_known", "base_score",
+                     "inside", "rare"],
+                )
+
+    return run
+
+
+def _trained(unigram, flat, rate: float):
     def run(batches):
         from pyspark import TaskContext
 
-        known = lexicon.value
         model = Model(flat.value.copy())
-        trainer = Trainer(model, known.unigram, rate, SEED + TaskContext.get().partitionId())
+        trainer = Trainer(model, unigram.value, rate, SEED + TaskContext.get().partitionId())
         held, size = [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                symbols, _, _ = known.encoded(words(text))
-                held.append(np.stack([symbols, *contexts(symbols)]))
+            for stored in batch.column("symbols").to_pylist():
+                symbols = np.frombuffer(stored, _STORED)
+                held.append(np.stack([symbols, *contexts(symbols)], axis=1))
                 size += len(symbols)
             if size >= 64 * BATCH:
                 _feed(trainer, held)
@@ -269,22 +318,22 @@ def _trained(lexicon, flat, rate: float):
 
 def _feed(trainer: Trainer, held: list[np.ndarray]):
     """Shuffled batches of what is held."""
-    tokens = np.concatenate(held, axis=1)
-    tokens = tokens[:, trainer.rng.permutation(tokens.shape[1])]
-    for at in range(0, tokens.shape[1], BATCH):
-        trainer.update(*tokens[:, at : at + BATCH])
+    tokens = np.concatenate(held)
+    tokens = tokens[trainer.rng.permutation(len(tokens))].astype(np.int64)
+    for at in range(0, len(tokens), BATCH):
+        trainer.update(*tokens[at : at + BATCH].T.copy())
 
 
-def train(texts: DataFrame, lexicon: Lexicon, passes: int = PASSES) -> Model:
-    """Passes over all ``texts``; parameters are averaged after each."""
-    context = texts.sparkSession.sparkContext
-    known = context.broadcast(lexicon)
+def train(encoded: DataFrame, lexicon: Lexicon, passes: int = PASSES) -> Model:
+    """Passes over the ``symbols`` of all texts; parameters are averaged after each."""
+    context = encoded.sparkSession.sparkContext
+    unigram = context.broadcast(lexicon.unigram)
     model = Model.first(lexicon.unigram)
     for k in range(passes):
         flat = context.broadcast(model.flat)
         found = (
-            texts.select("text")
-            .mapInArrow(_trained(known, flat, RATE / (1 + k)), "k int, x double, n bigint")
+            encoded.select("symbols")
+            .mapInArrow(_trained(unigram, flat, RATE / (1 + k)), "k int, x double, n bigint")
             .groupBy("k")
             .agg((F.sum("x") / F.sum("n")).alias("x"))
             .toArrow()  # one row per parameter
@@ -297,40 +346,20 @@ def train(texts: DataFrame, lexicon: Lexicon, passes: int = PASSES) -> Model:
     return model
 
 
-_SCORED = (
-    f"{UID} bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-    "base_score double, score double, rare array<struct<word: binary, bucket: int, n: bigint>>"
-)
-_RARE = pa.list_(pa.struct([("word", pa.binary()), ("bucket", pa.int32()), ("n", pa.int64())]))
-
+def _scored(flat):
+    """``symbols`` replaced by the model's log10 probability of the text's symbols."""
 
-def _scored(lexicon, flat):
     def run(batches):
-        known = lexicon.value
         near, far, total = Model(flat.value).tables()
         for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                w, places, beyond = known.encoded(words(text))
+            place = batch.schema.get_field_index("symbols")
+            likely = []
+            for stored in batch.column(place).to_pylist():
+                w = np.frombuffer(stored, _STORED).astype(np.int64)
                 h1, h2 = contexts(w)
-                model = float((near[h1, w] + far[h2, w] - total[h1, h2]).sum(dtype=np.float64))
-                own = places[places >= 0]
-                rare = [
-                    {"word": x, "bucket": bucket(x), "n": n} for x, n in Counter(beyond).items()
-                ]
-                rows.append(
-                    (len(w), len(own), float(known.base[own].sum()),
-                     model / math.log(10) + float(known.inside[own].sum()), rare)
-                )
-            if rows:
-                size, found, base, score, rare = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(UID), batch.column("doc_id"), batch.column("held_out"),
-                     pa.array(size, pa.int64()), pa.array(found, pa.int64()),
-                     pa.array(base, pa.float64()), pa.array(score, pa.float64()),
-                     pa.array(rare, _RARE)],
-                    [UID, "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"],
-                )
+                model = (near[h1, w] + far[h2, w] - total[h1, h2]).sum(dtype=np.float64)
+                likely.append(float(model) / math.log(10))
+            yield batch.set_column(place, "likely", pa.array(likely, pa.float64()))
 
     return run
 
@@ -357,14 +386,17 @@ def score(docs: DataFrame, held_out, passes: int = PASSES) -> DataFrame:
         .collect()  # one row per class
     }
     lexicon = Lexicon(most_frequent(counts), totals, whole["n"] or 0, whole["v"])
-    model = train(learnt, lexicon, passes)
-    scored = written(
-        rows.mapInArrow(_scored(context.broadcast(lexicon), context.broadcast(model.flat)), _SCORED),
-        "lm-scored",
+    # Each text is split and looked up once; what follows reads its symbols.
+    encoded = written(rows.mapInArrow(_encoded(context.broadcast(lexicon)), _ENCODED), "lm-encoded")
+    model = train(encoded.where(~F.col("held_out")), lexicon, passes)
+    narrow = encoded.drop("rare")
+    schema = ", ".join(f"{c} {t}" for c, t in narrow.dtypes)
+    scored = narrow.mapInArrow(
+        _scored(context.broadcast(model.flat)), schema.replace("symbols binary", "likely double")
     )
     n, v = lexicon.n, lexicon.v
     shares = F.array(*[F.lit(float(x)) for x in lexicon.share])
-    rare = scored.select(UID, F.explode("rare").alias("r")).select(UID, "r.*")
+    rare = encoded.select(UID, F.explode("rare").alias("r")).select(UID, "r.*")
     c = F.coalesce("c", F.lit(0)) + F.lit(1.0)
     rest = (
         rare.join(counts.select("word", "c"), "word", "left")
@@ -372,15 +404,15 @@ def score(docs: DataFrame, held_out, passes: int = PASSES) -> DataFrame:
         .agg(
             F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
             F.sum(F.col("n") * F.log10(c / F.lit(float(n + v + 1)))).alias("base"),
-            F.sum(F.col("n") * F.log10(c / F.get(shares, F.col("bucket")))).alias("inside"),
+            F.sum(F.col("n") * F.log10(c / F.get(shares, F.col("bucket")))).alias("rest_inside"),
         )
     )
-    return scored.drop("rare").join(rest, UID, "left").select(
+    return scored.join(rest, UID, "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("inside", F.lit(0.0))).alias("score"),
+        (F.col("likely") + F.col("inside") + F.coalesce("rest_inside", F.lit(0.0))).alias("score"),
     )

@@ -74,8 +74,12 @@ class Memory:
         if not new:
             return known
         # A point or comma after a letter is a token of its own: such a piece
-        # is made of its word, which is known more often.
-        ended = {p: p[:-1] for p in new if p[-1:] in MARKS and p[-2:-1].isalpha()}
+        # is made of its word, which is known more often. ASCII letters only: a
+        # tokenizer may turn another into a letter and a mark that the point joins.
+        ended = {
+            p: p[:-1] for p in new
+            if p[-1:] in MARKS and p[-2:-1].isascii() and p[-2:-1].isalpha()
+        }
         parts = {*ended.values(), *MARKS} if ended else set()
         known.update((p, older[p]) for p in parts & older.keys())
         whole = list({p for p in (new - ended.keys()) | parts if p not in known})

@@ -1,10 +1,12 @@
 """The pieces of the operators against plain versions."""
 
+import math
 import random
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from broadsheet.llm import decontamination, lm_scoring, near_dedup, packing, pii, pieces, quality
 from broadsheet.llm import sharding, token_counts
@@ -330,3 +332,36 @@ def test_most_frequent_words(spark):
     assert lm_scoring.most_frequent(table, 9) == expected[:6]  # equal counts stay together
     assert lm_scoring.most_frequent(table, 3) == expected[:3]
     assert lm_scoring.most_frequent(table.limit(0), 3) == []
+
+
+def test_the_end_is_always_in_the_head(spark):
+    """Few long texts: more words are as frequent as the end than the head holds."""
+    rows = [(b"", 1), *[(f"w{k}".encode(), 1) for k in range(40)], (b"often", 3)]
+    counts = spark.createDataFrame([(bytearray(w), 0, c) for w, c in rows], "word binary, bucket int, c bigint")
+    assert lm_scoring.most_frequent(counts, 5) == [(b"often", 3), (b"", 1)]
+    assert lm_scoring.most_frequent(counts, 0) == [(b"", 1)]
+    assert len(lm_scoring.most_frequent(counts, 100)) == 42
+    assert lm_scoring.most_frequent(counts.limit(0), 5) == []
+
+
+def test_long_texts_keep_their_end(make, monkeypatch):
+    monkeypatch.setattr(lm_scoring.most_frequent, "__defaults__", (2,))
+    docs = make((1, "a b c d", "en", "s"), (3, "a b c d e", "en", "s"))
+    rows = lm_scoring.score(docs, F.lit(False), passes=1).collect()
+    tokens = {"a": 2, "b": 2, "c": 2, "d": 2, "e": 1, None: 2}
+    for r in rows:
+        own = ["a", "b", "c", "d", *(["e"] if r["doc_id"] == 3 else []), None]
+        assert r["n_known"] == r["n_tokens"] == len(own)
+        assert r["base_score"] == pytest.approx(sum(math.log10((tokens[x] + 1) / (11 + 6 + 1)) for x in own))
+
+
+def test_pieces_that_end_in_a_point_after_any_letter():
+    """Every letter before a point or comma, as the library splits it."""
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalpha() and not 0x3400 <= c <= 0x9FFF
+               and not 0xAC00 <= c <= 0xD7A3 and c < 0x20000]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        encoder = pieces.tokenizer(name)
+        asked = [f"{head}{c}{mark}" for c in letters for head, mark in (("", "."), ("x", ","))]
+        found = pieces.Memory(encoder, list).of(asked)
+        whole = encoder.encode_batch_fast(asked, add_special_tokens=False)
+        assert all(found[p] == e.ids for p, e in zip(asked, whole, strict=True))
