@@ -8,9 +8,15 @@ landmarks, whitened by the landmarks' own kernel matrix; one-versus-rest
 kernel ridge regression on them is solved in closed form. Scoring is batched:
 presence matrix x landmark presence matrix, then x weights.
 
-Learning takes a bounded sample, ``per_language`` labelled documents of each of
-at most ``max_languages`` languages, chosen by a hash of the row; only sets of
-n-gram hashes reach the driver. Every text is predicted from all of itself.
+Learning takes a bounded sample of ``sample`` labelled documents, shared out
+evenly over all languages that are labelled (at most ``per_language`` and at
+least two of each), chosen by a hash of the row; only sets of n-gram hashes reach
+the driver. No language is left out, however many there are. Every text is
+predicted from all of itself.
+
+Evidence: a text of ``LEAST_GRAMS`` or more distinct n-grams is foreign to the
+model if even its best one-versus-rest margin lies below what learnt texts
+show; see ``Model.foreign``.
 
 Defined cases: a NULL text, or one without a letter, is ``und`` with score 0;
 so is every text when there is nothing to learn from. Rows with a NULL doc_id
@@ -30,16 +36,25 @@ from pyspark.sql.types import StructType
 LENGTHS = (2, 3, 4)
 HASH_BITS = 18
 PER_LANGUAGE = 160
+SAMPLE = 32_000
 LANDMARKS = 48
-MAX_LANGUAGES = 200
+#: Fewer distinct n-grams are no evidence against a language.
+LEAST_GRAMS = 400
+#: How far below the learnt texts' margins, in their own spread, is foreign.
+FOREIGN_SPREADS = 6.0
 RIDGE = 1e-3
 SHARPNESS = 6.0
 UNDETERMINED = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
 _MIX = np.uint32(2_654_435_761)
 
 
+def has_letter(text: str) -> bool:
+    """A letter of any script; signs such as a raised two are none."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
+
+
 def gram_codes(text: str) -> np.ndarray:
     """Hashes of all byte n-grams of a text, ASCII letters in lower case.
 
@@ -64,7 +79,7 @@ _SAME_DIGIT = bytes.maketrans(b"123456789", b"000000000")
 def _gram_sets(batches):
     for batch in batches:
         texts = batch.column("text").to_pylist()
-        sets = [np.unique(gram_codes(x)).tobytes() if LETTER.search(x) else b"" for x in texts]
+        sets = [np.unique(gram_codes(x)).tobytes() if has_letter(x) else b"" for x in texts]
         yield pa.RecordBatch.from_arrays(
             [batch.column("lang"), pa.array(sets, pa.binary())], ["lang", "grams"]
         )
@@ -73,12 +88,16 @@ def _gram_sets(batches):
 class Model:
     """Weights of a fitted classifier; ``lookup`` maps hashes to landmark n-grams."""
 
-    def __init__(self, languages, lookup, landmarks, own, weights, bias):
+    def __init__(self, languages, lookup, landmarks, own, weights, bias, least):
         self.languages, self.lookup, self.landmarks = languages, lookup, landmarks
-        self.own, self.weights, self.bias = own, weights, bias
+        self.own, self.weights, self.bias, self.least = own, weights, bias, least
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """One row per text, one column per language, between 0 and 1."""
+        return self.judged(texts)[0]
+
+    def judged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The scores, and which texts are foreign to all languages."""
         present = np.zeros((len(texts), self.landmarks.shape[0]), np.float32)
         sizes = np.ones(len(texts), np.float32)
         seen = np.zeros(1 << HASH_BITS, np.bool_)
@@ -90,10 +109,11 @@ class Model:
             present[i, self.lookup[codes]] = 1
         present[:, 0] = 0  # column 0 stands for n-grams of no landmark
         kernel = (present @ self.landmarks) / np.sqrt(sizes[:, None] * self.own[None])
-        margin = SHARPNESS * (kernel @ self.weights + self.bias)
-        margin -= margin.max(axis=1, keepdims=True)
-        likely = np.exp(margin)
-        return likely / likely.sum(axis=1, keepdims=True)
+        margin = kernel @ self.weights + self.bias
+        best = margin.max(axis=1, keepdims=True)
+        foreign = (sizes >= LEAST_GRAMS) & (best[:, 0] < self.least)
+        likely = np.exp(SHARPNESS * (margin - best))
+        return likely / likely.sum(axis=1, keepdims=True), foreign
 
 
 def fit(samples: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE):
@@ -103,10 +123,11 @@ def fit(samples: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: flo
     if not languages:
         return None
     taken: dict[str, int] = {}
-    chosen = []
+    chosen, used = [], []
     for lang, codes in samples:
         taken[lang] = taken.get(lang, 0) + 1
-        if taken[lang] <= landmarks:
+        used.append(taken[lang] <= landmarks)
+        if used[-1]:
             chosen.append(codes)
     grams = np.unique(np.concatenate(chosen))
     lookup = np.zeros(1 << HASH_BITS, np.int32)
@@ -140,55 +161,77 @@ def fit(samples: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: flo
         x.T @ (x * weight) + ridge * np.eye(x.shape[1]), x.T @ (y * weight)
     )
     weights = (root @ solved).astype(np.float32)
-    return Model(languages, lookup, marks, own, weights, (middle - mean @ solved).astype(np.float32))
+    bias = (middle - mean @ solved).astype(np.float32)
+    # Margins of sampled texts that are no landmarks, so none is fitted to itself.
+    sized = np.array([len(x) >= LEAST_GRAMS for _, x in samples]) & ~np.array(used)
+    shown = (features @ solved + middle - mean @ solved).max(axis=1)[sized]
+    least = -np.inf
+    if len(shown) >= 2 * FOREIGN_SPREADS:
+        low, mid = np.quantile(shown, [0.05, 0.5])
+        least = float(mid - FOREIGN_SPREADS * (mid - low))
+    return Model(languages, lookup, marks, own, weights, bias, least)
 
 
 def train(
     labelled: DataFrame,
     per_language: int = PER_LANGUAGE,
     landmarks: int = LANDMARKS,
-    max_languages: int = MAX_LANGUAGES,
+    sample: int = SAMPLE,
 ) -> Model | None:
     """Fit on rows of (doc_id, text, lang). The sample is the documented bound."""
     spark = labelled.sparkSession
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     rows = rows.select("text", "lang", F.xxhash64("doc_id", "text").alias("order"))
+    kinds = rows.agg(F.count_distinct("lang")).first()[0]  # one number
+    each = max(2, min(per_language, sample // max(1, kinds)))
     # The first rows of each group are kept before the shuffle too.
     first = Window.partitionBy("lang").orderBy("order")
-    sample = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language)
-    languages = Window.orderBy("lang")
-    named = sample.select("lang").distinct()
-    named = named.withColumn("k", F.row_number().over(languages)).where(F.col("k") <= max_languages)
-    sets = sample.join(named.select("lang"), "lang").select("text", "lang", "order")
+    sets = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= each)
     found = (
         sets.repartition(spark.sparkContext.defaultParallelism, "order")
         .select("text", "lang")
         .mapInArrow(_gram_sets, "lang string, grams binary")
         .collect()
     )
-    return fit(sorted((r["lang"], bytes(r["grams"])) for r in found), landmarks)
-
-
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with lang_pred and score added; any columns, no shuffle."""
+    # Few landmarks of each of many languages: their number stays bounded too.
+    most = max(1, min(landmarks, LANDMARKS * 4 * per_language // max(1, kinds * landmarks)))
+    return fit(sorted((r["lang"], bytes(r["grams"])) for r in found), most)
+
+
+def predict(
+    docs: DataFrame,
+    model: Model | None,
+    language: str = "lang_pred",
+    score: str = "score",
+    foreign: str | None = None,
+) -> DataFrame:
+    """``docs`` with lang_pred and score added; any columns, no shuffle.
+
+    The names of the new columns replace old ones; ``foreign`` names a column
+    that tells the texts foreign to all languages.
+    """
+    names = [language, score, *([foreign] if foreign else [])]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         known = shared.value
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            asked = [i for i, x in enumerate(texts) if known and LETTER.search(x)]
-            names, sure = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            asked = [i for i, x in enumerate(texts) if known and has_letter(x)]
+            told, sure = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            strange = [False] * len(texts)
             if asked:
-                scores = known.scores([texts[i] for i in asked])
+                scores, far = known.judged([texts[i] for i in asked])
                 best = scores.argmax(axis=1)
-                for i, k, row in zip(asked, best, scores, strict=True):
-                    names[i], sure[i] = known.languages[k], float(row[k])
+                for i, k, row, f in zip(asked, best, scores, far, strict=True):
+                    told[i], sure[i], strange[i] = known.languages[k], float(row[k]), bool(f)
+            made = [pa.array(told), pa.array(sure, pa.float64()), pa.array(strange, pa.bool_())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names), pa.array(sure, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, *made[: len(names)]], [*batch.schema.names, *names]
             )
 
-    docs = docs.drop("lang_pred", "score")
-    schema = StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double")
+    docs = docs.drop(*names)
+    schema = StructType(list(docs.schema.fields))
+    for name, kind in zip(names, ("string", "double", "boolean"), strict=False):
+        schema = schema.add(name, kind)
     return docs.mapInArrow(run, schema)

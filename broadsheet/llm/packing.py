@@ -157,15 +157,14 @@ def _packed(vocabulary: str, sequence: int):
         return pa.RecordBatch.from_arrays(arrays, names)
 
     def run(batches):
-        memory = pieces.memory(vocabulary, "bytes", lambda ids: np.array(ids, "<u4").tobytes())
+        encoder = pieces.byte_encoder(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
         packer = _Packer(sequence, TaskContext.get().partitionId() << 33)
         for batch in batches:
-            split = [pieces.space_pieces(x or "") for x in batch.column("text").to_pylist()]
-            known = memory.of({p for own in split for p in own})
             rows = []
-            for doc, own in zip(batch.column("doc_id").to_pylist(), split, strict=True):
-                rows += packer.add(doc, b"".join(map(known.__getitem__, own)) + end)
+            texts = batch.column("text").to_pylist()
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                rows += packer.add(doc, encoder.ids(text or "").astype("<u4").tobytes() + end)
             if rows:
                 yield table(rows)
         if rows := packer.finish():

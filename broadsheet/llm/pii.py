@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from broadsheet.llm.spans import apart
 from broadsheet.llm.tagger import PAD, Tagger, char_ids
 
 # The base patterns of the contract.
@@ -249,10 +250,12 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[list[dict]]:
     for text, own, tagged in zip(texts, base, more, strict=True):
         spans = [(kind, a, b, True, 1.0) for kind, a, b in own]
         if tagged:
-            for kind, a, b, sure in reconcile(len(text), *zip(*tagged, strict=True)):
-                a, b = _trimmed(text, a, b)
-                free = not any(x < b and a < y for _, x, y in own)
-                if sure >= SURE and free and _shaped(kind, text[a:b]):
+            found = [
+                (*_trimmed(text, a, b), kind, sure)
+                for kind, a, b, sure in reconcile(len(text), *zip(*tagged, strict=True))
+            ]
+            for a, b, kind, sure in apart(found, [(x, y) for _, x, y in own]):
+                if sure >= SURE and _shaped(kind, text[a:b]):
                     spans.append((kind, a, b, False, min(1.0, sure)))
         out.append(
             [

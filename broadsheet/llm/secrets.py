@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.common import UID, with_uid, written
+from broadsheet.llm.spans import apart
 
 # The base patterns of the contract, with their least lengths.
 ASSIGN = re.compile(
@@ -46,7 +47,10 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 # Further kinds of this method.
 MORE = {
     "pem": re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"),
-    "jwt": re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # Begins where its run does and gives nothing back: linear.
+    "jwt": re.compile(
+        r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"
+    ),
     "url": re.compile(r"[a-z][a-z0-9+.-]{1,30}://[^\s:/@]{1,100}:[^\s:/@]{6,200}@"),
     "mixed": re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])"),
 }
@@ -88,15 +92,15 @@ def _is_mixed(value: str) -> bool:
 
 def more_spans(text: str, taken: list[tuple]) -> list[tuple[str, int, int, str]]:
     """Spans of the further kinds that touch no base span."""
-    busy = sorted((a, b) for _, a, b, _ in taken)
+    busy = [(a, b) for _, a, b, _ in taken]
     spans = []
     for kind, pattern in MORE.items():
-        for m in pattern.finditer(text):
-            if kind == "mixed" and not _is_mixed(m[0]):
-                continue
-            if not any(a < m.end() and m.start() < b for a, b in busy):
-                spans.append((kind, *m.span(), m[0]))
-                busy.append(m.span())
+        found = [(*m.span(), m[0]) for m in pattern.finditer(text)]
+        if kind == "mixed":
+            found = [x for x in found if _is_mixed(x[2])]
+        own = apart(found, busy)
+        spans += [(kind, a, b, value) for a, b, value in own]
+        busy += [(a, b) for a, b, _ in own]
     return spans
 
 

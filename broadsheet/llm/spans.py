@@ -29,3 +29,28 @@ def digests(spans: Column, kinds: list[str]) -> list[Column]:
         F.sha2(as_text(base), 256).alias("base_sha256"),
         as_text(spans).alias("spans"),
     ]
+
+
+def apart(found: list[tuple], busy: list[tuple[int, int]]) -> list[tuple]:
+    """Those of ``found`` (start, end, ...) that touch none of ``busy`` (start, end).
+
+    ``found`` comes by start, without overlaps; one sweep over both.
+    """
+    kept, held, at = [], merged(busy), 0
+    for span in found:
+        while at < len(held) and held[at][1] <= span[0]:
+            at += 1
+        if at == len(held) or held[at][0] >= span[1]:
+            kept.append(span)
+    return kept
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Overlapping spans as one, by start."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out

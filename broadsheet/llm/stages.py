@@ -29,6 +29,17 @@ _CELL = 32_768  # rows of one aggregated bitmap
 _left: list[str] = []
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def _stage(fn):
     @wraps(fn)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,24 +55,29 @@ def _stage(fn):
 
 @_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; learns from the rows that op9 learns from.
+    """Documents in one of the languages; learns from the rows that op9 learns from.
 
-    Texts without a letter go. A low score alone is no reason: texts of a word
-    or two are clean and can't score high. Where nothing can be learnt, every
-    text with a letter stays.
+    Texts without a letter go, and so do texts that are foreign by the kernels:
+    long enough to tell, and below the margins that learnt texts show for all
+    languages. A low score alone is no reason: texts of a word or two are clean
+    and can't score high. Where nothing can be learnt, every text with a letter
+    stays.
     """
     model = language_id.train(docs.where(remainder(F.col("doc_id"), 5) != 0))
     if model is None:
-        has = F.udf(lambda x: bool(x and language_id.LETTER.search(x)), "boolean")
-        return docs.where(has("text"))
-    found = language_id.predict(docs, model)
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    made = unused(docs, "language", "score", "foreign")
+    found = language_id.predict(docs, model, *made)
+    kept = (F.col(made[0]) != language_id.UNDETERMINED) & ~F.col(made[2])
+    return found.where(kept).select(*docs.columns)
 
 
 @_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    rows = written(with_uid(docs), "stage-numbered")
+    own = unused(docs, "kept-of-" + UID)[0]
+    held = {c: f"{own}-{c}" for c in docs.columns if c.startswith("__")}
+    rows = written(with_uid(docs.withColumnsRenamed(held)), "stage-numbered")
     dropped = dedup.near_duplicates(rows).where(~F.col("chosen")).select(UID)
     # One bit per row: what is joined to the texts is small, so they mostly stay.
     part, place = F.shiftright(UID, 33), F.col(UID).bitwiseAND(F.lit((1 << 33) - 1))
@@ -77,7 +93,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         marked.select(F.col("part").alias("__part"), F.col("cell").alias("__cell"), "__bits"),
         ["__part", "__cell"], "left",
     )
-    return joined.where(~gone).select(*[rows[c] for c in docs.columns])
+    return joined.where(~gone).select(*[rows[held.get(c, c)].alias(c) for c in docs.columns])
 
 
 @_stage

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.llm import decontamination, lm_scoring, near_dedup, packing, pii, pieces, quality
-from broadsheet.llm import sharding, token_counts
+from broadsheet.llm import secrets, sharding, spans, token_counts
 from broadsheet.llm.tagger import Tagger, char_ids
 
 
@@ -365,3 +366,47 @@ def test_pieces_that_end_in_a_point_after_any_letter():
         found = pieces.Memory(encoder, list).of(asked)
         whole = encoder.encode_batch_fast(asked, add_special_tokens=False)
         assert all(found[p] == e.ids for p, e in zip(asked, whole, strict=True))
+
+
+def test_spans_apart():
+    rng = random.Random(4)
+    for _ in range(300):
+        cuts = sorted(rng.sample(range(60), 12))
+        found = [(a, b, k) for k, (a, b) in enumerate(zip(cuts[::2], cuts[1::2], strict=True))]
+        busy = [(a, a + rng.randint(1, 9)) for a in rng.sample(range(60), 4)]
+        free = [s for s in found if not any(a < s[1] and s[0] < b for a, b in busy)]
+        assert spans.apart(found, busy) == free
+
+
+def test_long_texts_are_scanned_in_linear_time():
+    rng = random.Random(9)
+    token = lambda: "".join(rng.choices("abcDEF123xyzQRS789", k=30))
+    mixed = " ".join(token() for _ in range(300_000))
+    for text in ("eyJ" * 3_300_000, "eyJ" + "a" * 10_000_000, mixed, "-----BEGIN " * 900_000,
+                 "a://b:" * 1_500_000, "token " * 1_600_000, "token" + " " * 10_000_000):
+        began = time.process_time()
+        base = secrets.base_spans(text)
+        found = secrets.more_spans(text, base)
+        assert time.process_time() - began < 10
+    assert len(found) == 0 and len(secrets.more_spans(mixed, [])) > 200_000
+    jwt = "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"
+    assert [s[:3] for s in secrets.more_spans(f"a {jwt}, b", [])] == [("jwt", 2, 2 + len(jwt))]
+    assert secrets.more_spans(f"a {jwt}, b", [("assign", 0, 5, "x")]) == []
+
+
+def test_byte_ids_are_those_of_the_library():
+    encoder = pieces.tokenizer("byte_bpe_50k.json")
+    fast = pieces.ByteEncoder(encoder)
+    assert fast.fast
+    rng = random.Random(3)
+    chars = [chr(c) for c in range(0x2FFFF) if not 0xD800 <= c <= 0xDFFF]
+    texts = ["", "<|endoftext|>", "a<|endoftext|> <|endoftext", "a" * 100_000, " " * 50_000 + "x", "it's we'LL 'd", "\r\n \n"]
+    texts += ["".join(rng.choices(chars, k=200)) for _ in range(300)]
+    texts += ["".join(rng.choices("ab 1.'\n\té漢\u0301\xa0<|>", k=400)) for _ in range(300)]
+    texts += [f"{c}a {c} 1{c}. {c}{c}\n" for c in chars[::37]]
+    whole = encoder.encode_batch_fast(texts, add_special_tokens=False)
+    assert all(fast.ids(x).tolist() == e.ids for x, e in zip(texts, whole, strict=True))
+    # A vocabulary of another kind is left to its library.
+    other = pieces.ByteEncoder(pieces.tokenizer("word_bpe_49k.json"))
+    assert other.fast is None
+    assert other.ids("Some words").tolist() == other.encoder.encode("Some words", add_special_tokens=False).ids
