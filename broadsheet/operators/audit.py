@@ -2,11 +2,15 @@
 
 Bodies and side files are judged where they lie; only small verdicts travel
 through the joins. Rules of one row are an array that is exploded, so a table
-is read once however many rules look at it. ``seq`` columns carry scan order.
+is read once however many rules look at it. A row that counts as checked puts a
+marker without an issue type into the same array: issues, checked items and all
+totals come from this one frame. ``seq`` columns carry scan order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,24 +49,36 @@ def _rule(
     return F.when(F.coalesce(condition, F.lit(False)), issue)
 
 
-def _raise(df: DataFrame, kind: str, rules: list[Column]) -> DataFrame:
-    """Explode the triggered rules of each row into issue rows."""
+_MARKER = "marker"
+
+
+def _raise(df: DataFrame, kind: str, rules: list[Column], checked: Column | None = None) -> DataFrame:
+    """Explode the triggered rules of each row, with a marker where it is checked."""
+    if checked is not None:
+        rules = [_rule(checked, _MARKER, 0), *rules]
     present = F.filter(F.array(*rules), lambda r: r.isNotNull())
     columns = ["source_id", "item_id", "seq_file", "seq_pos"]
+    marker = F.col("r.issue_type") == _MARKER
     return df.select(*columns, F.explode(present).alias("r")).select(
         "source_id",
         F.lit(kind).alias("kind"),
-        "r.issue_type",
-        "item_id",
+        F.when(~marker, F.col("r.issue_type")).alias("issue_type"),
+        F.when(~marker, F.col("item_id")).alias("item_id"),
         "r.path",
         "r.detail",
         "r.snippet",
         "seq_file",
         "seq_pos",
         "r.seq_rule",
+        marker.cast("bigint").alias("checked"),
     )
 
 
+def issues(frame: DataFrame) -> DataFrame:
+    """The issue rows of a frame."""
+    return frame.where("issue_type is not null")
+
+
 # --- layout --------------------------------------------------------------
 
 
@@ -74,11 +90,11 @@ def missing_root(spark: SparkSession, path: str) -> DataFrame:
         F.lit(None).cast("string").alias("item_id"), F.lit(path).alias("path"),
         F.lit(None).cast("string").alias("detail"), F.lit(None).cast("string").alias("snippet"),
         F.lit("").alias("seq_file"), F.lit(0).cast("bigint").alias("seq_pos"),
-        F.lit(1).alias("seq_rule"),
+        F.lit(1).alias("seq_rule"), F.lit(0).cast("bigint").alias("checked"),
     )
 
 
-def layout_issues(layout: DataFrame) -> DataFrame:
+def layout_rows(layout: DataFrame) -> DataFrame:
     """``(source_id, path, manifests, snapshots)`` counts; neither = unknown."""
     df = layout.select(
         "source_id", F.lit(None).cast("string").alias("item_id"), F.col("path").alias("seq_file"),
@@ -93,7 +109,7 @@ def layout_issues(layout: DataFrame) -> DataFrame:
 # --- manifests -----------------------------------------------------------
 
 
-def manifest_lines(files: DataFrame) -> DataFrame:
+def split_lines(files: DataFrame) -> DataFrame:
     """Landed manifest files ``(source_id, path, content BINARY)`` to lines.
 
     Lines end at ``\\n`` only, blank ones are skipped and not counted. A file
@@ -104,20 +120,22 @@ def manifest_lines(files: DataFrame) -> DataFrame:
     file_issue = F.when(text.isNull(), "manifest_bad_utf8").when(
         F.size(lines) == 0, "manifest_empty"
     )
-    rows = files.select(
+    return files.select(
         "source_id", "path", file_issue.alias("file_issue"), lines.alias("lines")
-    ).select("source_id", "path", "file_issue", F.posexplode_outer("lines").alias("pos", "line"))
+    ).select(
+        "source_id", "path", "file_issue", F.posexplode_outer("lines").alias("pos", "line")
+    ).select(
+        "source_id", "path", "file_issue", (F.col("pos") + 1).cast("bigint").alias("line_no"), "line"
+    )
+
+
+def parsed_lines(rows: DataFrame) -> DataFrame:
+    """The audited fields of ``(source_id, path, file_issue, line_no, line)``."""
     parsed = let(
         strict_json(F.col("line")),
         lambda v: F.when(F.schema_of_variant(v).startswith("OBJECT"), v),
     )
-    return rows.select(
-        "source_id",
-        "path",
-        "file_issue",
-        (F.col("pos") + 1).cast("bigint").alias("line_no"),
-        parsed.alias("v"),
-    ).select(
+    return rows.select("source_id", "path", "file_issue", "line_no", parsed.alias("v")).select(
         "source_id",
         "path",
         "file_issue",
@@ -233,7 +251,7 @@ def _body_rules(stored: Column, min_chars: int) -> list[Column]:
     ]
 
 
-def line_issues(
+def line_rows(
     lines: DataFrame,
     bodies: DataFrame | None = None,
     metas: DataFrame | None = None,
@@ -241,6 +259,8 @@ def line_issues(
 ) -> DataFrame:
     """Rules 3 to 19 in one pass over manifest lines joined to the verdicts.
 
+    Lines that can be read count as checked.
+
     A broken line or a missing id skips the rules after it, a missing body all
     later rules of the item, an unreadable or empty one those on the body, an
     unreadable side file those on its fields. Without ``metas`` rules 9 to 13
@@ -273,15 +293,17 @@ def line_issues(
             df = df.join(metas.withColumnRenamed("item_id", "id"), ["source_id", "id"], "left")
             rules += _meta_rules(stored)
         rules += _body_rules(stored, min_chars)
-    return _raise(df, "blog", rules)
+    return _raise(df, "blog", rules, F.col("json_ok"))
 
 
 # --- snapshots ------------------------------------------------------------
 
 
-def snapshot_issues(files: DataFrame, items_per_file: int | None = None) -> DataFrame:
+def snapshot_rows(files: DataFrame, items_per_file: int | None = None) -> DataFrame:
     """Rules 20 to 25 on landed snapshot files ``(source_id, path, content)``.
 
+    Each file counts as checked.
+
     All entries are looked at; ``items_per_file`` stops after the first ones.
     """
     raw = F.col("content")
@@ -340,80 +362,66 @@ def snapshot_issues(files: DataFrame, items_per_file: int | None = None) -> Data
             _rule(is_object & F.col("s.no_url"), "snapshot_item_missing_url", 24, path=path),
             _rule(is_object & F.col("s.no_title"), "snapshot_item_missing_title", 25, path=path),
         ],
+        file_row,
     )
 
 
 # --- report ---------------------------------------------------------------
 
 
-def items_checked(lines: DataFrame | None, snapshot_files: DataFrame | None) -> DataFrame:
-    """Checked per source: decodable manifest lines, snapshot files."""
-    parts = []
-    if lines is not None:
-        parts.append(
-            lines.where("json_ok").groupBy("source_id").agg(F.count(F.lit(1)).alias("items_checked"))
-            .withColumn("kind", F.lit("blog"))
-        )
-    if snapshot_files is not None:
-        parts.append(
-            snapshot_files.groupBy("source_id").agg(F.count(F.lit(1)).alias("items_checked"))
-            .withColumn("kind", F.lit("aggregation"))
-        )
-    union = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return union.select("source_id", "kind", "items_checked")
+def items_checked(frame: DataFrame) -> DataFrame:
+    """Checked per source: manifest lines that can be read, snapshot files."""
+    return frame.groupBy("source_id", "kind").agg(F.sum("checked").alias("items_checked")).where(
+        "items_checked > 0"
+    )
 
 
-def counts_by_type(issues: DataFrame) -> DataFrame:
-    return issues.groupBy("issue_type").agg(F.count(F.lit(1)).alias("issues"))
+def counts_by_type(frame: DataFrame) -> DataFrame:
+    return issues(frame).groupBy("issue_type").agg(F.count(F.lit(1)).alias("issues"))
 
 
-def counts_by_source(issues: DataFrame, checked: DataFrame) -> DataFrame:
-    """Every source with items or issues, with its issue counts as a map."""
-    per_type = issues.groupBy("source_id", "issue_type").agg(
-        F.count(F.lit(1)).alias("n"), F.max("kind").alias("issue_kind")
+def counts_by_source(frame: DataFrame) -> DataFrame:
+    """Every source with items or issues, with its issue counts as a map.
+
+    The kind is that of the source's last issue in scan order, or of what was
+    checked where there is none.
+    """
+    order = F.struct(F.col("issue_type").isNotNull(), *SEQUENCE[1:])
+    per_type = frame.groupBy("source_id", "issue_type").agg(
+        F.count("issue_type").alias("n"), F.sum("checked").alias("checked"),
+        F.max(F.struct(order.alias("at"), "kind")).alias("last"),
     )
-    # One row per rule and source reaches this grouping, so at most 25.
-    per_source = per_type.groupBy("source_id").agg(
-        F.max("issue_kind").alias("issue_kind"),
+    # One row per rule and source reaches this grouping, so at most 26.
+    entry = F.when(F.col("issue_type").isNotNull(), F.struct("issue_type", "n"))
+    return per_type.groupBy("source_id").agg(
+        F.max("last")["kind"].alias("kind"),
+        F.sum("checked").alias("items_checked"),
         F.sum("n").alias("issues_total"),
-        F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct("issue_type", "n")))
-        ).alias("issues"),
-    )
-    return checked.join(per_source, "source_id", "full_outer").select(
-        "source_id",
-        F.coalesce("issue_kind", "kind", F.lit("unknown")).alias("kind"),
-        F.coalesce("items_checked", F.lit(0)).cast("bigint").alias("items_checked"),
-        F.coalesce("issues_total", F.lit(0)).cast("bigint").alias("issues_total"),
-        F.coalesce("issues", F.create_map().cast("map<string,bigint>")).alias("issues"),
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("issues"),
     )
 
 
-def totals(issues: DataFrame, checked: DataFrame, max_issues: int = MAX_ISSUES) -> DataFrame:
+def totals(frame: DataFrame, max_issues: int = MAX_ISSUES) -> DataFrame:
     """One row: items checked, issues found, whether the list is cut."""
-    zero = F.lit(0).cast("bigint")
-    both = issues.select(F.lit(1).cast("bigint").alias("issue"), zero.alias("item")).unionByName(
-        checked.select(zero.alias("issue"), F.col("items_checked").alias("item"))
-    )
-    return both.agg(
-        F.coalesce(F.sum("item"), zero).alias("items_checked"),
-        F.coalesce(F.sum("issue"), zero).alias("issues_total"),
+    return frame.agg(
+        F.coalesce(F.sum("checked"), F.lit(0)).cast("bigint").alias("items_checked"),
+        F.count("issue_type").alias("issues_total"),
     ).withColumn("issues_truncated", F.col("issues_total") > max_issues)
 
 
-def count_cube(issues: DataFrame) -> DataFrame:
+def count_cube(frame: DataFrame) -> DataFrame:
     """All three count levels in one pass over the issues."""
-    return issues.groupingSets(
+    return issues(frame).groupingSets(
         [("source_id", "issue_type"), ("issue_type",), ()], "source_id", "issue_type"
     ).agg(F.grouping_id().alias("level"), F.count(F.lit(1)).alias("issues"))
 
 
-def examples(issues: DataFrame, n: int = MAX_ISSUES) -> DataFrame:
+def examples(frame: DataFrame, n: int = MAX_ISSUES) -> DataFrame:
     """First issues in scan order; the counts never depend on this cut."""
-    return issues.orderBy(*SEQUENCE).limit(n)
+    return issues(frame).orderBy(*SEQUENCE).limit(n)
 
 
-def example_lines(issues: DataFrame, n: int = MAX_EXAMPLES) -> DataFrame:
+def example_lines(frame: DataFrame, n: int = MAX_EXAMPLES) -> DataFrame:
     """The first issues as text lines."""
     detail = F.when(F.col("detail").isNull(), "").otherwise(
         F.concat(F.lit(" ("), "detail", F.lit(")"))
@@ -422,7 +430,7 @@ def example_lines(issues: DataFrame, n: int = MAX_EXAMPLES) -> DataFrame:
         F.lit("- "), "source_id", F.lit(":"), F.coalesce(filled(F.col("item_id")), F.lit("-")),
         F.lit(" "), "issue_type", detail, F.lit(" "), F.coalesce("path", F.lit("")),
     )
-    return examples(issues, n).select(line.alias("line"))
+    return examples(frame, n).select(line.alias("line"))
 
 
 def source_lines(by_source: DataFrame) -> DataFrame:
@@ -448,9 +456,11 @@ def audit(
     min_content_chars: int = MIN_CHARS,
     include_snippets: bool = False,
     items_per_snapshot: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Audit landed files; gives (issues, items checked per source).
+    manifest_lines: DataFrame | None = None,
+) -> DataFrame:
+    """Audit landed files; gives the frame that all reports are made of.
 
+    Manifests come as whole files or, from a reader that splits them, as lines.
     A source with a manifest is an archive; its snapshots are not looked at.
     """
 
@@ -459,26 +469,28 @@ def audit(
             return df
         return df.where(F.col("source_id").isin(source_ids))
 
-    manifest_files, snapshot_files, layout = map(wanted, (manifest_files, snapshot_files, layout))
-    parts, lines = [], None
-    if manifest_files is not None:
-        lines = manifest_lines(manifest_files)
+    manifest_files, manifest_lines = wanted(manifest_files), wanted(manifest_lines)
+    snapshot_files, layout = wanted(snapshot_files), wanted(layout)
+    manifests = manifest_files if manifest_lines is None else manifest_lines
+    parts = []
+    if manifests is not None:
+        lines = split_lines(manifest_files) if manifest_lines is None else manifest_lines
         parts.append(
-            line_issues(
-                lines,
+            line_rows(
+                parsed_lines(lines),
                 None if contents is None else body_verdicts(contents, include_snippets),
                 None if metas is None else meta_verdicts(metas),
                 min_content_chars,
             )
         )
         if snapshot_files is not None:
-            archives = manifest_files.select("source_id").distinct()
+            if layout is not None:
+                archives = layout.where("manifests > 0").select("source_id")
+            else:
+                archives = manifests.select("source_id").distinct()
             snapshot_files = snapshot_files.join(archives, "source_id", "left_anti")
     if snapshot_files is not None:
-        parts.append(snapshot_issues(snapshot_files, items_per_snapshot))
+        parts.append(snapshot_rows(snapshot_files, items_per_snapshot))
     if layout is not None:
-        parts.append(layout_issues(layout))
-    issues = parts[0]
-    for part in parts[1:]:
-        issues = issues.unionByName(part)
-    return issues, items_checked(lines, snapshot_files)
+        parts.append(layout_rows(layout))
+    return reduce(DataFrame.unionByName, parts)

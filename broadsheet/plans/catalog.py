@@ -447,7 +447,7 @@ def placeholder_docs(spark, sf_dir):
     return store.where(looks_like_placeholder(strip(F.col("body")))).select("item_pos", "source_id")
 
 
-def _store_audit(spark: SparkSession, sf_dir: str, snippets: bool = False):
+def _store_audit(spark: SparkSession, sf_dir: str, snippets: bool = False) -> DataFrame:
     store = t.store(spark, sf_dir)
     return audit.audit(
         manifest_files=t.manifest_files(store),
@@ -460,30 +460,28 @@ def _store_audit(spark: SparkSession, sf_dir: str, snippets: bool = False):
 
 @registered
 def audit_issues(spark, sf_dir):
-    issues, _ = _store_audit(spark, sf_dir, snippets=True)
+    issues = audit.issues(_store_audit(spark, sf_dir, snippets=True))
     return issues.where("kind = 'blog'").select(*audit.ISSUE_COLUMNS)
 
 
 @registered
 def audit_snapshots(spark, sf_dir):
-    issues = audit.snapshot_issues(t.snapshot_files(spark, sf_dir))
+    issues = audit.issues(audit.snapshot_rows(t.snapshot_files(spark, sf_dir)))
     return issues.select("source_id", "kind", "issue_type", "path", "seq_pos")
 
 
 @registered
 def audit_by_type(spark, sf_dir):
-    issues, _ = _store_audit(spark, sf_dir)
-    return audit.counts_by_type(issues)
+    return audit.counts_by_type(_store_audit(spark, sf_dir))
 
 
 @registered
 def audit_by_source(spark, sf_dir):
-    issues, checked = _store_audit(spark, sf_dir)
     entries = F.transform(
         F.array_sort(F.map_entries("issues")),
         lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")),
     )
-    return audit.counts_by_source(issues, checked).select(
+    return audit.counts_by_source(_store_audit(spark, sf_dir)).select(
         "source_id", "kind", "items_checked", "issues_total",
         F.array_join(entries, ", ").alias("issues"),
     )
@@ -491,40 +489,40 @@ def audit_by_source(spark, sf_dir):
 
 @registered
 def audit_items_checked(spark, sf_dir):
-    _, checked = _store_audit(spark, sf_dir)
-    return checked
+    """What was checked does not depend on bodies and side files."""
+    frame = audit.audit(
+        manifest_files=t.manifest_files(t.store(spark, sf_dir)),
+        snapshot_files=t.snapshot_files(spark, sf_dir),
+    )
+    return audit.items_checked(frame).select("source_id", "kind", "items_checked")
 
 
 @registered
 def audit_totals(spark, sf_dir):
-    issues, checked = _store_audit(spark, sf_dir)
-    return audit.totals(issues, checked)
+    return audit.totals(_store_audit(spark, sf_dir))
 
 
 @registered
 def audit_cube(spark, sf_dir):
-    issues, _ = _store_audit(spark, sf_dir)
-    return audit.count_cube(issues).select(
+    return audit.count_cube(_store_audit(spark, sf_dir)).select(
         "source_id", "issue_type", F.col("level").cast("bigint").alias("level"), "issues"
     )
 
 
 @registered
 def audit_examples(spark, sf_dir):
-    issues, _ = _store_audit(spark, sf_dir)
-    return audit.examples(issues).select("source_id", "issue_type", "item_id", "path", "detail")
+    found = audit.examples(_store_audit(spark, sf_dir))
+    return found.select("source_id", "issue_type", "item_id", "path", "detail")
 
 
 @registered
 def audit_example_lines(spark, sf_dir):
-    issues, _ = _store_audit(spark, sf_dir)
-    return audit.example_lines(issues)
+    return audit.example_lines(_store_audit(spark, sf_dir))
 
 
 @registered
 def audit_source_lines(spark, sf_dir):
-    issues, checked = _store_audit(spark, sf_dir)
-    return audit.source_lines(audit.counts_by_source(issues, checked))
+    return audit.source_lines(audit.counts_by_source(_store_audit(spark, sf_dir)))
 
 
 # --- pages and lines -----------------------------------------------------------

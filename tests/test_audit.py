@@ -1,4 +1,5 @@
 import json
+import random
 from collections import Counter
 
 import pytest
@@ -90,8 +91,8 @@ RANKED = {
 
 
 def test_every_rule(spark, folder):
-    issues, checked = files.audit_folder(spark, folder)
-    rows = issues.collect()
+    frame = files.audit_folder(spark, folder)
+    rows = audit.issues(frame).collect()
     found = {}
     for r in rows:
         if r["source_id"] == "blog":
@@ -101,19 +102,20 @@ def test_every_rule(spark, folder):
     rest = {(r["source_id"], r["kind"], r["issue_type"]) for r in rows if r["source_id"] not in ("blog", "ranked")}
     assert rest == {("broken", "blog", "manifest_bad_utf8"), ("empty", "blog", "manifest_empty"),
                     ("strange", "unknown", "source_unrecognized_layout")}
-    assert {(r["source_id"], r["items_checked"]) for r in checked.collect()} == {("blog", 16), ("ranked", 7)}
+    assert {(r["source_id"], r["items_checked"]) for r in audit.items_checked(frame).collect()} == {
+        ("blog", 16), ("ranked", 7)}
 
 
 def test_entries_of_a_snapshot_can_be_limited(spark):
     body = json.dumps({"items": [{"title": "t", "url": "u"}] * 50 + [5]})
     rows = spark.createDataFrame([("s", "p", body)], "source_id string, path string, content string")
-    found = [r["seq_pos"] for r in audit.snapshot_issues(rows).collect()]
+    found = [r["seq_pos"] for r in audit.issues(audit.snapshot_rows(rows)).collect()]
     assert found == [51]
-    assert audit.snapshot_issues(rows, items_per_file=50).count() == 0
+    assert audit.issues(audit.snapshot_rows(rows, items_per_file=50)).count() == 0
 
 
 def test_details(spark, folder):
-    issues, _ = files.audit_folder(spark, folder, include_snippets=True)
+    issues = audit.issues(files.audit_folder(spark, folder, include_snippets=True))
     details = {r["issue_type"]: r for r in issues.where("detail is not null").collect()}
     assert details["content_too_short"]["detail"] == "chars=399 (<400)"
     assert details["content_too_short"]["snippet"] == "x" * 200 + "…"
@@ -123,28 +125,83 @@ def test_details(spark, folder):
 
 
 def test_report(spark, folder):
-    issues, checked = files.audit_folder(spark, folder)
-    totals = audit.totals(issues, checked, max_issues=5).first()
+    frame = files.audit_folder(spark, folder)
+    totals = audit.totals(frame, max_issues=5).first()
     n = sum(map(len, BLOG.values())) + sum(RANKED.values()) + 3
     assert (totals["items_checked"], totals["issues_total"], totals["issues_truncated"]) == (23, n, True)
-    assert sum(r["issues"] for r in audit.counts_by_type(issues).collect()) == n
-    per_source = {r["source_id"]: r for r in audit.counts_by_source(issues, checked).collect()}
+    assert sum(r["issues"] for r in audit.counts_by_type(frame).collect()) == n
+    per_source = {r["source_id"]: r for r in audit.counts_by_source(frame).collect()}
     assert per_source["ranked"]["issues"] == RANKED and per_source["ranked"]["kind"] == "aggregation"
     assert (per_source["strange"]["kind"], per_source["strange"]["items_checked"]) == ("unknown", 0)
-    cube = {(r["level"], r["source_id"], r["issue_type"]): r["issues"] for r in audit.count_cube(issues).collect()}
+    cube = {(r["level"], r["source_id"], r["issue_type"]): r["issues"] for r in audit.count_cube(frame).collect()}
     assert cube[(3, None, None)] == n
-    kept = audit.examples(issues, 4).collect()
+    kept = audit.examples(frame, 4).collect()
     assert [r["detail"] for r in kept] == ["line=2", "line=3", "line=4", "line=5"]
 
 
 def test_options(spark, folder, tmp_path):
-    issues, checked = files.audit_folder(spark, folder, source_ids=["ranked"], min_content_chars=1)
-    assert {r["source_id"] for r in issues.collect()} == {"ranked"} and checked.count() == 1
-    issues, _ = files.audit_folder(spark, folder, source_ids=["blog"], min_content_chars=10)
-    assert issues.where("issue_type = 'content_too_short'").count() == 0
-    issues, checked = files.audit_folder(spark, str(tmp_path / "none"))
-    row = issues.first()
-    assert (row["source_id"], row["issue_type"], checked.count()) == ("(none)", "sources_root_missing", 0)
+    frame = files.audit_folder(spark, folder, source_ids=["ranked"], min_content_chars=1)
+    assert {r["source_id"] for r in frame.collect()} == {"ranked"} and audit.items_checked(frame).count() == 1
+    frame = files.audit_folder(spark, folder, source_ids=["blog"], min_content_chars=10)
+    assert frame.where("issue_type = 'content_too_short'").count() == 0
+    frame = files.audit_folder(spark, str(tmp_path / "none"))
+    row = frame.first()
+    assert (row["source_id"], row["issue_type"], audit.items_checked(frame).count()) == (
+        "(none)", "sources_root_missing", 0)
+    (tmp_path / "bare/sources").mkdir(parents=True)
+    assert files.audit_folder(spark, str(tmp_path / "bare")).count() == 0
+
+
+def test_last_kind_of_a_source(spark):
+    rows = [("s", "blog", "x", "f", 5, 3), ("s", "aggregation", "y", "f", 1, 20), ("t", "blog", None, "f", 0, 0)]
+    frame = spark.createDataFrame(
+        rows, "source_id string, kind string, issue_type string, seq_file string, seq_pos long, seq_rule int"
+    ).selectExpr("*", "cast(issue_type is null as bigint) as checked")
+    found = {r["source_id"]: (r["kind"], r["items_checked"], r["issues_total"]) for r in audit.counts_by_source(frame).collect()}
+    assert found == {"s": ("blog", 0, 2), "t": ("blog", 1, 0)}
+
+
+def test_manifests_are_read_in_splits(spark, tmp_path):
+    """Numbers are those of a sequential reader, whatever the splits; blanks, long lines, no last line end."""
+    rng = random.Random(8)
+    sizes = {"big": 3_000, "two": 2, "nl": 40}
+    for name, n in sizes.items():
+        lines = [rng.choice(["", "  ", "{}", "x" * rng.randint(1, 300), "é\r", "漢字 \x0b"]) for _ in range(n)]
+        write(tmp_path / f"sources/{name}/manifest.jsonl", "\n".join(lines) + ("\n" if name == "nl" else ""))
+    write(tmp_path / "sources/bad/manifest.jsonl", b"{}\n" * 4_000 + b"\xff{}\n" + b"{}\n" * 4_000)
+    write(tmp_path / "sources/a b%20c/manifest.jsonl", "one\n\ntwo")
+    write(tmp_path / "sources/none/manifest.jsonl", "\n \n")
+    expected = {("bad", "manifest_bad_utf8", None, None), ("none", "manifest_empty", None, None)}
+    for path in tmp_path.glob("sources/*/manifest.jsonl"):
+        source = path.parent.name
+        if source not in ("bad", "none"):
+            kept = [x for x in path.read_bytes().decode().split("\n") if x.strip()]
+            expected |= {(source, None, k + 1, x) for k, x in enumerate(kept)}
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        df = files.manifest_lines(spark, str(tmp_path))
+        found = {(r["source_id"], r["file_issue"], r["line_no"], r["line"]) for r in df.collect()}
+        read = spark.read.text(str(tmp_path / "sources/big/manifest.jsonl"))
+        assert read.rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == expected
+
+
+def test_sources_are_listed_by_tasks(spark, folder):
+    """No folder below a source is listed on the driver."""
+    tracker, group = spark.sparkContext.statusTracker(), "listing"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        files.bodies(spark, folder)
+        files.snapshot_files(spark, folder)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # One listing job a reader, one task a source.
+    assert len(tracker.getJobIdsForGroup(group)) == 2
 
 
 def test_folder_readers(spark, folder, tmp_path):
