@@ -14,9 +14,12 @@ least two of each), chosen by a hash of the row; only sets of n-gram hashes reac
 the driver. No language is left out, however many there are. Every text is
 predicted from all of itself.
 
-Evidence: a text of ``LEAST_GRAMS`` or more distinct n-grams is foreign to the
-model if even its best one-versus-rest margin lies below what learnt texts
-show; see ``Model.foreign``.
+Evidence: the presence kernel of a text with all landmarks together, over that
+of the text with itself, is the share of its n-grams that the landmarks know. A
+text of ``LEAST_GRAMS`` or more distinct n-grams is foreign to the model if that
+share is below ``FOREIGN_SHARE`` of what all but one in a hundred learnt texts
+show, landmarks against the others. The one-versus-rest margins tell languages apart,
+but a text of two languages has as low ones as a text of none.
 
 Defined cases: a NULL text, or one without a letter, is ``und`` with score 0;
 so is every text when there is nothing to learn from. Rows with a NULL doc_id
@@ -40,8 +43,7 @@ SAMPLE = 32_000
 LANDMARKS = 48
 #: Fewer distinct n-grams are no evidence against a language.
 LEAST_GRAMS = 400
-#: How far below the learnt texts' margins, in their own spread, is foreign.
-FOREIGN_SPREADS = 6.0
+FOREIGN_SHARE = 0.6
 RIDGE = 1e-3
 SHARPNESS = 6.0
 UNDETERMINED = "und"
@@ -111,7 +113,7 @@ class Model:
         kernel = (present @ self.landmarks) / np.sqrt(sizes[:, None] * self.own[None])
         margin = kernel @ self.weights + self.bias
         best = margin.max(axis=1, keepdims=True)
-        foreign = (sizes >= LEAST_GRAMS) & (best[:, 0] < self.least)
+        foreign = (sizes >= LEAST_GRAMS) & (present.sum(axis=1) < self.least * sizes)
         likely = np.exp(SHARPNESS * (margin - best))
         return likely / likely.sum(axis=1, keepdims=True), foreign
 
@@ -162,13 +164,14 @@ def fit(samples: list[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: flo
     )
     weights = (root @ solved).astype(np.float32)
     bias = (middle - mean @ solved).astype(np.float32)
-    # Margins of sampled texts that are no landmarks, so none is fitted to itself.
-    sized = np.array([len(x) >= LEAST_GRAMS for _, x in samples]) & ~np.array(used)
-    shown = (features @ solved + middle - mean @ solved).max(axis=1)[sized]
-    least = -np.inf
-    if len(shown) >= 2 * FOREIGN_SPREADS:
-        low, mid = np.quantile(shown, [0.05, 0.5])
-        least = float(mid - FOREIGN_SPREADS * (mid - low))
+    # What a landmark's n-grams share with the others: itself doesn't count.
+    held = np.count_nonzero(marks, axis=1)
+    shown = [
+        np.count_nonzero(held[lookup[x]] > own_mark) / len(x)
+        for (_, x), own_mark in zip(samples, used, strict=True)
+        if len(x) >= LEAST_GRAMS
+    ]
+    least = FOREIGN_SHARE * float(np.quantile(shown, 0.01)) if shown else 0.0
     return Model(languages, lookup, marks, own, weights, bias, least)
 
 

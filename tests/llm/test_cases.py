@@ -116,11 +116,15 @@ def test_index_parts_give_the_same(make, spark):
 @pytest.mark.parametrize("name", ["language", "near_dedup", "decontaminate", "redact", "pack"])
 def test_stages_meet_odd_rows(spark, odd, sf_dir, name):
     stage = getattr(stages, name)
-    docs = odd.withColumn("lang_pred", F.lit(1)).withColumn("chosen", F.lit(2)).withColumn("bits", F.lit(3))
+    mine = ["lang_pred", "score", "chosen", "bits", "language", "foreign", "__uid", "__bits", "__part", "likely"]
+    docs = odd
+    for k, column in enumerate(mine):
+        docs = docs.withColumn(column, F.lit(7.5 + k))
     out = stage(spark, docs, sf_dir)
     rows = out.collect()
     if name != "pack":
         assert out.columns == docs.columns
+        assert all(r[column] == 7.5 + k for r in rows for k, column in enumerate(mine)) and rows
     if name == "language":
         assert {r["doc_id"] for r in rows} == {3, 5, 6, 7, None}
     if name == "redact":
@@ -164,3 +168,27 @@ def test_secrets_by_repositories_and_copies(make):
 def test_language_stage_without_labels(spark, make, sf_dir):
     docs = make((1, "clean prose", None, "src0"), (2, "123 ...", None, "src0"), (None, "word", None, None))
     assert {r["doc_id"] for r in stages.language(spark, docs, sf_dir).collect()} == {1, None}
+
+
+def test_language_stage_rejects_by_the_kernels(spark, sf_dir):
+    """Long texts of nothing that was learnt go; a mix of languages, short texts and all clean ones stay."""
+    import random
+
+    rng = random.Random(5)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    by_lang = {r["lang"]: r["text"] for r in docs.where("n_chars between 2000 and 9000").collect()}
+    noise = ["".join(rng.choices(letters, k=4_000)) for letters in ("abcdefghijklmnopqrstuvwxyz ", "0123456789abcdef", "абвгдежзикл ")]
+    two = " ".join(by_lang[k] for k in sorted(by_lang)[:2])
+    rows = [(900_000 + k, x, None, "s", len(x)) for k, x in enumerate([*noise, two, noise[2][:40], "ok"])]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r["doc_id"] for r in stages.language(spark, both, sf_dir).select("doc_id").collect()}
+    assert {r["doc_id"] for r in docs.collect()} <= kept
+    assert {x for x in kept if x >= 900_000} == {900_003, 900_004, 900_005}
+
+
+def test_many_languages(make):
+    """Every labelled language is learnt, however many there are."""
+    texts = {f"l{k:03}": f"{'abcdefghijklmnopqrst'[k % 20]}{'uvwxyzabcd'[k // 20 % 10]}{k} " for k in range(230)}
+    rows = [(k * 10 + i, t * 40, lang, "s") for k, (lang, t) in enumerate(texts.items()) for i in range(3)]
+    model = language_id.train(make(*rows), landmarks=2)
+    assert model.languages == sorted(texts)
