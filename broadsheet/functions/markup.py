@@ -7,7 +7,8 @@ of a page; elements are matched by counting their start and end tags.
 
 from __future__ import annotations
 
-from html.entities import entitydefs
+import json
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,38 +30,88 @@ INVISIBLE = (
 BLOCK_MARK = "\x01"
 
 
-def decode_entities(col: Column) -> Column:
-    """Resolve named (Latin-1 and symbol) and numeric references, once each."""
-    names = {**entitydefs, "apos": "'"}
-    table = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
+def _references() -> tuple[Column, Column, str]:
+    """Names that end in ``;`` by their first letter, the others, and a pattern of the others.
 
-    def resolve(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        digits = F.substring(ref, 2, 16)
-        code = F.when(
-            digits.rlike("^[xX]"), F.conv(F.substring(digits, 2, 8), 16, 10).try_cast("int")
-        ).otherwise(digits.try_cast("int"))
-        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-        number = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
-        # The usual four come first: a literal map is searched in order.
-        text = (
-            F.when(ref == "", F.lit(None))
-            .when(ref == "amp", F.lit("&"))
-            .when(ref == "lt", F.lit("<"))
-            .when(ref == "gt", F.lit(">"))
-            .when(ref == "quot", F.lit('"'))
-            .when(ref.startswith("#"), number)
-            .otherwise(F.try_element_at(table, ref))
+    Each table is one JSON literal that folds to a constant; a name is searched
+    among those of its first letter only.
+    """
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, text in html5.items():
+        if name.endswith(";"):
+            by_letter.setdefault(name[0], {})[name] = text
+    # The longest first: the first that fits is the longest prefix.
+    bare = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    full = F.from_json(F.lit(json.dumps(by_letter)), "map<string,map<string,string>>")
+    short = F.from_json(F.lit(json.dumps({n: html5[n] for n in bare})), "map<string,string>")
+    return full, short, f"^({'|'.join(bare)})"
+
+
+# What numbers 128 to 159 stand for, where Windows-1252 has a character.
+C1 = [bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)]
+
+
+def _numeric(piece: Column) -> Column:
+    """The text of a piece that begins with a numeric reference; NULL for others."""
+    ref = F.regexp_extract(piece, r"^(#(?:[0-9]+|[xX][0-9a-fA-F]+);?)", 1)
+    digits = F.regexp_extract(ref, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
+    value = F.when(
+        ref.rlike("^#[xX]"), F.conv(F.substring(digits, 1, 8), 16, 10)
+    ).otherwise(F.substring(digits, 1, 8))
+
+    def text(code: Column) -> Column:
+        lost = (code == 0) | (code >= 0x110000) | code.between(0xD800, 0xDFFF)
+        silent = (
+            ((code < 32) & ~code.isin(9, 10, 12, 13)) | (code == 127)
+            | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
         )
+        known = F.get(F.array(*map(F.lit, C1)), (code - 0x80).cast("int"))
+        other = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        shown = F.when(lost, "\ufffd").when(code.between(0x80, 0x9F), known).when(silent, "").otherwise(other)
+        return F.concat(shown, F.substr(piece, F.length(ref) + 1))
+
+    code = F.when(digits == "", F.lit(0)).when(F.length(digits) > 8, F.lit(0x110000)).otherwise(
+        value.try_cast("bigint")
+    )
+    return F.when(ref != "", let(code.cast("bigint"), text))
+
+
+def decode_entities(col: Column) -> Column:
+    """Resolve character references, once each, as HTML 5 does.
+
+    All names count, the old ones also without their semicolon, then as the
+    longest prefix of what follows. Numbers that stand for no character become
+    U+FFFD or nothing; 128 to 159 are read as Windows-1252.
+    """
+    full, short, bare = _references()
+
+    def named(piece: Column) -> Column:
+        def whole(ref: Column) -> Column:
+            known = F.try_element_at(F.try_element_at(full, F.substring(ref, 1, 1)), ref)
+            return F.concat(known, F.substr(piece, F.length(ref) + 1))
+
+        def prefix(ref: Column) -> Column:
+            return F.concat(F.try_element_at(short, ref), F.substr(piece, F.length(ref) + 1))
+
         return F.coalesce(
-            F.concat(text, F.substr(piece, F.length(ref) + 2)), F.concat(F.lit("&"), piece)
+            let(F.regexp_extract(piece, r"^([^\t\n\f <&#;]{1,32};)", 1), whole),
+            let(F.regexp_extract(piece, bare, 1), prefix),
         )
 
+    def resolve(piece: Column) -> Column:
+        # The usual four come first.
+        text = F.when(piece.startswith("amp;"), F.concat(F.lit("&"), F.substr(piece, F.lit(5))))
+        for name, char in (("lt;", "<"), ("gt;", ">"), ("quot;", '"')):
+            rest = F.substr(piece, F.lit(len(name) + 1))
+            text = text.when(piece.startswith(name), F.concat(F.lit(char), rest))
+        text = text.when(piece.startswith("#"), _numeric(piece)).otherwise(named(piece))
+        return F.coalesce(text, F.concat(F.lit("&"), piece))
+
     def joined(pieces: Column) -> Column:
         rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), resolve)
         return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
 
-    return let(F.split(col, "&"), joined)
+    return F.when(~F.contains(col, F.lit("&")), col).otherwise(let(F.split(col, "&"), joined))
 
 
 def without_invisible(html: Column) -> Column:
@@ -197,20 +248,51 @@ def hrefs(html: Column) -> Column:
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with its dot segments taken, folded over a stack of segments."""
+
+    def step(stack: Column, segment: Column) -> Column:
+        shorter = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))
+        return (
+            F.when(segment == "..", shorter)
+            .when(segment == ".", stack)
+            .otherwise(F.concat(stack, F.array(segment)))
+        )
+
+    def folded(segments: Column) -> Column:
+        stack = F.aggregate(segments, F.array().cast("array<string>"), step)
+        last = F.element_at(segments, -1).isin(".", "..")
+        out = F.array_join(F.when(last, F.concat(stack, F.array(F.lit("")))).otherwise(stack), "/")
+        return F.when(out.startswith("/"), out).otherwise(F.concat(F.lit("/"), out))
+
+    # Most paths have none.
+    dotted = path.rlike(r"(?:^|/)\.\.?(?:/|$)")
+    return F.when(dotted, let(F.split(path, "/"), folded)).otherwise(path)
+
+
 def absolute_url(base: Column, href: Column) -> Column:
-    """Resolve a reference against its page (RFC 3986, without dot segments)."""
+    """Resolve a reference against its page (RFC 3986).
+
+    A dot segment above the root is dropped. A reference with a scheme or a
+    host of its own stays as it is.
+    """
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
     site = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     path = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*/)", 1)
     page = F.regexp_extract(base, r"^([^#]*)", 1)
+    own = F.regexp_extract(href, r"^([^?#]*)", 1)
+    rest = F.substr(href, F.length(own) + 1)
+    folder = F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
+    # Empty segments inside a merged path fall away with the dots.
+    merged = F.regexp_replace(F.concat(folder, own), "/{2,}", "/")
     return (
         F.when(href == "", base)
         .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(site, href))
+        .when(href.startswith("/"), F.concat(site, _without_dots(own), rest))
         .when(href.startswith("#"), F.concat(page, href))
         .when(href.startswith("?"), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), href))
-        .otherwise(F.concat(site, F.coalesce(F.nullif(path, F.lit("")), F.lit("/")), href))
+        .otherwise(F.concat(site, _without_dots(merged), rest))
     )
 
 

@@ -88,6 +88,26 @@ def _queue_kids(comments: Column, level_size: Column, taken: Column, limit: int)
     return F.aggregate(comments, empty, step)["quota"]
 
 
+def comment_lookup(nodes: DataFrame) -> DataFrame:
+    """Comments by id, dealt and sorted once and written.
+
+    A checkpoint keeps the partitioning that it was written with, so each level
+    of a walk sends its few nodes to the lookup's partitions and the lookup
+    itself is never shuffled or sorted again. Only a plan that is fixed before
+    it runs tells its partitioning; ids are unique, so there is no skew to
+    adapt to.
+    """
+    conf = nodes.sparkSession.conf
+    slim = nodes.where("type = 'comment'").select("node_id", "kids")
+    dealt = slim.repartition(int(conf.get("spark.sql.shuffle.partitions")), "node_id")
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return dealt.sortWithinPartitions("node_id").checkpoint()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def thread_comments(
     stories: DataFrame, nodes: DataFrame, limit: int = COMMENT_LIMIT, budget: bool = True
 ) -> DataFrame:
@@ -103,8 +123,7 @@ def thread_comments(
     """
     spark = stories.sparkSession
     ensure_checkpoint_dir(spark)
-    # Comments only, written once: each level joins this slim table.
-    lookup = nodes.where("type = 'comment'").select("node_id", "kids").checkpoint()
+    lookup = comment_lookup(nodes)
 
     # Waiting nodes of the level with their place and the size of the level.
     frontier = stories.select(

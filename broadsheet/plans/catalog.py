@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.functions import markup
 from broadsheet.functions.dates import epoch_to_iso
 from broadsheet.functions.lines import cap_blank_runs, clean_lines
 from broadsheet.functions.text import (
@@ -161,13 +162,9 @@ def read_content(spark, sf_dir):
 def record_lines(spark, sf_dir):
     store = t.store(spark, sf_dir)
     flagged = records.with_has_content(_stored_records(spark, sf_dir, store), t.contents(store))
-    return records.record_lines(flagged).select(
-        "source_id",
-        "item_pos",
-        "line",
-        F.get_json_object("json", "$.item_id").alias("json_item_id"),
-        F.get_json_object("json", "$.has_content").alias("json_has_content"),
-    )
+    names = [*RECORD_FIELDS, "has_content"]
+    fields = [F.get_json_object("json", f"$.{c}").alias(f"json_{c}") for c in names]
+    return records.record_lines(flagged).select("source_id", "item_pos", "line", *fields)
 
 
 # --- identity ------------------------------------------------------------------
@@ -551,6 +548,21 @@ def page_blocks(spark, sf_dir):
     return blocks.select("page_id", "block_pos", "block")
 
 
+@registered
+def named_references(spark, sf_dir):
+    texts = t.named_texts(spark, sf_dir)
+    return texts.select("event_id", markup.decode_entities(F.col("text")).alias("text"))
+
+
+@registered
+def resolved_references(spark, sf_dir):
+    """Each reference as a link on each page."""
+    refs = F.explode(F.array(*map(F.lit, t.REFERENCES)))
+    links = t.table(spark, sf_dir, "pages").select("page_id", "url", refs.alias("ref"))
+    resolved = markup.absolute_url(F.col("url"), F.col("ref"))
+    return links.select("page_id", "ref", resolved.alias("link"))
+
+
 @registered
 def clean_mail_lines(spark, sf_dir):
     mails = t.issues_of_mail(spark, sf_dir)

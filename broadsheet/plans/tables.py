@@ -9,6 +9,9 @@ payload grows with the data.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -543,6 +546,27 @@ def issues_of_mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- references -----------------------------------------------------------------
+
+# The references of RFC 3986, 5.4.
+REFERENCES = [
+    "g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x",
+    "g;x?y#s", "", ".", "./", "..", "../", "../g", "../..", "../../", "../../g", "../../../g",
+    "/./g", "/../g", "g.", ".g", "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/./y",
+    "g;x=1/../y", "g?y/./x", "g?y/../x", "g#s/./x", "g#s/../x",
+]
+#: Every named character reference in three surroundings.
+NAMED = [f"&{n} &{n.rstrip(';')}z &{n.rstrip(';')}" for n in sorted(html5)]
+
+
+def named_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with one of the texts, in turn."""
+    texts = F.from_json(F.lit(json.dumps(NAMED)), "array<string>")
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.get(texts, (F.col("event_id") % len(NAMED)).cast("int")).alias("text")
+    )
+
+
 # --- pages made of documents ---------------------------------------------------
 
 

@@ -1,4 +1,6 @@
 from html import unescape
+from html.entities import html5
+from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
@@ -12,6 +14,36 @@ def test_entities_resolve_once(values):
     assert values(markup.decode_entities, texts) == [unescape(t) for t in texts]
 
 
+def test_every_named_reference(values):
+    names = sorted(html5)
+    texts = [f"x &{n} y" for n in names] + [f"&{n}z" for n in names] + [f"&{n.rstrip(';')}" for n in names]
+    texts += [f"&{n[:-2]};&{n}&{n}" for n in names]
+    assert values(markup.decode_entities, texts) == [unescape(t) for t in texts]
+
+
+def test_numeric_references(values):
+    codes = [0, 1, 8, 9, 10, 11, 12, 13, 14, 31, 32, 38, 127, *range(128, 160), 160, 0xD7FF, 0xD800, 0xDFFF, 0xE000,
+             0xFDCF, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000, 0xFFFFFFFF, 10**20]
+    texts = [f"a&#{c}{end}b" for c in codes for end in (";", "", " ", ";;")]
+    texts += [f"a&#{x}{c:x}{end}g" for c in codes for x in ("x", "X0000000000") for end in (";", "")]
+    texts += ["&#;", "&#x;", "&#xg;", "&#", "&#00000000000065;", "&", "&&amp;", "&ampamp;", "&notit; &notin;", "a&b;c"]
+    assert values(markup.decode_entities, texts) == [unescape(t) for t in texts]
+
+
+def test_dot_segments(spark):
+    """The examples of RFC 3986, 5.4, and some more, as the standard library resolves them."""
+    refs = ["g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x", "g;x?y#s", "", ".", "./",
+            "..", "../", "../g", "../..", "../../", "../../g", "../../../g", "../../../../g", "/./g", "/../g", "g.", ".g",
+            "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/./y", "g;x=1/../y", "g?y/./x", "g?y/../x", "g#s/./x",
+            "g#s/../x", "/a/b/../..", "/..", "a//b/../c", "x/y/.././../z/"]
+    bases = ["http://a/b/c/d;p?q", "http://a", "http://a/", "https://e.com/one", "http://a/b/?x=../y"]
+    rows = [(b, r) for b in bases for r in refs]
+    df = spark.createDataFrame(rows, "base string, ref string")
+    got = df.select("base", "ref", markup.absolute_url(F.col("base"), F.col("ref"))).collect()
+    assert {(b, r): u for b, r, u in got} == {(b, r): urljoin(b, r) for b, r in rows}
+
+
+
 def test_text_skips_what_is_not_shown(values):
     html = '<p>Hi <b title="a>b">there</b><script>var t="</p>";</script><!-- <b>c</b> --> 3 < 4</p>'
     assert values(markup.strip_markup, [html]) == ["Hi there 3 < 4"]

@@ -2,7 +2,10 @@ import json
 import random
 from collections import deque
 
+from pyspark.sql import functions as F
+
 from broadsheet.operators import threads
+from broadsheet.session import ensure_checkpoint_dir
 
 
 def walk(nodes, roots, limit, budget):
@@ -88,3 +91,26 @@ def test_story_items(spark):
     assert [(c["author"], c["published_at"], c["text"]) for c in got[1]["comments"]] == [
         ("c", "1970-01-01T00:01:00+00:00", "hi & bye"), (None, None, "[deleted]")]
     assert got[1]["published_at"] == "1970-01-01T00:00:00+00:00"
+
+
+def test_levels_never_shuffle_the_lookup(spark):
+    """One exchange of the lookup for any depth: each level only deals its own nodes."""
+    nodes = spark.range(1000).select(
+        F.col("id").alias("node_id"), F.lit("comment").alias("type"), F.array(F.col("id") + 1).alias("kids")
+    )
+    ensure_checkpoint_dir(spark)
+    lookup = threads.comment_lookup(nodes)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        level = spark.range(40).select(F.col("id").alias("node_id"))
+        for depth in range(3):
+            level = level.join(lookup, "node_id").select(F.explode("kids").alias("node_id"))
+            plan = level._jdf.queryExecution().sparkPlan().toString()
+            final = level._jdf.queryExecution().executedPlan().toString()
+            # Every level adds the exchange of its nodes and none of the lookup.
+            assert final.count("Exchange hashpartitioning") == depth + 1, plan
+            assert final.count("Sort [") == depth + 1
+        assert level.count() == 40
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
