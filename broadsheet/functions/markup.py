@@ -22,7 +22,8 @@ BLOCK_TAGS = (
     "h1|h2|h3|h4|h5|h6|p|ul|ol|pre|blockquote|div|table|figure|section|hr"
 )
 
-TAG = r"</?[a-zA-Z!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+# A tag ends before the next one begins: what is never closed costs no second look.
+TAG = r"</?[a-zA-Z!?](?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 # What is never closed goes on to the end of the page.
 INVISIBLE = (
     r"(?s)<(?:!--.*?(?:-->|\z)|(?i:(script|style|template))(?=[\s/>]).*?(?:</(?i)\1\s*>|\z))"
@@ -121,7 +122,7 @@ def without_invisible(html: Column) -> Column:
 
 def text_nodes(html: Column) -> Column:
     """Trimmed non-empty text nodes in document order, as an array."""
-    raw = F.split(without_invisible(html), rf"(?:{TAG}|<!>)+")
+    raw = F.split(without_invisible(html), rf"(?:{TAG}|<!>)++")
     return F.filter(F.transform(raw, lambda t: strip(decode_entities(t))), lambda t: t != "")
 
 
@@ -196,11 +197,24 @@ def without_tags(html: Column, tags: list[str]) -> Column:
         # Inside an element only its own name counts. A run is (first piece
         # kept, first dropped); a run after an end tag begins with that tag.
         run = F.struct(_int(0).alias("from"), _int(0).alias("to"))
+        none = F.slice(F.array(run), 1, 0)
         begin = F.struct(
             _int(0).alias("at"), F.lit("").alias("name"), _int(0).alias("depth"),
-            _int(0).alias("kept"), F.slice(F.array(run), 1, 0).alias("runs"),
+            _int(0).alias("kept"), none.alias("runs"),
         )
 
+        # Adding to a list copies it: each stretch of pieces fills a short list of
+        # its own, and there are no more stretches than pieces in one.
+        stretch = F.greatest(F.ceil(F.sqrt(F.size(pieces))), F.lit(16)).cast("int")
+
+        def fold(s: Column, first: Column) -> Column:
+            fresh = F.struct(*[s[c].alias(c) for c in ("at", "name", "depth", "kept")], none.alias("runs"))
+            own = F.aggregate(F.slice(pieces, first, stretch), fresh, step)
+            return let(own, lambda o: F.struct(
+                *[o[c].alias(c) for c in ("at", "name", "depth", "kept")],
+                F.concat(s["runs"], o["runs"]).alias("runs"),
+            ))
+
         def step(s: Column, piece: Column) -> Column:
             def moved(name: Column) -> Column:
                 free = s["depth"] == 0
@@ -232,16 +246,23 @@ def without_tags(html: Column, tags: list[str]) -> Column:
             )
             return F.concat(F.get(texts, F.lit(0)), F.array_join(rest, ""))
 
-        return let(F.aggregate(pieces, begin, step), joined)
+        starts = F.sequence(F.lit(1), F.size(pieces), stretch)
+        return let(F.aggregate(starts, begin, fold), joined)
 
     return F.when(html == "", html).otherwise(let(_pieces(html, tags), cut))
 
 
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'<>]++)"
+
+
+def _before(name: str) -> str:
+    """Pattern of the attributes before ``name``; loops that give nothing back don't recurse."""
+    return rf"(?:\s++(?!(?i:{name})\s*+=)[^\s\"'<>=]++(?:\s*+=\s*+{_VALUE})?+)*+"
+
+
 def hrefs(html: Column) -> Column:
     """Trimmed ``href`` of every anchor in order, entities resolved."""
-    value = r"(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-    skipped = rf"(?:\s+[^\s\"'>=]++(?:\s*=\s*{value})?)*?"
-    pattern = rf"<[aA]{skipped}\s+(?i:href)\s*=\s*({value})"
+    pattern = rf"<[aA]{_before('href')}\s++(?i:href)\s*+=\s*+({_VALUE})"
     found = F.regexp_extract_all(without_invisible(html), F.lit(pattern), 1)
     return F.transform(
         found, lambda h: strip(decode_entities(F.btrim(h, F.lit("\"'"))))
@@ -349,14 +370,14 @@ def to_markdown(html: Column) -> Column:
             F.regexp_replace(t, SPACE_RUN, " ")
         ),
     )
-    attribute = r"\s*=\s*[\"']?([^\"'>\s]*)[\"']?[^>]*>"
+    attribute = r"\s*+=\s*+[\"']?([^\"'<>\s]*+)[\"']?[^<>]*+>"
     # A link is put together when all tags are gone: address, text, end.
     text = F.regexp_replace(
-        text, rf"<[aA]\s(?:[^>]*?\s)?(?i:href){attribute}", f"{_LINK}$1{_LABEL}"
+        text, rf"<[aA]{_before('href')}\s++(?i:href){attribute}", f"{_LINK}$1{_LABEL}"
     )
     text = F.regexp_replace(text, r"</[aA]\s*>", _UNLINK)
-    text = F.regexp_replace(text, rf"<(?i:img)\s(?:[^>]*?\s)?(?i:src){attribute}", "![]($1)")
-    tag = r"<(/?[a-zA-Z][a-zA-Z0-9]*)(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!?][^>]*>"
+    text = F.regexp_replace(text, rf"<(?i:img){_before('src')}\s++(?i:src){attribute}", "![]($1)")
+    tag = r"<(/?[a-zA-Z][a-zA-Z0-9]*+)(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[!?][^<>]*+>"
     text = F.regexp_replace(text, tag, f"{_START}$1{_STOP}")
 
     def rendered(piece: Column) -> Column:

@@ -396,7 +396,7 @@ def landed_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
     escaped = F.replace(entry, F.lit('"'), F.lit('\\"'))
     pages = _pages(rows, "embedded", "item_pos", RANKED_PAGE, escaped)
     return _body(
-        pages, '<html><script>push([1,"{\\"initialSkills\\":[', ",", ']}"])</script></html>'
+        pages, '<html><script>rows.add([7,"{\\"initialSkills\\":[', ",", ']}"])</script></html>'
     )
 
 
@@ -584,8 +584,8 @@ def document_pages(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     url = F.concat(F.lit("https://pages.example.org/"), _text(F.col("doc_id")))
     if layout == "long":
         parts = [
-            F.lit('<main><div class="blog-content prose"><div><a href="/b">Back</a></div>'),
-            F.lit('<div class="not-prose"><div>Upvote</div></div>'),
+            F.lit('<main><div class="blog-content prose"><div><a href="/all">All notes</a></div>'),
+            F.lit('<div class="not-prose"><p>12 likes</p></div>'),
             F.array_join(_paragraphs("<p>", "</p>\n"), ""),
             F.lit('<div class="SVELTE_HYDRATER">widget</div></div></main>'),
         ]

@@ -105,3 +105,29 @@ def test_markdown_of_unclosed_tags_takes_linear_time(values):
     assert values(markup.to_markdown, ["<!-- " * 40_000 + "x", "a <a href='u'>b <a href='v'>c</a></a>"]) == [
         "", "a b [c](v)"]
     assert time.monotonic() - start < 8  # quadratic patterns took minutes
+
+
+def test_hostile_pages_take_linear_time(values):
+    import time
+
+    n = 1_000_000
+    rules = {
+        "without": lambda c: markup.without_tags(c, ["nav", "aside"]), "inner": lambda c: markup.inner(c, "main"),
+        "markdown": markup.to_markdown, "hrefs": markup.hrefs, "text": markup.strip_markup, "blocks": markup.block_texts,
+    }
+    pieces = ["<nav>x</nav>", "<a x ", "<a x='1' y=\"2\" ", "<a href='/x' ", "<img src=x ", "<x <y ", "<main>", "<a x=<a y=", "<!-", "&amp", "<a \"", "x y=1 "]
+    for rule in rules.values():
+        values(rule, ["<p>warm <a href='u'>up</a></p>"])
+    for piece in pieces:
+        page = "<a " + piece * (n // len(piece))
+        for name, rule in rules.items():
+            start = time.monotonic()
+            values(rule, [page])
+            assert time.monotonic() - start < 10, (piece, name)
+
+
+def test_dropped_elements(values):
+    html = "".join(f"a{k}<nav>n<nav>m</nav>o</nav>b<aside>c</aside>" for k in range(200)) + "<nav>open"
+    assert values(lambda c: markup.without_tags(c, ["nav", "aside"]), [html]) == ["".join(f"a{k}b" for k in range(200))]
+    html = '<a title="x>y" href="/1">one</a><a class=k href=/2 id=z>two</a><a data-href="no">three</a>'
+    assert values(markup.to_markdown, [html]) == ["[one](/1)[two](/2)three"]
