@@ -10,8 +10,9 @@ by half. A character takes its tag from the window in which it lies most
 centrally; tags are then joined over the whole text, so a span may run through
 any number of windows. Every kind has a digit or an at sign, so windows with
 neither hold no span and are not run; that skips nothing that could be found.
-A tagged span is reported if it has the form of its kind, its posterior is at
-least ``SURE`` on average and it touches no base span.
+A tagged span that ends inside a run of letters and digits takes the run in. It
+is reported if it then has the form of its kind, its posterior is at least
+``SURE`` on average and it touches no base span.
 
 Learning takes a bounded sample, ``TRAIN_WINDOWS`` windows with and as many
 without a span, chosen by a hash. Everything else covers all texts, row by
@@ -52,6 +53,8 @@ STEP = WINDOW // 2
 TRAIN_WINDOWS = 320
 PASSES = 10
 SURE = 0.9
+#: Letters and digits that a tagged span may be short of on either side.
+RUN = 24
 
 SPANS = (
     "array<struct<start: bigint, rank: int, kind: string, end: bigint, base: boolean, sure: double>>"
@@ -234,6 +237,35 @@ def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
+def _whole(text: str, a: int, b: int) -> tuple[int, int]:
+    """A span that ends inside a run of letters and digits takes the run in, if it is short."""
+    low, high = max(0, a - RUN), min(len(text), b + RUN)
+    start, end = a, b
+    while start > low and text[start - 1].isalnum() and text[start].isalnum():
+        start -= 1
+    while end < high and text[end - 1].isalnum() and text[end].isalnum():
+        end += 1
+    inside = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    outside = end < len(text) and text[end - 1].isalnum() and text[end].isalnum()
+    return (a if inside else start), (b if outside else end)
+
+
+def _made_whole(text: str, spans: list[tuple]) -> list[tuple]:
+    """(start, end, kind, sure), trimmed and completed; of two in one run the surer stays."""
+    out: list[tuple] = []
+    for kind, a, b, sure in spans:
+        a, b = _trimmed(text, a, b)
+        if a >= b:
+            continue
+        span = (*_whole(text, a, b), kind, sure)
+        if out and span[0] < out[-1][1]:
+            if sure <= out[-1][3]:
+                continue
+            out.pop()
+        out.append(span)
+    return out
+
+
 def find_spans(texts: list[str], tagger: Tagger | None) -> list[list[dict]]:
     """Spans of each text, by start, then kind as listed."""
     base = [base_spans(x) for x in texts]
@@ -250,10 +282,7 @@ def find_spans(texts: list[str], tagger: Tagger | None) -> list[list[dict]]:
     for text, own, tagged in zip(texts, base, more, strict=True):
         spans = [(kind, a, b, True, 1.0) for kind, a, b in own]
         if tagged:
-            found = [
-                (*_trimmed(text, a, b), kind, sure)
-                for kind, a, b, sure in reconcile(len(text), *zip(*tagged, strict=True))
-            ]
+            found = _made_whole(text, reconcile(len(text), *zip(*tagged, strict=True)))
             for a, b, kind, sure in apart(found, [(x, y) for _, x, y in own]):
                 if sure >= SURE and _shaped(kind, text[a:b]):
                     spans.append((kind, a, b, False, min(1.0, sure)))

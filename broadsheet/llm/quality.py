@@ -9,8 +9,10 @@ times its distance from the median, or below the lower fence, made of the 10 %
 quantile likewise, for the measures with ``low``. So a tenth of a group may be
 junk without moving its own fence far. Only rounding is allowed for: the
 sketch's error, and one unit of a count, so that a single symbol or line is no
-reason in a group that has none. Small groups merge their sketch with that of their language,
-then of all rows.
+reason in a group that has none. A group's quantiles are merged with those of
+its language, and these with those of all rows, as if ``PRIOR_ROWS`` rows more had
+been seen there: a group of few rows leans on the wider ones, one of many hardly
+does, and no number of rows changes the rule.
 
 Hot groups cost a row per bucket and task: sketches are summed before the
 shuffle. The thresholds are joined back to the measures, without the texts.
@@ -37,8 +39,8 @@ UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LEAST_WORDS = 50
 ERROR = 0.01
 FENCE = 6.0
-#: A group with fewer rows borrows the sketch above it.
-LEAST_ROWS = 200
+#: Rows that the wider group's quantiles count for in a merge.
+PRIOR_ROWS = 20
 
 _SCHEMA = (
     "doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, "
@@ -133,7 +135,7 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Quartiles and outer tenths of the sketches merged by ``keys``; null-safe keys."""
+    """Median and outer tenths of the sketches merged by ``keys``; null-safe keys."""
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("rows").alias("rows"))
     # A group has a bounded number of buckets, however many rows it sums up.
     order = Window.partitionBy(*keys, "measure").orderBy("bucket")
@@ -146,12 +148,20 @@ def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
         return F.min(F.when(F.col("upto") >= q * F.col("total"), bucket_value(F.col("bucket"))))
 
     return below.groupBy(*keys, "measure").agg(
-        F.max("total").alias("total"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"),
-        at(0.1).alias("p10"), at(0.9).alias("p90"),
+        F.max("total").alias("total"), at(0.1).alias("p10"), at(0.5).alias("q2"), at(0.9).alias("p90"),
     )
 
 
-def thresholds(sketch: DataFrame, least_rows: int = LEAST_ROWS, fence: float = FENCE) -> DataFrame:
+def merged(own: str, wider: Column, prior: int) -> Column:
+    """Quantiles of a group with those of the wider one, weighted by rows."""
+    weight = F.col(f"{own}.total") / (F.col(f"{own}.total") + prior)
+    names = ("p10", "q2", "p90")
+    return F.struct(
+        *[(F.col(f"{own}.{x}") * weight + wider[x] * (1 - weight)).alias(x) for x in names]
+    )
+
+
+def thresholds(sketch: DataFrame, prior: int = PRIOR_ROWS, fence: float = FENCE) -> DataFrame:
     """(lang, source, measure, low, high): the fences of each group."""
     levels = []
     for k, keys in enumerate((["lang", "source"], ["lang"], [])):
@@ -165,11 +175,9 @@ def thresholds(sketch: DataFrame, least_rows: int = LEAST_ROWS, fence: float = F
         for k in keys:
             same &= F.col(k).eqNullSafe(F.col(f"r_{k}"))
         out = out.join(right, same).drop("r_measure", *[f"r_{k}" for k in keys])
-    pick = F.when(F.col("level0.total") >= least_rows, F.col("level0")).otherwise(
-        F.when(F.col("level1.total") >= least_rows, F.col("level1")).otherwise(F.col("level2"))
-    )
     lows = [m.name for m in measures() if m.low]
-    out = out.select("lang", "source", "measure", pick.alias("s"))
+    both = merged("level0", merged("level1", F.col("level2"), prior), prior)
+    out = out.select("lang", "source", "measure", both.alias("s"))
     up = F.col("s.p90") + fence * (F.col("s.p90") - F.col("s.q2"))
     down = F.col("s.p10") - fence * (F.col("s.q2") - F.col("s.p10"))
     return out.select(

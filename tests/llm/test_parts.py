@@ -270,7 +270,7 @@ def test_sketches_merge(spark):
     sketch = quality.sketches(spark.createDataFrame(rows, names))
     got = quality.quantiles(sketch, ["lang"]).where("measure = 'word_length'").first()
     values = sorted(r[3] / r[2] for r in rows)
-    for name, q in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75)):
+    for name, q in (("p10", 0.1), ("q2", 0.5), ("p90", 0.9)):
         assert got[name] == pytest.approx(values[int(q * 900) - 1], rel=0.02)
     assert got["total"] == 900
 
@@ -410,3 +410,26 @@ def test_byte_ids_are_those_of_the_library():
     other = pieces.ByteEncoder(pieces.tokenizer("word_bpe_49k.json"))
     assert other.fast is None
     assert other.ids("Some words").tolist() == other.encoder.encode("Some words", add_special_tokens=False).ids
+
+
+def test_tagged_spans_take_their_runs_in():
+    text = "call 974-555-3436 or x" + "9" * 90 + " end"
+    spans_ = [("phone", 6, 15, 0.95), ("phone", 16, 17, 0.7), ("card", 30, 40, 0.9), ("ip", 41, 42, 0.9), ("ip", 3, 3, 1.0)]
+    assert pii._made_whole(text, spans_) == [(5, 17, "phone", 0.95), (21, 40, "card", 0.9)]
+
+
+def test_no_number_of_rows_switches_the_rule(make):
+    """Fences move little by little as a small group grows."""
+    rng = random.Random(6)
+    prose = [" ".join("".join(rng.choices("abcde", k=5)) for _ in range(60)) for _ in range(300)]
+    odd = [" ".join("".join(rng.choices("abcde", k=15)) for _ in range(60)) for _ in range(60)]
+    highs = []
+    for n in (1, 20, 40, 60):
+        rows = [(k, x, "en", "a") for k, x in enumerate(prose)] + [(900 + k, x, "en", "b") for k, x in enumerate(odd[:n])]
+        docs = make(*rows).select("doc_id", "lang", "source", "text")
+        sketch = quality.sketches(docs.mapInArrow(quality._measured, quality._SCHEMA))
+        fence = quality.thresholds(sketch).where("source = 'b' and measure = 'word_length'").first()
+        highs.append(fence["high"])
+    steps = np.diff(highs)
+    assert (steps > 0).all() and highs[0] < 7 and 12 < highs[-1] < 16
+    assert steps[0] > steps[1] > steps[2]
