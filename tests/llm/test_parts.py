@@ -421,11 +421,11 @@ def test_tagged_spans_take_their_runs_in():
 def test_no_number_of_rows_switches_the_rule(make):
     """Fences move little by little as a small group grows."""
     rng = random.Random(6)
-    prose = [" ".join("".join(rng.choices("abcde", k=5)) for _ in range(60)) for _ in range(300)]
+    prose = [" ".join("".join(rng.choices("abcde", k=5)) for _ in range(60)) for _ in range(1_000)]
     odd = [" ".join("".join(rng.choices("abcde", k=15)) for _ in range(60)) for _ in range(60)]
     highs = []
     for n in (1, 20, 40, 60):
-        rows = [(k, x, "en", "a") for k, x in enumerate(prose)] + [(900 + k, x, "en", "b") for k, x in enumerate(odd[:n])]
+        rows = [(k, x, "en", "a") for k, x in enumerate(prose)] + [(2_000 + k, x, "en", "b") for k, x in enumerate(odd[:n])]
         docs = make(*rows).select("doc_id", "lang", "source", "text")
         sketch = quality.sketches(docs.mapInArrow(quality._measured, quality._SCHEMA))
         fence = quality.thresholds(sketch).where("source = 'b' and measure = 'word_length'").first()
