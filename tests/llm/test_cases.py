@@ -192,3 +192,67 @@ def test_many_languages(make):
     rows = [(k * 10 + i, t * 40, lang, "s") for k, (lang, t) in enumerate(texts.items()) for i in range(3)]
     model = language_id.train(make(*rows), landmarks=2)
     assert model.languages == sorted(texts)
+
+
+def test_short_items_are_found_as_a_run(make, spark):
+    rows = [(1, "Capital of France? Paris."), (2, "two words"), (3, "one"), (4, "Wer, wie, was?"), (5, "")]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    docs = make("It asked: capital of france -- PARIS, they said.", "Paris, the capital of France", "two  WORDS two words",
+                "words two", "one", "wer wie was", "", None)
+    hits = sorted((r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, items).collect())
+    assert hits == [(0, 1), (2, 2), (5, 4)]
+    assert sorted(r["doc_id"] for r in decontamination.clean(docs, items).collect()) == [1, 3, 4, 6, 7]
+
+
+def test_a_long_item_does_not_loosen_short_ones(make, spark):
+    import random
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    short, long = [word() for _ in range(20)], [word() for _ in range(700)]
+    items = spark.createDataFrame([(1, " ".join(short)), (2, " ".join(long))], "item_id bigint, text string")
+    # The short item's triples strewn over 600 words are no leak of it.
+    strewn = [x for k in range(0, 18, 3) for x in [*short[k : k + 3], *[word() for _ in range(97)]]]
+    docs = make(" ".join(strewn), " ".join([word() for _ in range(300)] + long), " ".join([word() for _ in range(99)] + short))
+    hits = sorted((r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, items).collect())
+    assert hits == [(1, 2), (2, 1)]
+    parts = list(decontamination.index_parts(items))
+    assert [p.passage for p in parts] == [128, 2048]
+
+
+def test_retrieval_against_plain_bm25(make, spark, sf_dir):
+    """The query's rows against BM25 of every passage and item, summed plainly."""
+    import math
+    from collections import Counter
+
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()][:40]
+    parts = {i: decontamination.question_and_answer(x) for i, x in items}
+    words = {i: q + a for i, (q, a) in parts.items()}
+    df = Counter(w for own in words.values() for w in set(own))
+    mean = sum(map(len, words.values())) / len(words)
+    k1, b = decontamination.K1, decontamination.B
+
+    def weights(own):
+        tf = Counter(own)
+        idf = {w: math.log(1 + (len(words) - df[w] + 0.5) / (df[w] + 0.5)) for w in tf}
+        return {w: idf[w] * n * (k1 + 1) / (n + k1 * (1 - b + b * len(own) / mean)) for w, n in tf.items()}
+
+    index = {i: weights(own) for i, own in words.items()}
+    some = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(60).collect()
+    cut = [" ".join(own[: len(own) * k // 5]) for k, own in enumerate(list(words.values())[:6])]
+    texts = {r["doc_id"]: r["text"] for r in some} | {90_000 + k: x for k, x in enumerate(cut)}
+    expected = set()
+    for d, text in texts.items():
+        own = decontamination.text_words(text)
+        last = max(0, -(-(len(own) - 128) // 64))
+        for at in range(0, 64 * last + 1, 64):
+            held = own[at : at + 128]
+            kept = set(held)
+            for i, w in index.items():
+                if sum(x for k, x in w.items() if k in kept) >= 0.6 * sum(w.values()):
+                    if min(decontamination.overlap(p, held) for p in parts[i]) >= 0.6:
+                        expected.add((d, i))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = make(*[(d, x, "en", "s") for d, x in texts.items()])
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, table).collect()} == expected
+    assert expected
