@@ -12,7 +12,7 @@ the node that agrees best with the majority of all one-bit sketches there: in
 a group of copies of one text that is the text itself. So the number of
 candidates is linear in the number of nodes, however large a group is.
 
-Pairs whose one-bit sketches speak against the threshold by more than four
+Pairs whose one-bit sketches speak against the threshold by more than seven
 standard deviations are left out. All others are confirmed on the full sets:
 in candidate groups of at most ``GROUP`` nodes every pair is compared where the
 group's sets are together; the nodes of a larger group are dealt into blocks of
@@ -30,8 +30,8 @@ which most pairs lie just under the threshold, they leave many to confirm.
 
 Chance that a pair at similarity 0.75 exactly shares a region of some tree:
 1 - (1 - 0.75^3)^40 > 0.999999999; every further similar copy adds ways. In a
-small region the sketches lose about one pair in 30,000; in a deep one nothing
-more is lost.
+small region the sketches lose about four pairs in a hundred thousand million; in a
+deep one nothing more is lost.
 
 Defined cases: NULL and empty texts, or texts without a word, have no shingle
 and are linked with nothing; texts of fewer than five words have one shingle,
@@ -60,8 +60,9 @@ REGION = 12
 #: Nodes next to each other in the order that are compared at full depth.
 NEAREST = 4
 SKETCH_BITS = 128
-#: 112 of 128 agree on average at 0.75, with a deviation of 3.7.
-SKETCH_AGREE = 96
+#: 112 of 128 agree on average at 0.75, with a deviation of 3.7; fewer than this
+#: many do with a probability of 4e-11, and of unrelated sets one pair in 4,000 passes.
+SKETCH_AGREE = 84
 GROUP = 256
 SEED = 11
 #: Bits of the filter of texts whose sets are made again: 512 KB, at any size.
