@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -21,9 +22,11 @@ from broadsheet.functions.text import (
 from broadsheet.operators import audit, history, merge, query, ranking, records, report, threads
 from broadsheet.plans import ingest
 from broadsheet.plans import tables as t
-from broadsheet.schemas import RECORD_FIELDS
-from broadsheet.session import configure
+from broadsheet.schemas import RANKED_ITEM, RECORD_FIELDS
+from broadsheet.session import configure, ensure_checkpoint_dir
 from broadsheet.sources import feeds, pages, ranked, registry
+from broadsheet.sources.store import Store
+from broadsheet.streaming import seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,6 +271,90 @@ def snapshot_overwrite(spark, sf_dir):
     return merge.snapshot_overwrite(stored, _snapshot_columns(_rerun(spark, sf_dir)))
 
 
+_stores: dict[tuple[str, str], Store] = {}
+
+
+def _stored_runs(spark: SparkSession, sf_dir: str) -> Store:
+    """The store of two runs over the given tables, made once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stores:
+        _stores[key] = _two_runs(spark, sf_dir)
+    return _stores[key]
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> Store:
+    """A store after a run, a build of its index, and a run that brings new and better items.
+
+    The second run takes the later days again and comes too late for the others.
+    """
+    ensure_checkpoint_dir(spark)
+    store = Store.open(spark, f"{spark.sparkContext.getCheckpointDir()}/store-{uuid.uuid4().hex}")
+    dimension = t.dimension(spark, sf_dir)
+    none = F.lit(None).cast("string")
+
+    def archive(df: DataFrame, run: str, summary, content: str) -> DataFrame:
+        return df.select(
+            "source_id", F.lit(run).alias("run_id"), "item_pos", "title", "url", "published_at",
+            "author", summary.alias("summary"), F.col(content).alias("content"),
+        )
+
+    def taken(df: DataFrame, run: str, clock) -> DataFrame:
+        stamp = F.concat("snapshot_date", clock).alias("taken_at")
+        shaped = df.withColumns({"run_id": F.lit(run), "discussion_url": none})
+        comments = F.array().cast(RANKED_ITEM["comments"].dataType)
+        return shaped.withColumn("comments", comments).select(*RANKED_ITEM.names, stamp)
+
+    late = F.when(F.col("snapshot_date") >= RERUN_FROM, "T05:00:00Z").otherwise("T00:30:00Z")
+    first = t.archived(t.store(spark, sf_dir))
+    ingest.ingest(
+        store, dimension, archive(first, "run-1", none, "body"),
+        taken(t.snapshots(spark, sf_dir), "run-1", F.lit("T01:00:00Z")), "run-1", "2026-02-01T00:00:00Z",
+    )
+    store.rebuild_index(dimension.where("enabled"))
+    again = _rerun(spark, sf_dir).unionByName(
+        t.snapshots(spark, sf_dir).where(F.col("snapshot_date") < RERUN_FROM)
+    )
+    ingest.ingest(
+        store, dimension, archive(t.posts(spark, sf_dir), "run-2", F.col("summary"), "content"),
+        taken(again, "run-2", late), "run-2", "2026-02-02T00:00:00Z",
+    )
+    return store
+
+
+@registered
+def store_items(spark, sf_dir):
+    return _stored_runs(spark, sf_dir).items().select(
+        "source_id", "url", "id", "title", "item_pos", "run_id", "archived_at", "version"
+    )
+
+
+@registered
+def store_bodies(spark, sf_dir):
+    return _stored_runs(spark, sf_dir).contents().select(
+        "source_id", "item_id", "content_path", F.sha1("content").alias("content_hash"), "stale",
+        "run_id", "version",
+    )
+
+
+@registered
+def store_snapshots(spark, sf_dir):
+    return _snapshot_columns(_stored_runs(spark, sf_dir).snapshots())
+
+
+@registered
+def store_index(spark, sf_dir):
+    index = _stored_runs(spark, sf_dir).index()
+    return index.select("record_id", "source_id", "archived_at", "url", _as_text("score"), "item_pos")
+
+
+@registered
+def store_earlier(spark, sf_dir):
+    """The bodies as they were before the second run."""
+    return _stored_runs(spark, sf_dir).at(2).contents().select(
+        "source_id", "content_path", F.sha1("content").alias("content_hash"), "stale"
+    )
+
+
 def _index_columns(df: DataFrame) -> DataFrame:
     day = F.date_format("archived_date", "yyyy-MM-dd").alias("archived_date")
     return df.select(
@@ -332,6 +419,32 @@ def first_last_seen(spark, sf_dir):
     return both.select("source_id", "url", _stamp("first_seen"), _stamp("last_seen"), "times_seen")
 
 
+@registered
+def streamed_first_last_seen(spark, sf_dir):
+    """The same from a stream of the events, read in one go."""
+    ensure_checkpoint_dir(spark)
+    base = f"{spark.sparkContext.getCheckpointDir()}/seen-{uuid.uuid4().hex}"
+    events = spark.readStream.schema(t.SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet*")
+    looks = t.as_sightings(events).withColumn("seen_at", F.col("seen_at").cast("timestamp"))
+    told = seen.seen_stream(looks, "1 day", 30 * 86_400_000)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    kept = spark.conf.get(provider)
+    spark.conf.set(provider, seen.STATE_STORE)
+    try:
+        (
+            told.writeStream.option("checkpointLocation", f"{base}/state")
+            .trigger(availableNow=True)
+            .outputMode("update")
+            .foreachBatch(lambda df, _: df.write.mode("append").parquet(f"{base}/rows"))
+            .start()
+            .awaitTermination()
+        )
+    finally:
+        spark.conf.set(provider, kept)
+    table = seen.seen_table(spark.read.schema(seen.ROWS).parquet(f"{base}/rows"))
+    return table.select("source_id", "url", _stamp("first_seen"), _stamp("last_seen"), "times_seen")
+
+
 @registered
 def content_versions(spark, sf_dir):
     versions = history.content_versions(t.sightings(spark, sf_dir))
@@ -448,7 +561,7 @@ def _store_audit(spark: SparkSession, sf_dir: str, snippets: bool = False) -> Da
     store = t.store(spark, sf_dir)
     return audit.audit(
         manifest_files=t.manifest_files(store),
-        contents=t.contents(store),
+        contents=t.contents(t.damaged_bodies(store)),
         metas=t.metas(store),
         snapshot_files=t.snapshot_files(spark, sf_dir),
         include_snippets=snippets,
@@ -467,6 +580,13 @@ def audit_snapshots(spark, sf_dir):
     return issues.select("source_id", "kind", "issue_type", "path", "seq_pos")
 
 
+@registered
+def audit_layout(spark, sf_dir):
+    """Folders of no known layout, and a store without any."""
+    both = audit.layout_rows(t.layout(spark, sf_dir)).unionByName(audit.missing_root(spark, "none/sources"))
+    return audit.issues(both).select("source_id", "kind", "issue_type", "path")
+
+
 @registered
 def audit_by_type(spark, sf_dir):
     return audit.counts_by_type(_store_audit(spark, sf_dir))

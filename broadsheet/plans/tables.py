@@ -26,6 +26,8 @@ RANKED_PAGE = 25
 LINK_PAGE = 30
 MANIFEST_PAGE = 400
 SNAPSHOT_PAGE = 200
+#: Every so many rows meet each kind of damage once.
+DAMAGE = 50
 
 
 # The given tables as stored. Nothing is inferred, so building a
@@ -123,6 +125,14 @@ def contents(store_rows: DataFrame) -> DataFrame:
     return last_per_key(held, ["content_path"], ["item_pos"]).drop("item_pos")
 
 
+def damaged_bodies(store_rows: DataFrame) -> DataFrame:
+    """Bodies as bytes, some damaged: a byte that is no UTF-8, a NUL, a replaced character."""
+    k = F.col("item_pos") % DAMAGE
+    head = F.when(k == 17, F.lit("x\0")).when(k == 27, F.lit("\ufffd")).otherwise("")
+    tail = F.when(k == 7, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    return store_rows.withColumn("body", F.concat(F.encode(F.concat(head, "body"), "UTF-8"), tail))
+
+
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ranked entry per event, in event order within its day."""
     k = F.get_json_object("props", "$.k")
@@ -145,8 +155,12 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a look at its user's page, which shows the kind of the event."""
+    return as_sightings(table(spark, sf_dir, "events"))
+
+
+def as_sightings(events: DataFrame) -> DataFrame:
     desk = F.concat(F.lit("desk-"), _text(F.col("user_id") % 5))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         desk.alias("source_id"),
         F.concat(F.lit("https://users.example.net/"), _text(F.col("user_id"))).alias("url"),
         F.col("ts").alias("seen_at"),
@@ -438,19 +452,30 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         snapshots(spark, sf_dir)
         .groupBy("source_id", "snapshot_date", page.alias("page"))
         .agg(F.transform(listed, lambda x: x["entry"]).alias("entries"))
-        .select(
-            "source_id",
+        .select("source_id", F.explode(_with_broken(
             F.concat(
                 F.lit("sources/"), "source_id", F.lit("/snapshots/"), "snapshot_date", F.lit("-"),
-                _text(F.col("page")), F.lit(".json"),
-            ).alias("path"),
-            F.concat(F.lit('{"items":['), F.array_join("entries", ","), F.lit("]}")).alias(
-                "content"
+                _text(F.col("page")),
             ),
-        )
+            ".json",
+            F.concat(F.lit('{"items":['), F.array_join("entries", ","), F.lit("]}")),
+            F.col("page") % 5 == 0,
+            {"-bad": F.lit("{"), "-list": F.lit('{"items":{"a":1}}'), "-none": F.lit('{"items":[]}')},
+        )).alias("f"))
+        .select("source_id", "f.path", "f.content")
     )
 
 
+def _with_broken(path: Column, ending: str, content: Column, where: Column, broken: dict[str, Column]):
+    """A file as (path, content), with broken ones of like names beside it in some places."""
+
+    def file(name: str, body: Column) -> Column:
+        return F.struct(F.concat(path, F.lit(name + ending)).alias("path"), body.alias("content"))
+
+    beside = [F.when(where, file(name, body)) for name, body in broken.items()]
+    return F.filter(F.array(file("", content), *beside), lambda f: f.isNotNull())
+
+
 def manifest_files(store_rows: DataFrame) -> DataFrame:
     """Manifest files with faulty lines, for the audit."""
     q, t = F.col("quality"), F.col("toxic")
@@ -470,29 +495,46 @@ def manifest_files(store_rows: DataFrame) -> DataFrame:
     return (
         store_rows.groupBy("source_id", _page("item_pos", MANIFEST_PAGE).alias("page"))
         .agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n\n").alias("text"))
-        .select(
-            "source_id",
-            F.concat(
-                F.lit("sources/"), "source_id", F.lit("/manifest-"), _text(F.col("page")),
-                F.lit(".jsonl"),
-            ).alias("path"),
-            F.encode("text", "UTF-8").alias("content"),
-        )
+        .select("source_id", F.explode(_with_broken(
+            F.concat(F.lit("sources/"), "source_id", F.lit("/manifest-"), _text(F.col("page"))),
+            ".jsonl",
+            F.encode("text", "UTF-8"),
+            F.col("page") == 0,
+            {"-bad": F.unhex(F.lit("FF0A")), "-none": F.encode(F.lit(" \n\n"), "UTF-8")},
+        )).alias("f"))
+        .select("source_id", "f.path", "f.content")
     )
 
 
 def metas(store_rows: DataFrame) -> DataFrame:
-    """Side files; Spanish items lost theirs, French ones kept an old url."""
-    url = F.when(F.col("lang") == "fr", F.concat("url", F.lit("#old"))).otherwise(F.col("url"))
+    """Side files; Spanish items lost theirs, French ones kept an old url, some are damaged."""
+    k = F.col("item_pos") % DAMAGE
+    own = F.struct(
+        F.when(k == 13, F.lit("other")).otherwise(F.col("id")).alias("id"),
+        F.when(F.col("lang") == "fr", F.concat("url", F.lit("#old"))).otherwise(F.col("url")).alias("url"),
+        F.when(k == 23, F.lit("elsewhere")).otherwise(F.col("content_path")).alias("content_path"),
+    )
     held = store_rows.where("lang != 'es'").select(
         "source_id",
         F.col("id").alias("item_id"),
         "item_pos",
-        F.to_json(F.struct("id", url.alias("url"), "content_path")).alias("content"),
+        F.when(k == 3, F.lit("{")).otherwise(F.to_json(own)).alias("content"),
     )
     return last_per_key(held, ["source_id", "item_id"], ["item_pos"]).drop("item_pos")
 
 
+def layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of the sources: archives, rankings, and desks that hold neither."""
+    kind = F.col("kind")
+    idle = F.col("source_id").startswith("region-")
+    return dimension(spark, sf_dir).select(
+        "source_id",
+        F.concat(F.lit("sources/"), "source_id").alias("path"),
+        F.when(idle | (kind != "blog"), 0).otherwise(1).alias("manifests"),
+        F.when(kind == "aggregation", 1).otherwise(0).alias("snapshots"),
+    )
+
+
 # --- threads ---------------------------------------------------------------
 
 def _stride(turns: DataFrame) -> Column:
