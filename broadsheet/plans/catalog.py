@@ -275,9 +275,9 @@ _stores: dict[tuple[str, str], Store] = {}
 
 
 def _stored_runs(spark: SparkSession, sf_dir: str) -> Store:
-    """The store of two runs over the given tables, made once a session."""
+    """The store of two runs over the given tables, made once a session while its files last."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stores:
+    if key not in _stores or not _stores[key].head():
         _stores[key] = _two_runs(spark, sf_dir)
     return _stores[key]
 
