@@ -11,9 +11,12 @@ different next bytes, down to a uniform choice. Probabilities of a context sum
 to one.
 
 n-grams are counted over all examples outside the calibration fold (a hash of
-the url, so copies of a url fall on one side). What a model keeps are its
-``most`` most frequent n-grams: a fixed size, and closed, since the shorter end
-of an n-gram is at least as frequent. A url's ratio is the difference of its two
+the url, so copies of a url fall on one side), and all of them count. Models of
+at most ``most`` n-grams each are held by the tasks (``Markov``). Larger ones stay
+tables (``Wide``): the places of urls are joined to the counts of their n-grams
+and contexts, the same probabilities come from these, and the tasks hold the
+gaps of the ``most`` most frequent places only, which spreads frequent keys; all
+other places are joined. A url's ratio is the difference of its two
 log-likelihoods over its length. The threshold is the one that parts accepted
 and rejected urls of the calibration fold with the least mean error rate, read
 from histograms of the ratio.
@@ -35,8 +38,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from broadsheet.llm.common import UID, with_uid, written
+
 ORDER = 5
-MOST = 200_000  # n-grams of a model: 16 bytes each, and as many contexts at most
+MOST = 200_000  # n-grams that tasks hold: 16 bytes each, and as many contexts at most
 FOLDS = 5  # one of them calibrates
 STEP = 0.01  # width of a bin of ratios
 BINS = 2_000  # to either side of zero
@@ -221,15 +226,130 @@ class Filter(NamedTuple):
         return np.where(sizes > 1, sums / sizes, 0.0)
 
 
-def most_frequent(counts: DataFrame, accepted: bool, most: int) -> Markov | None:
-    """A model of the ``most`` most frequent n-grams; of equal ones the shorter first."""
-    own = counts.where(F.col("accepted") == accepted)
-    found = own.orderBy(F.desc("c"), "gram").limit(most).select("gram", "c").toArrow()
-    if not found.num_rows:
-        return None
+def in_memory(counts: DataFrame, accepted: bool) -> Markov:
+    """A model of all n-grams of one kind."""
+    found = counts.where(F.col("accepted") == accepted).select("gram", "c").toArrow()
     return Markov(found.column("gram").to_numpy(), found.column("c").to_numpy())
 
 
+_TEXT = (1 << 48) - 1  # the bytes of a key, without its length
+
+
+def _places(pages: DataFrame) -> DataFrame:
+    """(key, n): the longest n-grams that end at the places of all urls, and how many there are."""
+
+    def run(batches):
+        for batch in batches:
+            for _, keys in _longest(batch.column("url").to_pylist()):
+                own, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    found = pages.select("url").mapInArrow(run, "key bigint, n bigint")
+    return found.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _longest(urls: list[str | None]):
+    """(urls' numbers, keys) of all places, in blocks."""
+    data, first = url_bytes(urls)
+    since = _since(data, first)
+    row = np.repeat(np.arange(len(urls)), np.diff(np.append(first, len(data))))
+    for low in range(0, len(data), BLOCK):
+        high = min(low + BLOCK, len(data))
+        for n in range(2, ORDER + 2):
+            at, keys = gram_keys(data, since, low, high, n)
+            if n <= ORDER:  # near the start only
+                keys, at = keys[since[at] == n - 1], at[since[at] == n - 1]
+            yield row[at], keys
+
+
+class Wide(NamedTuple):
+    """Both models as tables: counts of the n-grams, totals and kinds of their contexts."""
+
+    grams: DataFrame
+    contexts: DataFrame
+    threshold: float
+    most: int
+
+    @classmethod
+    def of(cls, counts: DataFrame, most: int) -> Wide:
+        def own(accepted: bool) -> Column:
+            return F.sum(F.when(F.col("accepted") == accepted, F.col("c")).otherwise(0))
+
+        grams = counts.groupBy("gram").agg(own(True).alias("c_a"), own(False).alias("c_r"))
+        text = F.shiftright(F.col("gram").bitwiseAND(F.lit(_TEXT)), 8)
+        length = F.shiftleft(F.shiftright("gram", 48) - 1, 48)
+        contexts = grams.groupBy(text.bitwiseOR(length).alias("context")).agg(
+            *[F.sum(f"c_{k}").alias(f"total_{k}") for k in "ar"],
+            *[F.count_if(F.col(f"c_{k}") > 0).alias(f"kinds_{k}") for k in "ar"],
+        )
+        return cls(written(grams, "url-grams"), written(contexts, "url-contexts"), 0.0, most)
+
+    def gaps(self, places: DataFrame) -> DataFrame:
+        """(key, n, gap): log-probability of a place in the accepted model less that in the other.
+
+        Each length from 1 up mixes what the shorter one gives into its own
+        counts; a context that a model does not know changes nothing.
+        """
+        n = F.col("length")
+        gram = F.expr("(key & (shiftleft(1L, 8 * length) - 1L)) | shiftleft(cast(length as bigint), 48)")
+        context = F.expr(
+            "shiftright(key & (shiftleft(1L, 8 * length) - 1L), 8) | shiftleft(cast(length - 1 as bigint), 48)"
+        )
+        longest = F.shiftright("key", 48).cast("int")
+        ends = places.select("key", F.explode(F.sequence(F.lit(1), longest)).alias("length"))
+        facts = (
+            ends.select("key", n, gram.alias("gram"), context.alias("context"))
+            .join(self.grams, "gram", "left")
+            .join(self.contexts, "context", "left")
+        )
+        names = [f"{what}_{k}" for k in "ar" for what in ("c", "total", "kinds")]
+        fact = F.struct(n, *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in names])
+
+        def mixed(k: str) -> Column:
+            def step(p: Column, f: Column) -> Column:
+                own = (f[f"c_{k}"] + f[f"kinds_{k}"] * p) / (f[f"total_{k}"] + f[f"kinds_{k}"])
+                return F.when(f[f"total_{k}"] > 0, own).otherwise(p)
+
+            return F.log(F.aggregate("facts", F.lit(1 / CHOICES), step))
+
+        # Six facts a place at most.
+        found = facts.groupBy("key").agg(F.array_sort(F.collect_list(fact)).alias("facts"))
+        return found.select("key", (mixed("a") - mixed("r")).alias("gap")).join(places, "key")
+
+    def with_ratio(self, pages: DataFrame) -> DataFrame:
+        """``pages`` with the ratio of each url, worked out once for equal ones."""
+        urls = written(with_uid(pages.select("url").where("url <> ''").distinct()), "urls")
+        gaps = written(self.gaps(_places(urls)), "url-gaps")
+        held = gaps.orderBy(F.desc("n"), "key").limit(self.most).orderBy("key").select("key", "gap").toArrow()
+        shared = pages.sparkSession.sparkContext.broadcast(
+            (held.column("key").to_numpy(), held.column("gap").to_numpy())
+        )
+
+        def run(batches):
+            keys, known = shared.value
+            for batch in batches:
+                uids = batch.column(UID).to_numpy()
+                sums = np.zeros(len(uids))
+                for row, found in _longest(batch.column("url").to_pylist()):
+                    place = _place(keys, found)
+                    often = place >= 0
+                    sums += np.bincount(row[often], weights=known[place[often]], minlength=len(uids))
+                    yield _parts(uids[row[~often]], found[~often], np.zeros(int((~often).sum())))
+                yield _parts(uids, np.full(len(uids), -1), sums)
+
+        parts = urls.select(UID, "url").mapInArrow(run, f"{UID} bigint, key bigint, part double")
+        rare = parts.where("key >= 0").join(gaps, "key").select(UID, F.col("gap").alias("part"))
+        sums = parts.where("key < 0").select(UID, "part").unionByName(rare).groupBy(UID).agg(F.sum("part").alias("s"))
+        # Sums of doubles depend on their order in the last places.
+        ratio = F.round(F.col("s") / (F.octet_length("url") + 1), 12)
+        known = urls.join(sums, UID).select("url", ratio.alias("ratio"))
+        return pages.join(known, "url", "left").select(*pages.columns, F.coalesce("ratio", F.lit(0.0)).alias("ratio"))
+
+
+def _parts(uids: np.ndarray, keys: np.ndarray, parts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(keys), pa.array(parts)], [UID, "key", "part"])
+
+
 def best_threshold(bins: list[tuple[bool, int, int]]) -> float:
     """Least mean error rate over (accepted, bin, rows); the middle of equal ones."""
     total = {kind: sum(n for a, _, n in bins if a == kind) for kind in (False, True)}
@@ -245,21 +365,25 @@ def best_threshold(bins: list[tuple[bool, int, int]]) -> float:
     return float((run[0] + run[-1]) / 2 - BINS) * STEP
 
 
-def train(examples: DataFrame, most: int = MOST) -> Filter | None:
+def train(examples: DataFrame, most: int = MOST) -> Filter | Wide | None:
     """Fit on all rows of (url, accepted); None without both kinds of them."""
     rows = examples.where(F.col("url").isNotNull() & F.col("accepted").isNotNull())
     rows = rows.select("url", "accepted", (F.crc32(F.col("url").cast("binary")) % FOLDS).alias("fold"))
-    counts = (
+    counts = written(
         rows.where(F.col("fold") != 0)
         .select("accepted", "url")
         .mapInArrow(_counted, "accepted boolean, gram bigint, c bigint")
         .groupBy("accepted", "gram")
-        .agg(F.sum("c").alias("c"))
+        .agg(F.sum("c").alias("c")),
+        "url-counts",
     )
-    accepted, rejected = (most_frequent(counts, kind, most) for kind in (True, False))
-    if accepted is None or rejected is None:
+    sizes = [r["count"] for r in counts.groupBy("accepted").count().collect()]  # two rows
+    if len(sizes) < 2:
         return None
-    plain = Filter(accepted, rejected, 0.0)
+    if max(sizes) <= most:
+        plain = Filter(in_memory(counts, True), in_memory(counts, False), 0.0)
+    else:
+        plain = Wide.of(counts, most)
     kept = F.greatest(F.lit(-BINS), F.least(F.lit(BINS), F.floor(F.col("ratio") / STEP)))
     bins = (
         with_ratio(rows.where(F.col("fold") == 0).select("url", "accepted"), plain)
@@ -271,8 +395,10 @@ def train(examples: DataFrame, most: int = MOST) -> Filter | None:
     return plain._replace(threshold=threshold)
 
 
-def with_ratio(pages: DataFrame, model: Filter | None) -> DataFrame:
-    """``pages`` with the ratio of each url; any columns, no shuffle."""
+def with_ratio(pages: DataFrame, model: Filter | Wide | None) -> DataFrame:
+    """``pages`` with the ratio of each url; any columns, no shuffle if tasks hold the models."""
+    if isinstance(model, Wide):
+        return model.with_ratio(pages.drop("ratio"))
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
