@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from broadsheet.session import configure, ensure_checkpoint_dir
 
-#: Rows in an Arrow batch: bounds what a Python worker holds of long texts.
-BATCH_ROWS = 256
-
 #: Internal row number. Rows may share a doc_id or have none, so no operator
 #: uses doc_id as the identity of a row.
 UID = "__uid"
@@ -27,7 +24,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the operators; their code goes to the Python workers."""
     configure(spark)
     _ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
 

@@ -7,7 +7,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings that change results (time zone) or let AQE split hot join keys.
+#: Rows in an Arrow batch: bounds what a Python worker holds of long texts.
+BATCH_ROWS = 256
+
+# Settings that change results (time zone), bound memory or let AQE split hot join keys.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +18,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A split of a hot key is worth an extra exchange further up the plan.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS),
 }
 
 
