@@ -112,7 +112,11 @@ def decode_entities(col: Column) -> Column:
         rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), resolve)
         return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
 
-    return F.when(~F.contains(col, F.lit("&")), col).otherwise(let(F.split(col, "&"), joined))
+    # Bound once: what is decoded is often the end of a long expression.
+    return let(
+        col,
+        lambda c: F.when(~F.contains(c, F.lit("&")), c).otherwise(let(F.split(c, "&"), joined)),
+    )
 
 
 def without_invisible(html: Column) -> Column:
@@ -249,7 +253,7 @@ def without_tags(html: Column, tags: list[str]) -> Column:
         starts = F.sequence(F.lit(1), F.size(pieces), stretch)
         return let(F.aggregate(starts, begin, fold), joined)
 
-    return F.when(html == "", html).otherwise(let(_pieces(html, tags), cut))
+    return let(html, lambda h: F.when(h == "", h).otherwise(let(_pieces(h, tags), cut)))
 
 
 _VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'<>]++)"

@@ -25,7 +25,7 @@ from broadsheet.functions.markup import (
     without_tags,
 )
 from broadsheet.functions.text import filled, first_filled, is_blank, let, strip
-from broadsheet.sources.dom import child_nodes, select_inner, without_styled
+from broadsheet.sources.dom import first_children, select_inner, without_styled
 
 BODY_START_CHARS = 80
 # Classes of widgets inside long bodies, styles that hide an
@@ -188,8 +188,7 @@ def page_blocks(
 def font_container_markdown(html: Column) -> Column:
     """Body of pages laid out as one ``<font size=2 face=verdana>`` cell."""
     body = F.get(select_inner(html, "font", size="2", face="verdana"), F.lit(0))
-    text = to_markdown(body)
-    return F.when(text != "", F.concat(text, F.lit("\n")))
+    return let(to_markdown(body), lambda t: F.when(t != "", F.concat(t, F.lit("\n"))))
 
 
 def _node_text(node: Column) -> Column:
@@ -201,7 +200,6 @@ def _node_text(node: Column) -> Column:
 def long_body_markdown(html: Column, container_class: str = "blog-content") -> Column:
     """Markdown of a long-form page: children of the container from the first
     node of body length on, without widgets and empty nodes."""
-    container = F.get(select_inner(html, "div", class_=container_class), F.lit(0))
     widgets = F.array(*[F.lit(c) for c in SKIPPED_CLASSES])
 
     def described(node: Column) -> Column:
@@ -234,7 +232,7 @@ def long_body_markdown(html: Column, container_class: str = "blog-content") -> C
         body = F.when(start > 0, F.slice(nodes, start.cast("int"), F.size(nodes)))
         return F.array_join(F.transform(F.filter(body, kept), rendered), "\n")
 
-    nodes = F.transform(child_nodes(container), described)
+    nodes = F.transform(first_children(html, "div", class_=container_class), described)
     text = to_markdown(let(nodes, from_start))
     return let(text, lambda t: F.when(t != "", F.concat(t, F.lit("\n"))))
 
@@ -263,7 +261,7 @@ def email_markdown(html: Column) -> Column:
 
 
 def email_title(html: Column) -> Column:
-    return filled(visible_text(inner(html, "title")))
+    return let(visible_text(inner(html, "title")), filled)
 
 
 def last_pages(pages: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from broadsheet.sources import pages
+from broadsheet.session import configure
+from broadsheet.sources import dom, pages
 
 CARDS = """<html><body><nav><a href="/blog/archive-of-all">all</a></nav><main>
 <article><p>Gardening</p><a href="/blog/category/gardens">Gardens</a></article>
@@ -112,3 +113,29 @@ def test_open_elements_take_linear_time():
     start = time.monotonic()
     assert len(_Spans(html).spans) == 60_000
     assert time.monotonic() - start < 5
+
+
+def test_pages_are_rendered_once(spark):
+    """A body that is tested for being empty and then used is one expression."""
+    html = F.col("html")
+    for rule in (pages.font_container_markdown, pages.long_body_markdown, pages.email_markdown):
+        plan = frame(spark, ("u", "x")).select(rule(html).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("(?i:img)") == 1
+        # One parse of a page, in small batches.
+        assert plan.count("run(") <= 1
+
+
+def test_batches_of_pages_are_small(spark):
+    assert int(configure(spark).conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1_000
+
+
+def test_children_are_those_of_the_first_container(spark):
+    texts = ["<p>a\n</p>\n<div class='x c'>t &amp; u\n\n<b class=w>v\n</b><br>\n<i>z", "<div class=d>none</div>", "",
+             "<!-- \n<div class=c> -->\n<div class=c><!--k\n--><p>1<div class=c>2</div>\n</div>3", "<div class=c", "&lt;\n<div class=c>a<"]
+    df = frame(spark, *[("u", t) for t in texts], ("u", None))
+    two = dom.child_nodes(F.get(dom.select_inner(F.col("html"), "div", class_="c"), F.lit(0)))
+    for r in df.select(two.alias("two"), dom.first_children(F.col("html"), "div", class_="c").alias("one")).collect():
+        assert r["one"] == r["two"]
+    first = df.select(dom.first_children(F.col("html"), "div", class_="c").alias("n")).first()["n"]
+    assert [(n["name"], n["html"]) for n in first] == [
+        (None, "t &amp; u\n\n"), ("b", "<b class=w>v\n</b>"), ("br", "<br>"), (None, "\n"), ("i", "<i>z")]
