@@ -198,12 +198,13 @@ class Model:
 
 def _scatter(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Sums of the rows of ``values`` by id, one row a symbol."""
-    cells = (ids[:, None] * WIDTH + _COLUMNS).ravel()
-    sums = np.bincount(cells, weights=values.ravel(), minlength=SYMBOLS * WIDTH)
+    sums = np.zeros(SYMBOLS * WIDTH)
+    # Floats whose type came by a broadcast are added 30 times slower; fresh doubles are not.
+    np.add.at(sums, _CELLS.take(ids, axis=0).ravel(), values.ravel().astype(np.float64))
     return sums.reshape(SYMBOLS, WIDTH).astype(np.float32)
 
 
-_COLUMNS = np.arange(WIDTH)
+_CELLS = np.arange(SYMBOLS * WIDTH).reshape(SYMBOLS, WIDTH)
 
 
 class Trainer:
@@ -224,8 +225,9 @@ class Trainer:
     def update(self, w: np.ndarray, h1: np.ndarray, h2: np.ndarray):
         m = self.model
         noise = np.minimum(np.searchsorted(self.steps, self.rng.random(NOISE)), SYMBOLS - 1)
-        r1, r2, q, qn = m.r[h1], m.r[h2], m.q[w], m.q[noise]
-        guess = r1 * m.c[0] + r2 * m.c[1]
+        q, qn = m.q.take(w, axis=0), m.q[noise]
+        guess = (m.r * m.c[0]).take(h1, axis=0)
+        guess += (m.r * m.c[1]).take(h2, axis=0)
         good = np.einsum("ij,ij->i", guess, q) + m.b[w] - self.log_noise[w]
         bad = guess @ qn.T
         bad += m.b[noise] - self.log_noise[noise]
@@ -234,13 +236,16 @@ class Trainer:
         odds = np.exp(np.clip(bad, -30, 30, out=bad), out=bad)
         down = odds / (odds + 1)
         down *= -scale
-        d_guess = up[:, None] * q + down @ qn
+        d_guess = down @ qn
+        d_guess += up[:, None] * q
         d_q = _scatter(w, up[:, None] * guess)
         np.add.at(d_q, noise, down.T @ guess)
         d_b = np.bincount(w, weights=up, minlength=SYMBOLS)
         d_b += np.bincount(noise, weights=np.ones(len(w), np.float32) @ down, minlength=SYMBOLS)
-        d_r = _scatter(np.concatenate([h1, h2]), np.concatenate([d_guess * m.c[0], d_guess * m.c[1]]))
-        d_c = np.stack([np.einsum("ij,ij->j", d_guess, r) for r in (r1, r2)])
+        # Summed by context symbol first: weights and products are of symbols, not of tokens.
+        s1, s2 = _scatter(h1, d_guess), _scatter(h2, d_guess)
+        d_r = s1 * m.c[0] + s2 * m.c[1]
+        d_c = np.stack([np.einsum("ij,ij->j", s, m.r) for s in (s1, s2)])
         for name, grad in (("q", d_q), ("b", d_b.astype(np.float32)), ("r", d_r), ("c", 0.01 * d_c)):
             self._move(name, grad)
         self.seen += len(w)
@@ -297,7 +302,7 @@ def _trained(unigram, flat, rate: float):
         for batch in batches:
             for stored in batch.column("symbols").to_pylist():
                 symbols = np.frombuffer(stored, _STORED)
-                held.append(np.stack([symbols, *contexts(symbols)], axis=1))
+                held.append(np.stack([symbols, *contexts(symbols)]))
                 size += len(symbols)
             if size >= 64 * BATCH:
                 _feed(trainer, held)
@@ -318,10 +323,10 @@ def _trained(unigram, flat, rate: float):
 
 def _feed(trainer: Trainer, held: list[np.ndarray]):
     """Shuffled batches of what is held."""
-    tokens = np.concatenate(held)
-    tokens = tokens[trainer.rng.permutation(len(tokens))].astype(np.int64)
-    for at in range(0, len(tokens), BATCH):
-        trainer.update(*tokens[at : at + BATCH].T.copy())
+    tokens = np.concatenate(held, axis=1)
+    tokens = tokens.take(trainer.rng.permutation(tokens.shape[1]), axis=1).astype(np.int64)
+    for at in range(0, tokens.shape[1], BATCH):
+        trainer.update(*tokens[:, at : at + BATCH])
 
 
 def train(encoded: DataFrame, lexicon: Lexicon, passes: int = PASSES) -> Model:

@@ -1,6 +1,7 @@
 """The pieces of the operators against plain versions."""
 
 import math
+import pickle
 import random
 import time
 from collections import Counter
@@ -313,6 +314,46 @@ def test_model_is_normalised_and_learns():
     assert sure.mean() > 0.5
 
 
+def test_sums_by_symbol_are_plain_and_quick_for_broadcast_floats():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, lm_scoring.SYMBOLS, lm_scoring.BATCH)
+    values = rng.normal(size=(len(ids), lm_scoring.WIDTH)).astype(np.float32)
+    values = pickle.loads(pickle.dumps(values)) * np.float32(1)  # as a task gets it
+    plain = np.zeros((lm_scoring.SYMBOLS, lm_scoring.WIDTH))
+    for k, row in zip(ids, values, strict=True):
+        plain[k] += row
+    assert lm_scoring._scatter(ids, values) == pytest.approx(plain, rel=1e-5, abs=1e-5)
+    begun = time.process_time()
+    for _ in range(100):
+        lm_scoring._scatter(ids, values)
+    assert time.process_time() - begun < 0.3  # adding float by float takes 0.7 s
+
+
+def test_an_update_moves_as_the_gradients_of_single_tokens_say():
+    unigram = np.full(lm_scoring.SYMBOLS, 1 / lm_scoring.SYMBOLS, np.float32)
+    model = lm_scoring.Model.first(unigram)
+    before = lm_scoring.Model(model.flat.copy())
+    trainer = lm_scoring.Trainer(model, unigram, 0.1, 1)
+    w, h1, h2 = np.random.default_rng(2).integers(0, 40, (3, 64))
+    drawn = np.random.default_rng(1).random(lm_scoring.NOISE)
+    noise = np.minimum(np.searchsorted(trainer.steps, drawn), lm_scoring.SYMBOLS - 1)
+    grad = {n: np.zeros(s) for n, s in lm_scoring.Model.SHAPES.items()}
+    for one, near, far in zip(w, h1, h2, strict=True):
+        guess = before.r[near] * before.c[0] + before.r[far] * before.c[1]
+        for k, seen in [(one, True), *((k, False) for k in noise)]:
+            odds = np.exp(guess @ before.q[k] + before.b[k] - trainer.log_noise[k])
+            pull = (1 / (1 + odds) if seen else -odds / (1 + odds)) / 8
+            grad["q"][k] += pull * guess
+            grad["b"][k] += pull
+            for j, h in enumerate((near, far)):
+                grad["r"][h] += pull * before.q[k] * before.c[j]
+                grad["c"][j] += 0.01 * pull * before.q[k] * before.r[h]
+    trainer.update(w, h1, h2)
+    for name, g in grad.items():
+        moved = getattr(before, name) + 0.1 * g / np.sqrt(0.1 + g * g)
+        assert getattr(model, name) == pytest.approx(moved, rel=1e-3, abs=1e-4)
+
+
 def test_shares_of_classes_sum_to_one():
     counts = {f"x{k}".encode(): k % 7 + 1 for k in range(2000)}
     head = [(b"", 100), *sorted(counts.items(), key=lambda x: (-x[1], x[0]))]
