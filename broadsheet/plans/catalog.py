@@ -328,11 +328,14 @@ def store_items(spark, sf_dir):
     )
 
 
+def _body_hash():
+    return F.sha1("content").alias("content_hash")
+
+
 @registered
 def store_bodies(spark, sf_dir):
-    return _stored_runs(spark, sf_dir).contents().select(
-        "source_id", "item_id", "content_path", F.sha1("content").alias("content_hash"), "stale",
-        "run_id", "version",
+    return _stored_runs(spark, sf_dir).contents(_body_hash()).select(
+        "source_id", "item_id", "content_path", "content_hash", "stale", "run_id", "version"
     )
 
 
@@ -350,8 +353,8 @@ def store_index(spark, sf_dir):
 @registered
 def store_earlier(spark, sf_dir):
     """The bodies as they were before the second run."""
-    return _stored_runs(spark, sf_dir).at(2).contents().select(
-        "source_id", "content_path", F.sha1("content").alias("content_hash"), "stale"
+    return _stored_runs(spark, sf_dir).at(2).contents(_body_hash()).select(
+        "source_id", "content_path", "content_hash", "stale"
     )
 
 

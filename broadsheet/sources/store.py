@@ -24,7 +24,7 @@ from dataclasses import dataclass, replace
 from functools import cached_property
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -196,8 +196,16 @@ class Store:
     def items(self) -> DataFrame:
         return self._rows("items")
 
-    def contents(self) -> DataFrame:
+    def contents(self, body: Column | None = None) -> DataFrame:
+        """Bodies in use; ``body`` is a column made of each, in place of it.
+
+        That column is made where the bodies lie, so they stay out of the join.
+        """
         rows = self._rows("contents")
+        if body is not None:
+            kept = [c for c in rows.columns if c != "content"]
+            # In a generator, as the join would be pushed below a projection.
+            rows = rows.select(F.inline(F.array(F.struct(*kept, body))))
         return self._alive(rows, "contents", rows["content_path"])
 
     def body_history(self) -> DataFrame:

@@ -260,3 +260,17 @@ def test_all_shapes_in_one_run(spark, store):
     done = runs.ingest(store, sources(spark), items, top, "run1", "2026-01-10T00:00:00Z")
     assert done.where("status = 'success'").count() == 10
     assert store.snapshots().where("source_id = 'hn'").first()["comments"][0]["text"] == "c"
+
+
+def test_bodies_stay_out_of_the_join(spark, store):
+    for run, body in (("run1", ""), ("run2", "better")):
+        items = archive(spark, ("antirez", 0, "A", "u1", None, body), ("antirez", 1, "B", "u2", None, "sound"))
+        runs.ingest(store, sources(spark), items, ranked(spark), run, f"2026-01-1{run[-1]}T00:00:00Z")
+    hashed = store.contents(F.sha1("content").alias("hash"))
+    assert "content" not in hashed.columns
+    plain = store.contents().withColumn("hash", F.sha1("content")).select(*hashed.columns)
+    assert sorted(map(tuple, hashed.collect())) == sorted(map(tuple, plain.collect()))
+    # Below the join the hash is there already, not the body.
+    plan = hashed._jdf.queryExecution().optimizedPlan().toString()
+    anti = plan.index("Join LeftAnti")
+    assert "sha1" not in plan[:anti] and "sha1" in plan[anti:]
