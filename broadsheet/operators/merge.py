@@ -92,11 +92,20 @@ def content_refresh(incoming: DataFrame, existing: DataFrame, contents: DataFram
     where the verdict was stored with the body. Only the verdict travels
     through the join, not the body.
     """
+    return refreshed(incoming, refresh_targets(existing, contents))
+
+
+def refresh_targets(existing: DataFrame, contents: DataFrame) -> DataFrame:
+    """Stored items with an empty or placeholder body: url key, id and path."""
     order = arrival(existing)
     stored = latest_by_url(existing.select(*URL_KEY, *order, "id", "content_path"))
     verdict = F.col("stale") if "stale" in contents.columns else is_stale(F.col("content"))
     stale = contents.where(verdict).select("content_path")
-    targets = stored.join(stale, "content_path", "left_semi").drop(*order)
+    return stored.join(stale, "content_path", "left_semi").drop(*order)
+
+
+def refreshed(incoming: DataFrame, targets: DataFrame) -> DataFrame:
+    """The bodies that ``incoming`` brings for the targets."""
     # Stale items are few: only bodies offered for them are compared.
     offered = incoming.join(targets.select(*URL_KEY), URL_KEY, "left_semi")
     return (

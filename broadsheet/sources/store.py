@@ -79,7 +79,16 @@ TABLES = {
     "removed": (_schema(("what", _S), ("key", _S)), []),
     "staged_archive": (ARCHIVE_ITEM, []),
     "staged_ranked": (_with(RANKED_ITEM, ("taken_at", _S)), []),
+    "staged_days": (
+        _schema(("source_id", _S), ("snapshot_date", _S), ("taken_at", _S), ("run_id", _S)), []
+    ),
+    "staged_targets": (
+        _schema(("source_id", _S), ("url", _S), ("id", _S), ("content_path", _S)), []
+    ),
 }
+#: Large tables that are written small. Items and snapshots are not: their rows are sorted as
+#: they are read, and a denser file would give each task more of them.
+DENSE = {"contents", "index", "staged_archive", "staged_ranked"}
 STAGED = [name for name in TABLES if name.startswith("staged_")]
 
 COMMIT = _schema(("version", _L), ("base", _L), ("run_id", _S), ("attempt", _S), ("kind", _S))
@@ -322,7 +331,10 @@ class Attempt:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
         rows = df.select(*columns).withColumn("attempt", F.lit(self.name))
         hinted = rows.hint("rebalance", *keys) if keys else rows
-        hinted.write.mode("append").partitionBy("attempt", *keys).parquet(self.base.path(table))
+        writer = hinted.write.mode("append").partitionBy("attempt", *keys)
+        if table in DENSE:
+            writer = writer.option("compression", "zstd")
+        writer.parquet(self.base.path(table))
 
     def read(self, table: str) -> DataFrame:
         """What this attempt wrote."""
@@ -330,11 +342,14 @@ class Attempt:
         rows = self.base.spark.read.schema(schema).parquet(self.base.path(table))
         return rows.where(F.col("attempt") == self.name).drop("attempt")
 
+    def staged(self, table: str, df: DataFrame) -> DataFrame:
+        """``df`` written and read again, so that Spark plans joins by its real size."""
+        self.write(table, df)
+        return self.read(table)
+
     def stage(self, archive: DataFrame, ranked: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Write a run's flattened items once; later steps read this table."""
-        self.write("staged_archive", archive)
-        self.write("staged_ranked", ranked)
-        return self.read("staged_archive"), self.read("staged_ranked")
+        return self.staged("staged_archive", archive), self.staged("staged_ranked", ranked)
 
     def add_items(self, incoming: DataFrame, archived_at: str, parity: bool = False) -> DataFrame:
         """Rows of new urls with their bodies; gives the stored rows.
@@ -359,7 +374,8 @@ class Attempt:
         """Add bodies of known urls whose stored one is empty or a placeholder."""
         # The stored verdict is read, not the bodies.
         held = self.base.contents().select("content_path", "stale")
-        found = merge.content_refresh(incoming, self.base.items(), held)
+        targets = self.staged("staged_targets", merge.refresh_targets(self.base.items(), held))
+        found = merge.refreshed(incoming, targets)
         self.write(
             "contents",
             found.select(
@@ -381,7 +397,7 @@ class Attempt:
         last = dated.groupBy(*day).agg(F.max(F.struct("taken_at", "run_id")).alias("last"))
         held = self.base.snapshots().groupBy(*day).agg(F.max("taken_at").alias("held"))
         wanted = last.join(held, day, "left").where("held is null or last.taken_at >= held")
-        wanted = wanted.select(*day, "last.taken_at", "last.run_id")
+        wanted = self.staged("staged_days", wanted.select(*day, "last.taken_at", "last.run_id"))
         self.write("snapshots", dated.join(wanted, [*day, "taken_at", "run_id"], "left_semi"))
         self.remove("snapshots", wanted.select(F.concat_ws("/", *day)))
 

@@ -262,6 +262,41 @@ def test_all_shapes_in_one_run(spark, store):
     assert store.snapshots().where("source_id = 'hn'").first()["comments"][0]["text"] == "c"
 
 
+def large_store(spark, store, monkeypatch, threshold):
+    """A store whose plans were kept, by table: two runs, the second of better bodies."""
+    plans = {}
+    write = Attempt.write
+
+    def kept(self, table, df):
+        name = f"{table} (refresh)" if (self.run_id, table) in plans else table
+        plans.setdefault((self.run_id, name), df._jdf.queryExecution().executedPlan().toString())
+        write(self, table, df)
+
+    monkeypatch.setattr(Attempt, "write", kept)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for run, body in (("run1", ""), ("run2", "better")):
+            items = archive(spark, *[("antirez", i, f"T{i}", f"u{i}", None, body) for i in range(300)])
+            rows = ranked(spark, *[("hn", i, f"S{i}", f"s{i}", i) for i in range(300)])
+            runs.ingest(store, sources(spark), items, rows, run, f"2026-01-1{run[-1]}T00:00:00Z")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return plans
+
+
+def test_small_keys_do_not_shuffle_large_rows(spark, store, monkeypatch):
+    plans = large_store(spark, store, monkeypatch, 20_000)
+    for run in ("run1", "run2"):
+        assert "SortMergeJoin" not in plans[run, "snapshots"]
+    # The bodies offered are found by the url keys of the targets, whose real size is known.
+    offered = [line for line in plans["run2", "contents (refresh)"].splitlines() if "LeftSemi" in line]
+    assert any("BroadcastHashJoin" in line for line in offered)
+    assert set(bodies(store).values()) == {"better"} and store.snapshots().count() == 600
+    left = [n for n in ("staged_days", "staged_targets") if spark.read.schema("x int").parquet(store.path(n)).count()]
+    assert left == []
+
+
 def test_bodies_stay_out_of_the_join(spark, store):
     for run, body in (("run1", ""), ("run2", "better")):
         items = archive(spark, ("antirez", 0, "A", "u1", None, body), ("antirez", 1, "B", "u2", None, "sound"))
